@@ -1,0 +1 @@
+"""Deliberately empty: every operator of this toolkit is a batch operator."""
