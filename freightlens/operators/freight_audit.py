@@ -127,9 +127,9 @@ def audit_invoices(invoice: DataFrame, expected: DataFrame, accessorial: DataFra
         "expected_fuel", "expected_accessorial", "expected_total", "base_charge",
         "fuel_surcharge", "accessorial_charge", "tax_amount", "invoiced_total",
         gap.alias("variance_amount"),
-        F.round(F.col("variance_amount").cast("double") * 100.0
-                / F.nullif(F.col("expected_total").cast("double"), F.lit(0.0)), 2)
-        .alias("variance_pct"),
+        F.round(gap * F.lit(100).cast("decimal(3,0)")
+                / F.nullif(F.col("expected_total"), F.lit("0.00").cast("decimal(16,2)")), 2)
+        .cast("double").alias("variance_pct"),
         "is_material", F.col("fuel_variance").cast("decimal(16,2)").alias("fuel_variance"),
         status.alias("audit_status"),
         F.when(over, gap).otherwise(nothing).alias("overcharge_amount"),

@@ -346,7 +346,8 @@ cte("freight_audit", """
 SELECT invoice_id, invoice_number, shipment_id, invoice_carrier, shipment_carrier, lane_id, rate_id, rate_status,
   currency, rate_currency, expected_base, expected_fuel, expected_accessorial, expected_total, base_charge,
   fuel_surcharge, accessorial_charge, tax_amount, invoiced_total, variance_amount,
-  ROUND(CAST(variance_amount AS DOUBLE) * 100.0 / NULLIF(CAST(expected_total AS DOUBLE), 0), 2) AS variance_pct,
+  sign(variance_amount) * CAST((CAST(ABS(variance_amount) * 100 AS HUGEINT) * 20000 + CAST(expected_total * 100 AS HUGEINT))
+    // (2 * NULLIF(CAST(expected_total * 100 AS HUGEINT), 0)) AS DOUBLE) / 100 AS variance_pct,
   is_material, fuel_variance,
   CASE WHEN hit IS NULL THEN 'SHIPMENT_MISMATCH' WHEN copied THEN 'DUPLICATE_INVOICE'
     WHEN rate_status IN ('MISSING_RATE', 'EXPIRED_RATE') THEN rate_status

@@ -87,6 +87,15 @@ def _csv_export(t, r):
     return files.table_counts(back)
 
 
+def _flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit by status from the raw tables in one lazy plan, nothing landed."""
+    lazy = Tower(spark, folder, landed=False)
+    return _doubles(freight_audit.audit_by_status(lazy["freight_audit"]))
+
+
+QUERIES["audit_by_status_lazy"] = _flagship
+
+
 @_tower("layer_rerun_identical")
 def _rerun(t, r):
     fresh = Tower(t.spark, t.folder, landed=False)
@@ -304,10 +313,9 @@ def _baseline(t, r):
 
 @_tower("output_gates")
 def _gates(t, r):
-    m = r.marts()
     return validation.output_gates(
-        t, r.carrier_scorecard(), r.lane_scorecard(), r.cases(), m["rpt_dim_date"],
-        {"rpt_fact_shipment": m["rpt_fact_shipment"]}, SETTINGS)
+        t, r.carrier_scorecard(), r.lane_scorecard(), r.cases(), r.mart("rpt_dim_date"),
+        {"rpt_fact_shipment": r.mart("rpt_fact_shipment")}, SETTINGS)
 
 
 # -- shipment base and service KPIs -----------------------------------------------
@@ -432,7 +440,7 @@ for _mart in ("rpt_dim_date", "rpt_dim_carrier", "rpt_dim_lane", "rpt_dim_produc
               "rpt_dim_location", "rpt_fact_shipment", "rpt_fact_milestone",
               "rpt_fact_freight_audit", "rpt_fact_data_quality", "rpt_fact_accrual",
               "rpt_fact_claim"):
-    _tower(_mart)((lambda m: lambda t, r: _doubles(r.marts()[m]))(_mart))
+    _tower(_mart)((lambda m: lambda t, r: _doubles(r.mart(m)))(_mart))
 
 
 @_tower("dashboard_reconciliation")

@@ -121,23 +121,30 @@ class Results:
     def executive(self) -> DataFrame:
         return measures.executive_metrics(self.summaries())
 
+    MARTS = {
+        "rpt_dim_date": lambda r: marts.date_dimension(r.base),
+        "rpt_dim_carrier": lambda r: marts.dim_carrier(r.t),
+        "rpt_dim_lane": lambda r: marts.dim_lane(r.t),
+        "rpt_dim_product": lambda r: marts.dim_product(r.t),
+        "rpt_dim_location": lambda r: marts.dim_location(r.t),
+        "rpt_fact_shipment": lambda r: marts.fact_shipment(r.t),
+        "rpt_fact_milestone": lambda r: marts.fact_milestone(r.t),
+        "rpt_fact_freight_audit": lambda r: marts.fact_freight_audit(r.t),
+        "rpt_fact_data_quality": lambda r: r.fact_dq(),
+        "rpt_fact_accrual": lambda r: marts.fact_accrual(r.t),
+        "rpt_fact_claim": lambda r: marts.fact_claim(r.t),
+        "rpt_carrier_scorecard": lambda r: r.carrier_scorecard(),
+        "rpt_lane_scorecard": lambda r: r.lane_scorecard(),
+        "rpt_dq_detection_performance": lambda r: r.t["dq_detection_performance"],
+    }
+
+    def mart(self, name: str) -> DataFrame:
+        """One view of the reporting star."""
+        return self.MARTS[name](self)
+
     def marts(self) -> dict[str, DataFrame]:
-        """The reporting star, by view name."""
-        t = self.t
-        return {
-            "rpt_dim_date": marts.date_dimension(self.base),
-            "rpt_dim_carrier": marts.dim_carrier(t), "rpt_dim_lane": marts.dim_lane(t),
-            "rpt_dim_product": marts.dim_product(t),
-            "rpt_dim_location": marts.dim_location(t),
-            "rpt_fact_shipment": marts.fact_shipment(t),
-            "rpt_fact_milestone": marts.fact_milestone(t),
-            "rpt_fact_freight_audit": marts.fact_freight_audit(t),
-            "rpt_fact_data_quality": self.fact_dq(),
-            "rpt_fact_accrual": marts.fact_accrual(t), "rpt_fact_claim": marts.fact_claim(t),
-            "rpt_carrier_scorecard": self.carrier_scorecard(),
-            "rpt_lane_scorecard": self.lane_scorecard(),
-            "rpt_dq_detection_performance": t["dq_detection_performance"],
-        }
+        """The whole reporting star, by view name."""
+        return {name: self.mart(name) for name in self.MARTS}
 
     def open_aging(self) -> DataFrame:
         return accruals.open_accrual_aging(self.t["fact_accrual"], AS_OF,
