@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from freightlens.session import land
+
 _ANY_DAY = -1_000_000
 
 
@@ -40,17 +42,42 @@ def effective_join(facts: DataFrame, versions: DataFrame, keys: list[str], day:
     """``facts`` left-joined to the one version valid on ``facts.day``, per key.
 
     The latest start wins, then the highest id; at most one version matches a
-    fact, so the result keeps the grain of ``facts``. A key with a plain timeline
-    joins on (key) with the window as residual. A key that still overlaps, or that
-    has very many versions, is laid out as one winner per day and joins on
-    (key, day), so no fact is ever compared with a long list of versions.
+    fact, so the result keeps the grain of ``facts``. ``has_version`` tells whether
+    the key has any version at all.
+
+    The timeline is dimension-sized and is landed first, so that Spark plans the
+    joins knowing its real size. A key with a plain timeline joins on (key) with
+    the window as residual. A key that still overlaps, or that has very many
+    versions, is laid out as one winner per day and joins on (key, day), so no fact
+    is ever compared with a long list of versions.
     """
-    line = timeline(versions, keys, start, end, version_id)
+    line = land(timeline(versions, keys, start, end, version_id), "timeline")
     others = [c for c in versions.columns if c not in keys]
+    known = line.groupBy(*keys).agg(F.max("_complex").alias("_messy"))
+    left = facts.join(known, keys, "left").withColumn(
+        "has_version", F.col("_messy").isNotNull())
+    right = line.filter(~F.col("_complex")).drop("_complex")
+    on_day = not line.filter("_complex").isEmpty()
+    if on_day:
+        right = right.withColumn("_day", F.lit(_ANY_DAY)).unionByName(
+            _daily(line.filter("_complex").drop("_complex"), facts, keys, day, start, end,
+                   version_id, others))
+        left = left.withColumn("_day", F.when(F.col("_messy"), F.unix_date(F.col(day)))
+                               .otherwise(F.lit(_ANY_DAY)))
+    f, v = left.alias("f"), right.alias("v")
+    on = [F.col(f"f.{k}") == F.col(f"v.{k}") for k in keys]
+    on.append(F.col(f"f.{day}").between(F.col(f"v.{start}"), F.col(f"v.{end}")))
+    if on_day:
+        on.append(F.col("f._day") == F.col("v._day"))
+    return f.join(v, on, "left").select(
+        *[F.col(f"f.{c}") for c in facts.columns], "f.has_version",
+        *[F.col(f"v.{c}") for c in others])
+
+
+def _daily(messy: DataFrame, facts: DataFrame, keys: list[str], day: str, start: str, end: str,
+           version_id: str, others: list[str]) -> DataFrame:
+    """One winning version per key and day, over the days the facts cover."""
     span = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    plain = (line.filter(~F.col("_complex"))
-             .withColumn("_day", F.lit(_ANY_DAY)).drop("_complex"))
-    messy = line.filter("_complex").drop("_complex")
     low = F.greatest(F.col(start), span.select("lo").scalar())
     high = F.least(F.col(end), span.select("hi").scalar())
     days = (messy.withColumn("_lo", low).withColumn("_hi", high)
@@ -58,18 +85,6 @@ def effective_join(facts: DataFrame, versions: DataFrame, keys: list[str], day:
             .withColumn("_date", F.explode(F.sequence("_lo", "_hi"))))
     payload = F.struct(F.col(start).alias("_s"), F.col(version_id).alias("_vid"),
                        *[F.col(c) for c in others])
-    winner = days.groupBy(*keys, "_date").agg(F.max(payload).alias("_p"))
-    winner = winner.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in others],
-                           F.unix_date("_date").alias("_day"))
-    # Windows of one winner per day are narrowed to that day by the join key.
-    right = plain.unionByName(winner)
-    messy_keys = messy.select(*keys).distinct().withColumn("_messy", F.lit(True))
-    left = facts.join(messy_keys, keys, "left")
-    left = left.withColumn("_day", F.when(F.col("_messy"), F.unix_date(F.col(day)))
-                           .otherwise(F.lit(_ANY_DAY)))
-    f, v = left.alias("f"), right.alias("v")
-    on = [F.col(f"f.{k}") == F.col(f"v.{k}") for k in keys]
-    on += [F.col("f._day") == F.col("v._day"),
-           F.col(f"f.{day}").between(F.col(f"v.{start}"), F.col(f"v.{end}"))]
-    return f.join(v, on, "left").select(
-        *[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in others])
+    best = days.groupBy(*keys, "_date").agg(F.max(payload).alias("_p"))
+    return best.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in others],
+                       F.unix_date("_date").alias("_day"))

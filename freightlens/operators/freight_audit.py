@@ -34,9 +34,6 @@ def expected_freight(shipment: DataFrame, rate_card: DataFrame,
     rated = effective_join(facts, rate_card.select(*_RATE_COLUMNS), ["carrier_id", "lane_id"],
                            "actual_ship_date", "effective_start_date", "effective_end_date",
                            "rate_id")
-    known = (rate_card.select("carrier_id", "lane_id").distinct()
-             .withColumn("_known", F.lit(1)))
-    rated = rated.join(known, ["carrier_id", "lane_id"], "left")
     base, fuel = expected_charges(F.col("shipment_weight_kg"), F.col("rate_per_kg"),
                                   F.col("minimum_charge"), F.col("fuel_percentage"))
     has_rate = F.col("rate_id").isNotNull()
@@ -44,7 +41,7 @@ def expected_freight(shipment: DataFrame, rate_card: DataFrame,
         "shipment_id", "carrier_id", "lane_id", "actual_ship_date", "shipment_weight_kg",
         "rate_id", "rate_basis", "rate_per_kg", "minimum_charge", "fuel_percentage",
         F.col("currency").alias("rate_currency"),
-        F.when(has_rate, "RATED").when(F.col("_known") == 1, "EXPIRED_RATE")
+        F.when(has_rate, "RATED").when(F.col("has_version"), "EXPIRED_RATE")
         .otherwise("MISSING_RATE").alias("rate_status"),
         F.when(has_rate, base).alias("expected_base"),
         F.when(has_rate, fuel).alias("expected_fuel"), *keep)

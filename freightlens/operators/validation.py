@@ -68,11 +68,15 @@ def report(df: DataFrame, checks: list[Check]) -> DataFrame:
     row = df.agg(*[c.tested.cast("bigint").alias(f"t{i}") for i, c in enumerate(checks)],
                  *[F.coalesce(c.failures, F.lit(0)).cast("bigint").alias(f"f{i}")
                    for i, c in enumerate(checks)])
-    lines = row.select(F.explode(F.array(*[
+    return row.select(F.explode(F.array(*[
         F.struct(F.lit(c.name).alias("validation_name"),
                  F.col(f"t{i}").alias("records_tested"), F.col(f"f{i}").alias("failures"),
                  F.lit(c.severity).alias("severity"))
         for i, c in enumerate(checks)])).alias("c")).select("c.*")
+
+
+def grade(lines: DataFrame) -> DataFrame:
+    """Add pass rate and status to (validation_name, records_tested, failures, ...)."""
     tested = F.col("records_tested")
     return lines.withColumns({
         "pass_rate": F.when(tested == 0, 1.0).otherwise(
@@ -242,7 +246,7 @@ def baseline_checks(t: Tables, settings: Settings) -> DataFrame:
     parts = (primary_key_checks(t) + foreign_key_checks(t) + shipment_checks(t)
              + quantity_checks(t) + milestone_checks(t) + invoice_checks(t, settings)
              + other_checks(t))
-    return reduce(DataFrame.unionByName, parts)
+    return grade(reduce(DataFrame.unionByName, parts))
 
 
 def require_baseline(checks: DataFrame) -> None:

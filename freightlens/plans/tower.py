@@ -33,6 +33,11 @@ SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineit
 _landed: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def forget() -> None:
+    """Derive every table anew on its next use."""
+    _landed.clear()
+
+
 def _key() -> Column:
     return F.col("shipment_id")
 
@@ -68,7 +73,7 @@ class Tower(Mapping):
         if name in self._own:
             return self._own[name]
         if name in SOURCES:
-            frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            frame = self._source(name)
         elif name not in _BUILDERS:
             raise KeyError(name)
         elif not self.landed:
@@ -81,6 +86,16 @@ class Tower(Mapping):
         self._own[name] = frame
         return frame
 
+    def _source(self, name: str) -> DataFrame:
+        """A source table. One that fills fewer scan tasks than there are cores is
+        spread by its key first; a large source is read as it lies."""
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}.get(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        if key and frame.rdd.getNumPartitions() < cores // 2:
+            frame = frame.repartition(cores, key)
+        return frame
+
     # -- dimensions ------------------------------------------------------
     def _dim_carrier(self) -> DataFrame:
         slot = (F.col("s_suppkey") % 12).alias("carrier_id")
