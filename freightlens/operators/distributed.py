@@ -138,45 +138,76 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float,
 
 
 _SEQ_BLOCK = 4096
+_HOT_ROWS = 1_000_000
 
 
-def _blocks(df: DataFrame, group: str, sequence: str) -> DataFrame:
+def _blocks(df: DataFrame, sequence: str) -> DataFrame:
     return df.withColumn("_block", F.floor(F.col(sequence) / _SEQ_BLOCK))
 
 
-def running_max_before(df: DataFrame, group: str, sequence: str, value: str,
-                       into: str) -> DataFrame:
-    """(group, sequence, highest ``value`` at any earlier sequence), where there is one.
-
-    Rows collapse to one per sequence; sequences are cut into blocks; a running
-    maximum over blocks is combined with one inside the block. No window spans a
-    whole group.
-    """
-    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), group, sequence)
+def _prior_max_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
+                         into: str) -> DataFrame:
+    """Running maximum over blocks of sequences combined with one inside the block."""
+    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), sequence)
     inside = (Window.partitionBy(group, "_block").orderBy(sequence)
               .rowsBetween(Window.unboundedPreceding, -1))
     across = (Window.partitionBy(group).orderBy("_block")
               .rowsBetween(Window.unboundedPreceding, -1))
     tops = steps.groupBy(group, "_block").agg(F.max("_v").alias("_top"))
     tops = tops.select(group, "_block", F.max("_top").over(across).alias("_before"))
-    return (steps.withColumn("_inside", F.max("_v").over(inside)).join(tops, [group, "_block"])
-            .select(group, sequence, F.greatest("_inside", "_before").alias(into))
-            .filter(F.col(into).isNotNull()))
+    prior = (steps.withColumn("_inside", F.max("_v").over(inside)).join(tops, [group, "_block"])
+             .select(group, sequence, F.greatest("_inside", "_before").alias(into)))
+    return df.join(prior, [group, sequence], "left")
 
 
-def previous_step(df: DataFrame, group: str, sequence: str, value: str,
-                  into: str) -> DataFrame:
-    """(group, sequence, own value, value of the step right before), in bounded windows."""
-    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), group, sequence)
+def _previous_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
+                        into: str) -> DataFrame:
+    """Value of the step before, carried over block borders."""
+    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), sequence)
     lasts = steps.groupBy(group, "_block").agg(F.max_by("_v", sequence).alias("_last"))
     across = Window.partitionBy(group).orderBy("_block")
     lasts = lasts.select(group, "_block", F.lag("_last").over(across).alias("_carry"))
     inside = Window.partitionBy(group, "_block").orderBy(sequence)
     first = F.row_number().over(inside) == 1
-    return (steps.join(lasts, [group, "_block"])
-            .select(group, sequence, F.col("_v").alias(value),
-                    F.when(first, F.col("_carry")).otherwise(F.lag("_v").over(inside))
-                    .alias(into)))
+    previous = steps.join(lasts, [group, "_block"]).select(
+        group, sequence, F.when(first, F.col("_carry")).otherwise(F.lag("_v").over(inside))
+        .alias(into))
+    return df.join(previous, [group, sequence], "left")
+
+
+def _split_hot(df: DataFrame, group: str, hot_rows: int, usual, blocked) -> DataFrame:
+    """``usual`` for ordinary groups, ``blocked`` for groups of more than ``hot_rows``."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    hot = land(sizes.filter(F.col("_n") > hot_rows).select(group), "hot-groups")
+    if hot.isEmpty():
+        return usual(df)
+    return usual(df.join(hot, group, "left_anti")).unionByName(
+        blocked(df.join(hot, group, "left_semi")))
+
+
+def prior_max(df: DataFrame, group: str, sequence: str, value: str, into: str,
+              hot_rows: int = _HOT_ROWS) -> DataFrame:
+    """Add the highest ``value`` at any lower (integer) ``sequence`` of the group.
+
+    One window per ordinary group; a hot group is cut into blocks of sequences, so
+    that no task ever holds it whole.
+    """
+    earlier = (Window.partitionBy(group).orderBy(sequence)
+               .rangeBetween(Window.unboundedPreceding, -1))
+    return _split_hot(
+        df, group, hot_rows,
+        lambda d: d.withColumn(into, F.max(value).over(earlier)),
+        lambda d: _prior_max_in_blocks(d, group, sequence, value, into))
+
+
+def previous_value(df: DataFrame, group: str, sequence: str, value: str, into: str,
+                   hot_rows: int = _HOT_ROWS) -> DataFrame:
+    """Add ``value`` of the next lower sequence of the group; hot groups as above."""
+    order = Window.partitionBy(group).orderBy(sequence)
+    return _split_hot(
+        df, group, hot_rows,
+        lambda d: d.withColumn(into, F.lag(value).over(order)),
+        lambda d: _previous_in_blocks(d, group, sequence, value, into))
 
 
 def dense_competition_rank(df: DataFrame, score: str, into: str, scale: int = 2) -> DataFrame:

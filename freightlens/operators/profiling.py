@@ -7,24 +7,23 @@ from pyspark.sql import functions as F
 
 from freightlens.functions.expr import count_if, number, parse_short_date
 from freightlens.operators.staging import TARGETS
+from freightlens.session import land
 
 
 def value_counts(raw: DataFrame) -> DataFrame:
     """(column_name, value, n) over every column of a text table."""
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value"))
-        for c in raw.columns]))
-    return (raw.select(cells.alias("c")).groupBy("c.column_name", "c.value")
-            .agg(F.count(F.lit(1)).alias("n")))
+    cells = raw.unpivot([], raw.columns, "column_name", "value")
+    return cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def profile(counts: DataFrame, top: int = 3) -> DataFrame:
-    """One row per column, from :func:`value_counts`.
+def profile(raw: DataFrame, top: int = 3) -> DataFrame:
+    """One row per column of a text table.
 
-    Types are read off the distinct values. The top values come from a ranked
+    The value counts are read twice, so they are landed once. Types are read off the distinct values. The top values come from a ranked
     filter that Spark also applies before the shuffle, so a column of unique ids
     does not travel.
     """
+    counts = land(value_counts(raw), "value-counts")
     value = F.col("value")
     num, day = number(value), parse_short_date(value)
     filled = value.isNotNull()

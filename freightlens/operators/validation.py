@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freightlens.config import Settings
 from freightlens.functions.expr import count_if
-from freightlens.operators.distributed import previous_step
+from freightlens.operators.distributed import previous_value
 from freightlens.operators.freight_audit import expected_charges
 from freightlens.operators.rules import Tables
 
@@ -174,7 +174,9 @@ def quantity_checks(t: Tables) -> list[DataFrame]:
 
 def milestone_checks(t: Tables) -> list[DataFrame]:
     done = t["fact_shipment_milestone"].filter("milestone_status = 'COMPLETED'")
-    steps = previous_step(done, "shipment_id", "milestone_sequence", "actual_timestamp", "_prev")
+    rows = done.select("shipment_id", "milestone_sequence", "actual_timestamp")
+    steps = previous_value(rows, "shipment_id", "milestone_sequence", "actual_timestamp",
+                           "_prev")
     return [report(steps, [Check("milestone_timestamp_monotonic", "HIGH", _all(), count_if(
         F.col("actual_timestamp") < F.col("_prev")))])]
 

@@ -143,7 +143,7 @@ def _category_map(s):
 
 @_staged("column_profile")
 def _column_profile(s):
-    return profiling.profile(profiling.value_counts(s.raw))
+    return profiling.profile(s.raw)
 
 
 @_staged("site_country")
