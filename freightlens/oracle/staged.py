@@ -221,9 +221,10 @@ SELECTS["location_xref"] = f"""
 SELECT printf('XR-MFG-%03d', n) AS xref_id, site AS raw_location_string, 'manufacturing_site' AS raw_field, printf('LOCMFG%03d', n) AS location_id,
   CASE WHEN {_country('site')} IS NOT NULL THEN 'COUNTRY_PARSED' ELSE 'UNRESOLVED' END AS match_method FROM site_no
 UNION ALL SELECT printf('XR-DST-%03d', n), goal, 'destination_country', printf('LOCDST%03d', n), 'EXACT' FROM goal_no"""
+# Medians in units of 1e-10, so that everything after them is integer arithmetic.
 cte("unit_median", """
-SELECT product_category, COALESCE(median(CAST(weight_kg AS DOUBLE) / line_item_quantity), 1.0) AS w,
-  median(CAST(line_item_value_usd AS DOUBLE) / line_item_quantity) AS v
+SELECT product_category, COALESCE(CAST(median(CAST(ROUND(CAST(weight_kg AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT), 10000000000) AS w,
+  CAST(median(CAST(ROUND(CAST(line_item_value_usd AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT) AS v
 FROM stg WHERE product_category IS NOT NULL GROUP BY 1""")
 _TRAIT = {"SOLAR_MODULE": ("SG-PVM", "Solar Modules", "8541", 0, 0, 1), "INVERTER": ("SG-INV", "Inverters", "8504", 0, 0, 1),
           "BATTERY_ESS": ("SG-BES", "Battery Energy Storage Systems", "8507", 1, 1, 0),
@@ -232,7 +233,7 @@ _TRAITS = ", ".join(f"('{c}', '{t[0]}', '{t[1]}', '{t[2]}', {t[3]}, {t[4]}, {t[5
 cte("variant", f"""
 SELECT printf('PRD-%s-%02d', substr(c, 1, 3), n) AS product_id, printf('%s-%d-%02d', sku, 100 + n * 17, n) AS product_sku, c AS product_category,
   printf('%s — nominal pack unit variant %d', label, n) AS product_description, 'PACK' AS unit_of_measure,
-  ROUND(w * (0.8::DOUBLE + 0.4::DOUBLE * (n - 1) / 4), 4) AS unit_weight_kg, ROUND(v * (0.8::DOUBLE + 0.4::DOUBLE * (n - 1) / 4), 4) AS unit_value_usd,
+  CAST((w * (n + 7) + 5000000) // 10000000 AS DOUBLE) / 10000 AS unit_weight_kg, CAST((v * (n + 7) + 5000000) // 10000000 AS DOUBLE) / 10000 AS unit_value_usd,
   hts || '.40.' || substr(c, 1, 3) AS hts_code, hz AS hazardous_material_flag, tc AS temperature_controlled_flag, st AS stackable_flag
 FROM (VALUES {_TRAITS}) x(c, sku, label, hts, hz, tc, st) JOIN unit_median ON product_category = c, (SELECT unnest([1, 2, 3, 4, 5]) AS n)""")
 SELECTS["product_dim"] = "SELECT * FROM variant"
@@ -386,9 +387,9 @@ SELECT l.lane_id, origin_name, destination_name, transport_mode, COALESCE(n, 0)
 FROM lane l LEFT JOIN (SELECT lane_id, COUNT(*) AS n, median(date_diff('day', po_sent_date, s.actual_delivery_date)) AS ml, median(transit_days) AS mt
   FROM ship s JOIN stg ON stg.source_record_id = s.source_record_id GROUP BY lane_id) x ON x.lane_id = l.lane_id"""
 SELECTS["rate_reconciliation"] = """
-SELECT m.scope AS reconciliation_scope, n AS n_shipments_with_freight, ROUND(o, 2) AS median_observed_freight, ROUND(e, 2) AS median_expected_freight,
+SELECT m.scope AS reconciliation_scope, n AS n_shipments_with_freight, ROUND(o) / 100 AS median_observed_freight, ROUND(e) / 100 AS median_expected_freight,
   ROUND(e / o, 4) AS expected_to_observed_ratio
-FROM (SELECT COALESCE(shipment_mode, 'ALL') AS scope, COUNT(*) AS n, median(CAST(expected_base + expected_fuel AS DOUBLE)) AS e FROM staged_rate
+FROM (SELECT COALESCE(shipment_mode, 'ALL') AS scope, COUNT(*) AS n, median(CAST((expected_base + expected_fuel) * 100 AS BIGINT)) AS e FROM staged_rate
   WHERE expected_base IS NOT NULL AND shipment_status = 'DELIVERED' GROUP BY ROLLUP (shipment_mode)) m
-LEFT JOIN (SELECT shipment_mode AS scope, median(CAST(freight_cost_usd AS DOUBLE)) AS o FROM stg WHERE shipment_mode IS NOT NULL AND freight_cost_usd IS NOT NULL GROUP BY 1
-  UNION ALL SELECT 'ALL', median(CAST(freight_cost_usd AS DOUBLE)) FROM stg) x ON x.scope = m.scope"""
+LEFT JOIN (SELECT shipment_mode AS scope, median(CAST(freight_cost_usd * 100 AS BIGINT)) AS o FROM stg WHERE shipment_mode IS NOT NULL AND freight_cost_usd IS NOT NULL GROUP BY 1
+  UNION ALL SELECT 'ALL', median(CAST(freight_cost_usd * 100 AS BIGINT)) FROM stg) x ON x.scope = m.scope"""
