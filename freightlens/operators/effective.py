@@ -17,7 +17,8 @@ def timeline(versions: DataFrame, keys: list[str], start: str, end: str,
     Exact copies of a window collapse to the highest id, and a window is closed
     the day before the next one starts when that next one reaches at least as far.
     ``_complex`` marks keys that still overlap (a short window inside a long one)
-    or that hold many versions.
+    or that hold many versions. The window streams over the distinct validity
+    windows of a key, copies already collapsed.
     """
     others = [c for c in versions.columns if c not in (*keys, start, end)]
     payload = F.struct(F.col(version_id).alias("_vid"), *[F.col(c) for c in others])

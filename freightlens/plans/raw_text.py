@@ -115,6 +115,11 @@ def raw_text(tower: Tower) -> DataFrame:
 _layers: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
+def forget() -> None:
+    """Stage and conform anew on the next use."""
+    _layers.clear()
+
+
 class Staged:
     """Staged shipments and the model conformed from them, landed layer by layer."""
 

@@ -15,6 +15,11 @@ from freightlens.session import land
 _kept: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def forget() -> None:
+    """Compute every kept result anew on its next use."""
+    _kept.clear()
+
+
 class Results:
     """Lazy results; the ones other results build on are landed once per session."""
 

@@ -43,6 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dirs[app]
 
 
+def _landing(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/freightlens/{spark.sparkContext.applicationId}"
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
@@ -50,7 +54,12 @@ def land(df: DataFrame, name: str) -> DataFrame:
     and that later plans can prune and push filters into.
     """
     spark = df.sparkSession
-    path = (f"{shared_dir(spark)}/freightlens/{spark.sparkContext.applicationId}/"
-            f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{_landing(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_landed(spark: SparkSession) -> bool:
+    """Remove what this application has landed; call it when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_landing(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
