@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from freightlens.config import Settings
 from freightlens.operators import dimensions, facts, freight_audit, staging
 from freightlens.plans.tower import Tower
-from freightlens.session import land
+from freightlens.session import land, still_landed
 
 # Countries and sites the integer keys are spelled as.
 COUNTRIES = ["Angola", "Benin", "Kenya", "Ghana", "Zambia", "South Africa", "Vietnam", "Haiti",
@@ -129,7 +129,7 @@ class Staged:
         self._own = _layers.setdefault(slot, {})
 
     def _get(self, name: str, build) -> DataFrame:
-        if name not in self._own:
+        if not still_landed(self._own.get(name)):
             self._own[name] = land(build(), name)
         return self._own[name]
 
@@ -155,7 +155,7 @@ class Staged:
         return self._locations()[1]
 
     def _locations(self) -> tuple[DataFrame, DataFrame]:
-        if "location" not in self._own:
+        if not still_landed(self._own.get("location")):
             dim, xref = dimensions.locations(self.stg)
             self._own["location"], self._own["xref"] = land(dim, "location"), land(xref, "xref")
         return self._own["location"], self._own["xref"]

@@ -10,7 +10,7 @@ from freightlens.operators import (
     service_kpis,
 )
 from freightlens.plans.tower import AS_OF, SETTINGS, Tower
-from freightlens.session import land
+from freightlens.session import land, still_landed
 
 _kept: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -28,7 +28,7 @@ class Results:
 
     def _keep(self, name: str, build) -> DataFrame:
         slot = (self.t.spark.sparkContext.applicationId, self.t.folder, name)
-        if slot not in _kept:
+        if not still_landed(_kept.get(slot)):
             _kept[slot] = land(build(), name)
         return _kept[slot]
 

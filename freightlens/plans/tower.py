@@ -18,7 +18,7 @@ from freightlens.config import CARRIERS, PRODUCT_CATEGORIES, Settings
 from freightlens.functions.expr import lookup, month_key
 from freightlens.operators import accruals, detection, facts, freight_audit, shipments
 from freightlens.operators.rules import RULES
-from freightlens.session import land, tune
+from freightlens.session import land, still_landed, tune
 
 AS_OF = dt.date(2001, 6, 1)
 SETTINGS = Settings(as_of=AS_OF)
@@ -80,7 +80,7 @@ class Tower(Mapping):
             frame = _BUILDERS[name](self)
         else:
             slot = (self.spark.sparkContext.applicationId, self.folder, name)
-            if slot not in _landed:
+            if not still_landed(_landed.get(slot)):
                 _landed[slot] = land(_BUILDERS[name](self), name)
             frame = _landed[slot]
         self._own[name] = frame

@@ -56,10 +56,25 @@ def land(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_landing(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    landed = spark.read.schema(df.schema).parquet(path)
+    landed._landed_at = path
+    return landed
+
+
+def _filesystem_path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def still_landed(df: DataFrame | None) -> bool:
+    """Whether a landed table is still in its folder, so that it can be used again."""
+    if df is None:
+        return False
+    files, at = _filesystem_path(df.sparkSession, df._landed_at)
+    return files.exists(at)
 
 
 def discard_landed(spark: SparkSession) -> bool:
     """Remove what this application has landed; call it when its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_landing(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, at = _filesystem_path(spark, _landing(spark))
+    return files.delete(at, True)

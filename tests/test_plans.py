@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_points
 from freightlens.operators import profiling
 from freightlens.plans.tower import Tower
-from freightlens.session import land
+from freightlens.session import land, still_landed
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -43,5 +43,6 @@ def test_top_values_are_limited_before_the_shuffle(spark):
 def test_landing_is_memoised_and_in_the_shared_folder(spark):
     a, b = Tower(spark, FOLDER)["dim_lane"], Tower(spark, FOLDER)["dim_lane"]
     assert a.inputFiles() == b.inputFiles() and "freightlens" in a.inputFiles()[0]
+    assert still_landed(a) and not still_landed(None)
     again = land(a, "copy")
     assert again.count() == a.count() and again.schema == a.schema
