@@ -43,6 +43,7 @@ def session() -> SparkSession:
     return (SparkSession.builder.master(f"local[{cpus}]").appName("freightlens-bench")
             .config("spark.sql.shuffle.partitions", cpus)
             .config("spark.driver.memory", "16g")
+            .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "/tmp/freightlens-bench"))
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.session.timeZone", "UTC").getOrCreate())

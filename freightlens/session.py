@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 SHARED_DIR_KEY = "spark.checkpoint.dir"
-_fallback_dirs: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -31,16 +29,18 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a folder
-    of its own.
+    A session without ``spark.checkpoint.dir`` uses its warehouse folder; a cluster
+    whose warehouse is on one machine's disk is refused, because tables landed there
+    would be in pieces on the executors' own disks.
     """
     named = spark.conf.get(SHARED_DIR_KEY, None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_dirs:
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="freightlens-")
-    return _fallback_dirs[app]
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = folder.startswith(("file:", "/"))
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SHARED_DIR_KEY}: {folder} is not shared between executors")
+    return f"{folder}/landed"
 
 
 def _landing(spark: SparkSession) -> str:
