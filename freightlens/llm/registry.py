@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from freightlens.llm.quality_rules import quality_rules
 from freightlens.llm.token_counts import token_counts
 from freightlens.llm.token_store import read_token_store, write_token_store
+from freightlens.llm.warc import read_packages, write_packages
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -24,5 +26,23 @@ def op4_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_store(spark, written)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_token_store)}
-ORACLES: dict[str, str] = {}
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(_table(spark, folder, "documents"))
+
+
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return read_packages(spark, write_packages(_table(spark, folder, "pages")))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_token_store, op6_quality_rules, op7_warc)}
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, url, strlen(html) AS n, sha1(html) AS digest FROM p),
+        w AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last, count(*) OVER (PARTITION BY digest) AS copies FROM d)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 1000 AND copies > 1 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND copies > 1 AND page_id <> last THEN last END AS refers_to,
+               url AS target_uri
+        FROM w""",
+}
