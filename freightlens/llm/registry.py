@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from freightlens.llm.html_paths import extract_text
 from freightlens.llm.quality_rules import quality_rules
+from freightlens.llm.sentencepieces import round_trip
 from freightlens.llm.token_counts import token_counts
 from freightlens.llm.token_store import read_token_store, write_token_store
 from freightlens.llm.warc import read_packages, write_packages
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,11 +23,19 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_sentencepieces(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(_table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 def op4_token_store(spark: SparkSession, folder: str) -> DataFrame:
     written = write_token_store(_table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
     return read_token_store(spark, written)
 
 
+def op5_html_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(_table(spark, folder, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(_table(spark, folder, "documents"))
 
@@ -34,7 +44,7 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read_packages(spark, write_packages(_table(spark, folder, "pages")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_token_store, op6_quality_rules, op7_warc)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc)}
 ORACLES: dict[str, str] = {
     "op7_warc": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
