@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freightlens.llm.decontamination import decontaminate
 from freightlens.llm.html_paths import extract_text
+from freightlens.llm.near_duplicates import near_duplicates
 from freightlens.llm.quality_rules import quality_rules
 from freightlens.llm.sentencepieces import round_trip
 from freightlens.llm.token_counts import token_counts
@@ -49,7 +50,12 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read_packages(spark, write_packages(_table(spark, folder, "pages")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc)}
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"), size=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc,
+                                  op8_near_duplicates)}
 # Words, windows of ten words or of a whole shorter item, and every place where one occurs.
 DECONTAMINATION = r"""
         WITH dw AS (
