@@ -118,6 +118,26 @@ def compression(text: memoryview, packer: zstandard.ZstdCompressor, bands: Bands
     return ratio, n_chunks, outside, lowest <= ratio <= highest and outside <= bands.chunk_share * n_chunks
 
 
+def _judged(texts: pa.Array, packer: zstandard.ZstdCompressor, bands: Bands) -> dict[str, np.ndarray]:
+    """Result columns of a batch of texts."""
+    data, borders = utf8(texts)
+    kinds = {"base_failed": bool, "kept": bool, "ratio": float}
+    columns = {c.split()[0]: np.zeros(len(texts), kinds.get(c.split()[0], np.int64)) for c in COLUMNS.split(", ")[1:]}
+    view = memoryview(data)
+    for a, b in slices(np.diff(borders)):
+        counts = text_counts(data[borders[a]:borders[b]], borders[a:b + 1] - borders[a])
+        found = [compression(view[borders[i]:borders[i + 1]], packer, bands) for i in range(a, b)]
+        base = (counts["n_words"] < bands.min_words) | (
+            100 * counts["n_repeat_words"] > bands.max_repeat_percent * counts["n_words"])
+        counts["base_failed"] = base
+        counts["kept"] = ~base & np.array([x[3] for x in found], bool)
+        for k, name in enumerate(("ratio", "n_chunks", "n_chunks_outside")):
+            counts[name] = np.array([x[k] for x in found])
+        for name, values in counts.items():
+            columns[name][a:b] = values
+    return columns
+
+
 def quality_rules(documents: DataFrame, bands: Bands = Bands(), id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
     """Counts, compression and verdict of every row; other columns are not read.
@@ -129,25 +149,20 @@ def quality_rules(documents: DataFrame, bands: Bands = Bands(), id_column: str =
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
+        names = [c.split()[0] for c in COLUMNS.split(", ")]
         for batch in batches:
-            data, borders = utf8(batch.column("text"))
-            parts: dict[str, list] = {}
-            for a, b in slices(np.diff(borders)):
-                counts = text_counts(data[borders[a]:borders[b]], borders[a:b + 1] - borders[a])
-                view = memoryview(data)
-                found = [compression(view[borders[i]:borders[i + 1]], packer, bands) for i in range(a, b)]
-                base = (counts["n_words"] < bands.min_words) | (
-                    100 * counts["n_repeat_words"] > bands.max_repeat_percent * counts["n_words"])
-                counts["base_failed"] = base
-                counts["kept"] = ~base & np.array([x[3] for x in found], bool)
-                for k, name in enumerate(("ratio", "n_chunks", "n_chunks_outside")):
-                    counts[name] = np.array([x[k] for x in found])
-                for name, values in counts.items():
-                    parts.setdefault(name, []).append(values)
-            if parts:
-                columns = {name: np.concatenate(values) for name, values in parts.items()}
-                names = [c.split()[0] for c in COLUMNS.split(", ")]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")] + [pa.array(columns[c]) for c in names[1:]], names=names)
+            columns = _judged(batch.column("text"), packer, bands)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")] + [pa.array(columns[c]) for c in names[1:]], names=names)
 
     return rows.mapInArrow(judge, COLUMNS)
+
+
+def keep_good(documents: DataFrame, bands: Bands = Bands(), text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, that ``quality_rules`` keeps."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=bands.level)
+        for batch in batches:
+            yield batch.filter(pa.array(_judged(batch.column(text_column), packer, bands)["kept"]))
+
+    return documents.mapInArrow(keep, documents.schema)

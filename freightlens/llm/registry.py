@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from freightlens.llm.decontamination import decontaminate
 from freightlens.llm.html_paths import extract_text
 from freightlens.llm.near_duplicates import near_duplicates
+from freightlens.llm.pseudo_likelihood import pseudo_likelihood
 from freightlens.llm.quality_rules import quality_rules
 from freightlens.llm.repeats import remove_repeats
 from freightlens.llm.sentencepieces import round_trip
@@ -55,13 +56,17 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), size=2)
 
 
+def op9_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(_table(spark, folder, "documents"))
+
+
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     return remove_repeats(documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc,
-                                  op8_near_duplicates, op10_repeats)}
+                                  op8_near_duplicates, op9_pseudo_likelihood, op10_repeats)}
 # Words, windows of ten words or of a whole shorter item, and every place where one occurs.
 DECONTAMINATION = r"""
         WITH dw AS (

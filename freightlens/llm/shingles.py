@@ -11,26 +11,28 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def words_of(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of every word: what stands between ASCII white space."""
+    row_of = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
+    word = ~BLANKS[data]
+    border = row_of[1:] != row_of[:-1]
+    head, tail = word.copy(), word.copy()
+    head[1:] &= ~word[:-1] | border
+    tail[:-1] &= ~word[1:] | border
+    starts = np.flatnonzero(head)
+    return row_of[starts], starts, np.flatnonzero(tail) + 1
+
+
 def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every text's distinct shingles, ascending, and n + 1 borders.
 
-    ``data``, ``borders``: UTF-8 bytes of n texts. Words stand between ASCII white space,
-    A-Z are lowered; a text of fewer words than ``size``, but not none, is one shingle.
+    ``data``, ``borders``: UTF-8 bytes of n texts, of which A-Z are lowered. A text of
+    fewer words than ``size``, but not none, is one shingle.
     """
     n = len(borders) - 1
     data = LOWER[data]
-    row_of = np.repeat(np.arange(n), np.diff(borders))
-    blank = BLANKS[data]
-    gap = np.ones(len(data) + 1, bool)
-    gap[1:-1] = blank[:-1] | (row_of[1:] != row_of[:-1])
-    starts = np.flatnonzero(~blank & gap[:-1])
-    gap[:-1] = blank
-    gap[:-2] |= row_of[1:] != row_of[:-1] if len(data) > 1 else False
-    stops = np.zeros(len(data), bool)
-    stops[:-1] = blank[1:] | (row_of[1:] != row_of[:-1])
-    stops[-1:] = True
-    ends = np.flatnonzero(~blank & stops) + 1
-    words, rows = Hashes(data).spans(starts, ends), row_of[starts]
+    rows, starts, ends = words_of(data, borders)
+    words = Hashes(data).spans(starts, ends)
     counts = np.bincount(rows, minlength=n)
     made = Hashes(words, 1)
     head = np.cumsum(counts) - counts
