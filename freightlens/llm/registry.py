@@ -12,6 +12,7 @@ from freightlens.llm.pseudo_likelihood import pseudo_likelihood
 from freightlens.llm.quality_rules import quality_rules
 from freightlens.llm.repeats import remove_repeats
 from freightlens.llm.sentencepieces import round_trip
+from freightlens.llm.statements import STATEMENTS
 from freightlens.llm.token_counts import token_counts
 from freightlens.llm.token_store import read_token_store, write_token_store
 from freightlens.llm.warc import read_packages, write_packages
@@ -67,40 +68,4 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc,
                                   op8_near_duplicates, op9_pseudo_likelihood, op10_repeats)}
-# Words, windows of ten words or of a whole shorter item, and every place where one occurs.
-DECONTAMINATION = r"""
-        WITH dw AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {documents}),
-        bw AS (
-            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-        windows AS (
-            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
-            FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
-                  FROM (SELECT item_id, w, least(len(w), 10) AS n FROM bw WHERE len(w) > 0))),
-        places AS (
-            SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
-            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
-                  FROM dw, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
-        hits AS (SELECT DISTINCT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x USING (n, win)),
-        covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit
-                    FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
-        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
-        SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
-
-ORACLES: dict[str, str] = {
-    "op2_decontamination": DECONTAMINATION.format(documents="documents"),
-    "op7_warc": """
-        WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
-        d AS (SELECT page_id, url, strlen(html) AS n, sha1(html) AS digest FROM p),
-        w AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last, count(*) OVER (PARTITION BY digest) AS copies FROM d)
-        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
-               CASE WHEN n >= 1000 AND copies > 1 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN n >= 1000 AND copies > 1 AND page_id <> last THEN last END AS refers_to,
-               url AS target_uri
-        FROM w""",
-}
+ORACLES = STATEMENTS
