@@ -95,22 +95,22 @@ CARRIERS = [
 
 # Warehouses (id, name, region, type, weight capacity, pallets).
 WAREHOUSES = [
-    ("WH01", "SunGrid West Africa DC", "AFRICA", "DISTRIBUTION_CENTER", 5000000, 8000),
-    ("WH02", "SunGrid Southern Africa DC", "AFRICA", "DISTRIBUTION_CENTER", 6000000, 9000),
-    ("WH03", "SunGrid SE Asia DC", "ASIA", "DISTRIBUTION_CENTER", 4000000, 7000),
-    ("WH04", "SunGrid Americas DC", "AMERICAS", "DISTRIBUTION_CENTER", 3500000, 6000),
-    ("WH05", "SunGrid Europe Hub", "EUROPE", "CROSS_DOCK", 3000000, 5000),
+    ("WH01", "Corridor West Africa DC", "AFRICA", "DISTRIBUTION_CENTER", 5000000, 8000),
+    ("WH02", "Corridor Southern Africa DC", "AFRICA", "DISTRIBUTION_CENTER", 6000000, 9000),
+    ("WH03", "Corridor SE Asia DC", "ASIA", "DISTRIBUTION_CENTER", 4000000, 7000),
+    ("WH04", "Corridor Americas DC", "AMERICAS", "DISTRIBUTION_CENTER", 3500000, 6000),
+    ("WH05", "Corridor Europe Hub", "EUROPE", "CROSS_DOCK", 3000000, 5000),
 ]
 
 # Product categories (label, sku prefix, tariff prefix, flags).
 PRODUCT_CATEGORIES = {
-    "SOLAR_MODULE": {"label": "Solar Modules", "sku": "SG-PVM", "hts": "8541",
+    "SOLAR_MODULE": {"label": "Solar Modules", "sku": "EQ-PVM", "hts": "8541",
                      "hazmat": 0, "temp": 0, "stack": 1},
-    "INVERTER": {"label": "Inverters", "sku": "SG-INV", "hts": "8504",
+    "INVERTER": {"label": "Inverters", "sku": "EQ-INV", "hts": "8504",
                  "hazmat": 0, "temp": 0, "stack": 1},
-    "BATTERY_ESS": {"label": "Battery Energy Storage Systems", "sku": "SG-BES", "hts": "8507",
+    "BATTERY_ESS": {"label": "Battery Energy Storage Systems", "sku": "EQ-BES", "hts": "8507",
                     "hazmat": 1, "temp": 1, "stack": 0},
-    "BOS_COMPONENT": {"label": "Electrical Balance-of-System Components", "sku": "SG-BOS",
+    "BOS_COMPONENT": {"label": "Electrical Balance-of-System Components", "sku": "EQ-BOS",
                       "hts": "8544", "hazmat": 0, "temp": 0, "stack": 1},
 }
 # Fixed values: (product group | sub classification) -> category, "*" = any.
@@ -204,7 +204,6 @@ class Settings:
     date_shift_years: int = 10
     booking_lead_days: int = 4
     po_lead_days: int = 21
-    transit_noise_days: int = 3
     accrual_lag_days: int = 5
     capacity_headroom: float = 0.22
     lane_sufficiency: tuple[int, int] = (30, 5)

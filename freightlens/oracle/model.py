@@ -96,8 +96,8 @@ _CAT = ("CASE p_type WHEN 'ECONOMY' THEN 'SOLAR_MODULE' WHEN 'STANDARD' THEN 'SO
         "WHEN 'SMALL' THEN 'BOS_COMPONENT' END")
 cte("dim_product", f"""
 SELECT p_partkey AS product_id,
-  CASE cat WHEN 'SOLAR_MODULE' THEN 'SG-PVM' WHEN 'INVERTER' THEN 'SG-INV'
-    WHEN 'BATTERY_ESS' THEN 'SG-BES' ELSE 'SG-BOS' END || '-' || CAST(p_partkey AS VARCHAR) AS product_sku,
+  CASE cat WHEN 'SOLAR_MODULE' THEN 'EQ-PVM' WHEN 'INVERTER' THEN 'EQ-INV'
+    WHEN 'BATTERY_ESS' THEN 'EQ-BES' ELSE 'EQ-BOS' END || '-' || CAST(p_partkey AS VARCHAR) AS product_sku,
   cat AS product_category, p_name AS product_description, 'PACK' AS unit_of_measure,
   CASE WHEN p_partkey % 50 <> 7 THEN CASE cat WHEN 'SOLAR_MODULE' THEN '8541' WHEN 'INVERTER' THEN '8504'
     WHEN 'BATTERY_ESS' THEN '8507' ELSE '8544' END || '.40.' || substr(cat, 1, 3) END AS hts_code,

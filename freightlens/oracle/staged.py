@@ -208,8 +208,8 @@ cte("site_no", """
 SELECT manufacturing_site AS site, ROW_NUMBER() OVER (ORDER BY manufacturing_site) AS n FROM (SELECT DISTINCT manufacturing_site FROM stg)""")
 cte("goal_no", """
 SELECT destination_country AS goal, ROW_NUMBER() OVER (ORDER BY destination_country) AS n FROM (SELECT DISTINCT destination_country FROM stg)""")
-_WH = ("(VALUES ('LOCWH01', 'SunGrid West Africa DC', 'AFRICA'), ('LOCWH02', 'SunGrid Southern Africa DC', 'AFRICA'), "
-       "('LOCWH03', 'SunGrid SE Asia DC', 'ASIA'), ('LOCWH04', 'SunGrid Americas DC', 'AMERICAS'), ('LOCWH05', 'SunGrid Europe Hub', 'EUROPE')) w(i, n, r)")
+_WH = ("(VALUES ('LOCWH01', 'Corridor West Africa DC', 'AFRICA'), ('LOCWH02', 'Corridor Southern Africa DC', 'AFRICA'), "
+       "('LOCWH03', 'Corridor SE Asia DC', 'ASIA'), ('LOCWH04', 'Corridor Americas DC', 'AMERICAS'), ('LOCWH05', 'Corridor Europe Hub', 'EUROPE')) w(i, n, r)")
 cte("loc", f"""
 SELECT printf('LOCMFG%03d', n) AS location_id, site AS location_name, country, {_region('country')} AS region,
   'MANUFACTURING_SITE' AS location_type, CASE WHEN country IS NOT NULL THEN 'PUBLIC' ELSE 'DERIVED' END AS data_class
@@ -226,9 +226,9 @@ cte("unit_median", """
 SELECT product_category, COALESCE(CAST(median(CAST(ROUND(CAST(weight_kg AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT), 10000000000) AS w,
   CAST(median(CAST(ROUND(CAST(line_item_value_usd AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT) AS v
 FROM stg WHERE product_category IS NOT NULL GROUP BY 1""")
-_TRAIT = {"SOLAR_MODULE": ("SG-PVM", "Solar Modules", "8541", 0, 0, 1), "INVERTER": ("SG-INV", "Inverters", "8504", 0, 0, 1),
-          "BATTERY_ESS": ("SG-BES", "Battery Energy Storage Systems", "8507", 1, 1, 0),
-          "BOS_COMPONENT": ("SG-BOS", "Electrical Balance-of-System Components", "8544", 0, 0, 1)}
+_TRAIT = {"SOLAR_MODULE": ("EQ-PVM", "Solar Modules", "8541", 0, 0, 1), "INVERTER": ("EQ-INV", "Inverters", "8504", 0, 0, 1),
+          "BATTERY_ESS": ("EQ-BES", "Battery Energy Storage Systems", "8507", 1, 1, 0),
+          "BOS_COMPONENT": ("EQ-BOS", "Electrical Balance-of-System Components", "8544", 0, 0, 1)}
 _TRAITS = ", ".join(f"('{c}', '{t[0]}', '{t[1]}', '{t[2]}', {t[3]}, {t[4]}, {t[5]})" for c, t in _TRAIT.items())
 cte("variant", f"""
 SELECT printf('PRD-%s-%02d', substr(c, 1, 3), n) AS product_id, printf('%s-%d-%02d', sku, 100 + n * 17, n) AS product_sku, c AS product_category,
@@ -290,8 +290,7 @@ _POOL = ("CASE {} WHEN 'AIR' THEN ['CAR03', 'CAR04', 'CAR10'] WHEN 'AIR_CHARTER'
 cte("grid", f"""
 SELECT 'RC-' || lane_id || '-' || carrier_id AS rate_id, carrier_id, lane_id, transport_mode, DATE '2015-01-01' AS effective_start_date,
   DATE '2099-12-31' AS effective_end_date, 'PER_KG' AS rate_basis,
-  CAST(ROUND(CASE transport_mode WHEN 'AIR' THEN 9.35::DOUBLE WHEN 'AIR_CHARTER' THEN 3.85::DOUBLE WHEN 'TRUCK' THEN 1.82::DOUBLE ELSE 1.62::DOUBLE END
-    * (1 + ({_u('rate_spread', "carrier_id || ':' || transport_mode")} * 2 - 1) * 0.12::DOUBLE), 4) AS DECIMAL(12,4)) AS rate_per_kg,
+  CAST(CASE transport_mode WHEN 'AIR' THEN 9.35 WHEN 'AIR_CHARTER' THEN 3.85 WHEN 'TRUCK' THEN 1.82 ELSE 1.62 END AS DECIMAL(12,4)) AS rate_per_kg,
   CAST(CASE transport_mode WHEN 'AIR' THEN 120 WHEN 'AIR_CHARTER' THEN 900 WHEN 'TRUCK' THEN 150 ELSE 800 END AS DECIMAL(12,2)) AS minimum_charge,
   CAST(CASE transport_mode WHEN 'AIR' THEN 0.18 WHEN 'AIR_CHARTER' THEN 0.18 WHEN 'TRUCK' THEN 0.25 ELSE 0.12 END AS DECIMAL(6,4)) AS fuel_percentage,
   'USD' AS currency
@@ -301,19 +300,19 @@ SELECTS["rate_card_grid"] = ("SELECT * REPLACE (CAST(rate_per_kg AS DOUBLE) AS r
 cte("moved", f"""
 SELECT *, arrival - transit_days AS actual_ship_date, due - standard_days AS planned_ship_date, arrival <= DATE '2021-06-01' AS done FROM (
   SELECT s.*, r.origin_location_id, r.destination_location_id, r.resolved_mode, r.mode_imputed_flag, r.warehouse_id, r.lane_id, l.standard_transit_days AS standard_days,
-    CAST(GREATEST(1, l.standard_transit_days + CAST(ROUND({_u('transit', 's.' + 'source_record_id::VARCHAR')} * 6 - 3, 0) AS INTEGER)) AS INTEGER) AS transit_days,
+    CAST(GREATEST(1, l.standard_transit_days + (s.reporting_actual_delivery_date - s.reporting_scheduled_delivery_date)) AS INTEGER) AS transit_days,
     s.reporting_scheduled_delivery_date AS due, s.reporting_actual_delivery_date AS arrival, o.country AS origin_country,
     CASE WHEN product_category IS NOT NULL THEN printf('PRD-%s-%02d', substr(product_category, 1, 3),
-      CAST(floor({_u('product', 's.source_record_id::VARCHAR')} * 5) AS INTEGER) + 1) END AS product_id,
+      s.unit_of_measure_per_pack % 5 + 1) END AS product_id, CAST(substr(z.supplier_id, 4) AS BIGINT) AS supplier_no,
     {_POOL.format('r.resolved_mode')} AS pool
   FROM stg s JOIN routed r ON r.source_record_id = s.source_record_id LEFT JOIN lane l ON l.lane_id = r.lane_id
-  LEFT JOIN loc o ON o.location_id = r.origin_location_id)""")
+  LEFT JOIN loc o ON o.location_id = r.origin_location_id LEFT JOIN vendor z ON z.supplier_name = s.vendor_name)""")
 cte("po_no", """
 SELECT g, printf('PO%06d', ROW_NUMBER() OVER (ORDER BY g)) AS po_id FROM (
   SELECT DISTINCT COALESCE('SRC:' || po_so_number, 'LINE:' || CAST(source_record_id AS VARCHAR)) AS g FROM stg)""")
 cte("ship", f"""
 SELECT printf('SHP%07d', m.source_record_id) AS shipment_id, m.source_record_id,
-  pool[CAST(floor({_u('carrier', 'm.source_record_id::VARCHAR')} * len(pool)) AS INTEGER) + 1] AS carrier_id, lane_id, m.product_id,
+  pool[supplier_no % len(pool) + 1] AS carrier_id, lane_id, m.product_id,
   origin_location_id, destination_location_id, warehouse_id, resolved_mode AS shipment_mode, incoterm,
   LEAST(actual_ship_date, planned_ship_date) - 4 AS booking_date, planned_ship_date, actual_ship_date, due AS planned_delivery_date,
   CASE WHEN done THEN arrival END AS actual_delivery_date, line_item_quantity AS planned_quantity, line_item_quantity AS shipped_quantity,
@@ -375,11 +374,10 @@ SELECTS["staged_expected_freight"] = "SELECT * REPLACE (" + ", ".join(
 _NAME = "carrier_id || ':' || lane_id || ':' || period_month"
 SELECTS["capacity_build"] = f"""
 SELECT 'CAP-' || {_NAME} AS capacity_id, carrier_id, lane_id, CAST(period_month || '-01' AS DATE) AS period_start, period_month,
-  ROUND(available, 2) AS available_capacity_kg, ROUND(booked, 2) AS booked_capacity_kg, load AS utilized_capacity_kg,
+  available AS available_capacity_kg, load AS booked_capacity_kg, load AS utilized_capacity_kg,
   ROUND(CASE WHEN available <> 0 THEN LEAST(100.0, load / available * 100) ELSE 0 END, 2) AS capacity_utilization_pct
-FROM (SELECT *, booked / GREATEST(0.55::DOUBLE, 1 - 0.22::DOUBLE * (1 + 0.15::DOUBLE * sin(CAST(substr(period_month, 6, 2) AS DOUBLE) / 12 * (2 * pi())))) AS available FROM (
-  SELECT *, load * (1 + 0.05::DOUBLE * {_u('cap_book', _NAME)}) AS booked FROM (
-    SELECT carrier_id, lane_id, strftime(actual_ship_date, '%Y-%m') AS period_month, CAST(SUM(shipment_weight_kg) AS DOUBLE) AS load FROM ship GROUP BY 1, 2, 3)))"""
+FROM (SELECT * REPLACE (CAST(load AS DOUBLE) AS load), CAST(ROUND(MAX(load) OVER (PARTITION BY carrier_id, lane_id) * 1.22, 2) AS DOUBLE) AS available FROM (
+  SELECT carrier_id, lane_id, strftime(actual_ship_date, '%Y-%m') AS period_month, CAST(SUM(shipment_weight_kg) AS DECIMAL(16,2)) AS load FROM ship GROUP BY 1, 2, 3))"""
 SELECTS["lane_derivation"] = """
 SELECT l.lane_id, origin_name, destination_name, transport_mode, COALESCE(n, 0) AS n_shipments, ROUND(ml, 2) AS median_order_lead_days,
   ROUND(mt, 2) AS median_derived_transit_days, standard_transit_days, 'MODE_REGION_STANDARD' AS derivation_method,

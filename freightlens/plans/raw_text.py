@@ -184,12 +184,13 @@ class Staged:
 
     @property
     def rate_card(self) -> DataFrame:
-        return self._get("rate_card", lambda: dimensions.rate_cards(self.lane, STAGING))
+        return self._get("rate_card", lambda: dimensions.rate_cards(self.lane))
 
     @property
     def shipment(self) -> DataFrame:
         return self._get("staged_shipment", lambda: facts.assign_po(facts.derive_shipments(
-            self.stg, self.routed, self.lane, self.product, self.location, STAGING), self.stg))
+            self.stg, self.routed, self.lane, self.product, self.location, self.supplier,
+            STAGING), self.stg))
 
     @property
     def purchase_order(self) -> DataFrame:
