@@ -54,6 +54,23 @@ def mean(name: str, digits: int = 2) -> Column:
     return F.round(F.avg(F.col(name).cast("double")), digits)
 
 
+def mean_of_hundredths(name: str) -> Column:
+    """Average of a non-negative DECIMAL of two digits, rounded half up to two digits.
+
+    Sum, count and rounding are whole numbers, so that no order of rows changes it.
+    """
+    hundredths, n = (F.sum(name) * 100).cast("bigint"), F.count(name)
+    doubled, twice = hundredths * 2 + n, F.nullif(n * 2, F.lit(0).cast("bigint"))
+    return ((doubled - doubled % twice) / twice).cast("double") / 100
+
+
+def spread_of_whole(column: Column) -> Column:
+    """Population standard deviation of whole numbers from exact sums."""
+    x = column.cast("bigint")
+    n, total, squares = F.count(x), F.sum(x), F.sum(x * x)
+    return F.sqrt((n * squares - total * total).cast("double")) / F.nullif(n, F.lit(0).cast("bigint"))
+
+
 def lookup(mapping: Mapping[str, object], key: Column, cast: str | None = None) -> Column:
     """Value of ``key`` in a fixed mapping, NULL when absent.
 

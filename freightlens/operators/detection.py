@@ -47,9 +47,7 @@ def materialize(detected: DataFrame, as_of: dt.date) -> DataFrame:
     """Detections with a dense id in (rule, record) order, age and open status."""
     numbered = number_rows(detected, ["rule_id", "record_type", "record_id"])
     return numbered.select(
-        F.concat(F.lit("DE-"), F.when(F.col("row_no") < 1_000_000,
-                                      F.lpad(F.col("row_no").cast("string"), 6, "0"))
-                 .otherwise(F.col("row_no").cast("string"))).alias("detected_exception_id"),
+        F.format_string("DE-%06d", "row_no").alias("detected_exception_id"),
         "rule_id", "exception_type", "record_id", "record_type",
         F.lit(as_of).alias("detected_date"), "severity", "exception_description",
         "business_owner", F.lit("OPEN").alias("resolution_status"),

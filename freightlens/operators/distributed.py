@@ -138,17 +138,27 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float,
 
 
 _SEQ_BLOCK = 4096
-_HOT_ROWS = 1_000_000
 
 
-def _blocks(df: DataFrame, sequence: str) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(sequence) / _SEQ_BLOCK))
+def _steps(df: DataFrame, group: str, sequence: str, value: str, block: int) -> DataFrame:
+    """The highest value of each (group, sequence) and the block its sequence falls in.
 
+    Rows without a group or sequence belong to no order.
+    """
+    steps = (df.filter(F.col(group).isNotNull() & F.col(sequence).isNotNull())
+             .groupBy(group, sequence).agg(F.max(value).alias("_v")))
+    return steps.withColumn("_block", F.floor(F.col(sequence) / block))
+
+
+def prior_max(df: DataFrame, group: str, sequence: str, value: str, into: str,
+              block: int = _SEQ_BLOCK) -> DataFrame:
+    """Add the highest ``value`` at any lower (integer) ``sequence`` of the group.
 
-def _prior_max_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
-                         into: str) -> DataFrame:
-    """Running maximum over blocks of sequences combined with one inside the block."""
-    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), sequence)
+    NULL for rows without a group or sequence. Rows are reduced to one per (group,
+    sequence); a running maximum inside blocks of sequences is combined with the one
+    over blocks, so that no window holds more than a block or a row per block.
+    """
+    steps = _steps(df, group, sequence, value, block)
     inside = (Window.partitionBy(group, "_block").orderBy(sequence)
               .rowsBetween(Window.unboundedPreceding, -1))
     across = (Window.partitionBy(group).orderBy("_block")
@@ -160,10 +170,11 @@ def _prior_max_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
     return df.join(prior, [group, sequence], "left")
 
 
-def _previous_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
-                        into: str) -> DataFrame:
-    """Value of the step before, carried over block borders."""
-    steps = _blocks(df.groupBy(group, sequence).agg(F.max(value).alias("_v")), sequence)
+def previous_value(df: DataFrame, group: str, sequence: str, value: str, into: str,
+                   block: int = _SEQ_BLOCK) -> DataFrame:
+    """Add the highest ``value`` at the next lower sequence of the group; NULL for rows
+    without a group or sequence. Cut into blocks as above."""
+    steps = _steps(df, group, sequence, value, block)
     lasts = steps.groupBy(group, "_block").agg(F.max_by("_v", sequence).alias("_last"))
     across = Window.partitionBy(group).orderBy("_block")
     lasts = lasts.select(group, "_block", F.lag("_last").over(across).alias("_carry"))
@@ -175,41 +186,6 @@ def _previous_in_blocks(df: DataFrame, group: str, sequence: str, value: str,
     return df.join(previous, [group, sequence], "left")
 
 
-def _split_hot(df: DataFrame, group: str, hot_rows: int, usual, blocked) -> DataFrame:
-    """``usual`` for ordinary groups, ``blocked`` for groups of more than ``hot_rows``."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = land(sizes.filter(F.col("_n") > hot_rows).select(group), "hot-groups")
-    if hot.isEmpty():
-        return usual(df)
-    return usual(df.join(hot, group, "left_anti")).unionByName(
-        blocked(df.join(hot, group, "left_semi")))
-
-
-def prior_max(df: DataFrame, group: str, sequence: str, value: str, into: str,
-              hot_rows: int = _HOT_ROWS) -> DataFrame:
-    """Add the highest ``value`` at any lower (integer) ``sequence`` of the group.
-
-    One window per ordinary group; a hot group is cut into blocks of sequences, so
-    that no task ever holds it whole.
-    """
-    earlier = (Window.partitionBy(group).orderBy(sequence)
-               .rangeBetween(Window.unboundedPreceding, -1))
-    return _split_hot(
-        df, group, hot_rows,
-        lambda d: d.withColumn(into, F.max(value).over(earlier)),
-        lambda d: _prior_max_in_blocks(d, group, sequence, value, into))
-
-
-def previous_value(df: DataFrame, group: str, sequence: str, value: str, into: str,
-                   hot_rows: int = _HOT_ROWS) -> DataFrame:
-    """Add ``value`` of the next lower sequence of the group; hot groups as above."""
-    order = Window.partitionBy(group).orderBy(sequence)
-    return _split_hot(
-        df, group, hot_rows,
-        lambda d: d.withColumn(into, F.lag(value).over(order)),
-        lambda d: _previous_in_blocks(d, group, sequence, value, into))
-
-
 def dense_competition_rank(df: DataFrame, score: str, into: str, scale: int = 2) -> DataFrame:
     """Min-rank (1 = best) of a bounded fixed-point score; NULL scores stay unranked.
 

@@ -2,40 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.session import land
 
-_ANY_DAY = -1_000_000
+#: Levels of the halving of a key's elementary intervals: enough for 2 ** 40 of them.
+_LEVELS = 40
+
+
+def _halved(number: Column, level: Column, up: bool) -> Column:
+    """``number`` divided by 2 ** level, rounded down or up."""
+    step = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    lower = F.call_function("shiftright", number, level)
+    return lower + ((lower * step) < number).cast("bigint") if up else lower
 
 
 def timeline(versions: DataFrame, keys: list[str], start: str, end: str,
              version_id: str) -> DataFrame:
-    """Versions cut back so that a later start wins wherever it covers the rest.
+    """Disjoint windows with the version that holds in each: the latest start, then the
+    highest id.
 
-    Exact copies of a window collapse to the highest id, and a window is closed
-    the day before the next one starts when that next one reaches at least as far.
-    ``_complex`` marks keys that still overlap (a short window inside a long one)
-    or that hold many versions. The window streams over the distinct validity
-    windows of a key, copies already collapsed.
+    The borders of a key's windows cut its days into elementary intervals. A window
+    covers a run of them, which is a few nodes (two a level) of a halving of all; a node
+    keeps its best version, and an interval takes the best of the nodes above it. So n
+    versions make at most 2 n intervals and n log n rows, however they are nested.
     """
-    others = [c for c in versions.columns if c not in (*keys, start, end)]
+    others = [c for c in versions.columns if c not in (*keys, start, end, version_id)]
     payload = F.struct(F.col(version_id).alias("_vid"), *[F.col(c) for c in others])
-    unique = (versions.dropna(subset=keys).groupBy(*keys, start, end)
-              .agg(F.max(payload).alias("_p")))
-    flat = unique.select(*keys, start, end, *[F.col(f"_p.{c}").alias(c) for c in others])
-    order = Window.partitionBy(*keys).orderBy(start, version_id)
-    cut = (flat.withColumn("_next_start", F.lead(start).over(order))
-           .withColumn("_next_end", F.lead(end).over(order))
-           .withColumn(end, F.when(F.col("_next_end") >= F.col(end),
-                                   F.least(F.col(end), F.date_sub("_next_start", 1)))
-                       .otherwise(F.col(end)))
-           .filter(F.col(end) >= F.col(start)))
-    clash = F.coalesce(F.col("_next_start") <= F.col(end), F.lit(False))
-    status = cut.groupBy(*keys).agg(
-        ((F.max(clash.cast("int")) == 1) | (F.count(F.lit(1)) > 64)).alias("_complex"))
-    return (cut.drop("_next_start", "_next_end").join(status, keys))
+    unique = (versions.dropna(subset=[*keys, start, end]).filter(F.col(start) <= F.col(end))
+              .groupBy(*keys, start, end).agg(F.max(payload).alias("_p")))
+    borders = unique.select(*keys, F.explode(F.array(start, F.date_add(end, 1))).alias("_at")).distinct()
+    order = Window.partitionBy(*keys).orderBy("_at")
+    cells = borders.withColumn("_cell", F.row_number().over(order).cast("bigint") - 1).withColumn(
+        "_until", F.date_sub(F.lead("_at").over(order), 1))
+    low = cells.select(*keys, F.col("_at").alias(start), F.col("_cell").alias("_low"))
+    high = cells.select(*keys, F.date_sub("_at", 1).alias(end), F.col("_cell").alias("_high"))
+    runs = unique.join(low, [*keys, start]).join(high, [*keys, end])
+    level = F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("_level")
+    left, right = _halved(F.col("_low"), F.col("_level"), True), _halved(F.col("_high"), F.col("_level"), False)
+    nodes = runs.select("*", level).filter(left < right).select("*", F.explode(F.array_compact(F.array(
+        F.when(left % 2 == 1, left), F.when(right % 2 == 1, right - 1)))).alias("_node"))
+    best = nodes.groupBy(*keys, "_level", "_node").agg(
+        F.max(F.struct(F.col(start).alias("_s"), F.col("_p._vid").alias("_vid"), "_p", F.col(end).alias("_e"))).alias("_best"))
+    tops = best.groupBy(*keys).agg(F.max("_level").alias("_top"))
+    spots = cells.filter(F.col("_until").isNotNull()).join(tops, keys).select(
+        *keys, "_cell", "_at", "_until", F.explode(F.sequence(F.lit(0), F.col("_top"))).alias("_level"))
+    spots = spots.withColumn("_node", _halved(F.col("_cell"), F.col("_level"), False))
+    held = spots.join(best, [*keys, "_level", "_node"]).groupBy(*keys, "_at", "_until").agg(F.max("_best").alias("_best"))
+    return held.select(*keys, F.col("_at").alias("_from"), "_until", F.col("_best._s").alias(start), F.col("_best._e").alias(end),
+                       F.col("_best._vid").alias(version_id), *[F.col(f"_best._p.{c}").alias(c) for c in others])
 
 
 def effective_join(facts: DataFrame, versions: DataFrame, keys: list[str], day: str,
@@ -44,48 +60,16 @@ def effective_join(facts: DataFrame, versions: DataFrame, keys: list[str], day:
 
     The latest start wins, then the highest id; at most one version matches a
     fact, so the result keeps the grain of ``facts``. ``has_version`` tells whether
-    the key has any version at all.
-
-    The timeline is dimension-sized and is landed first, so that Spark plans the
-    joins knowing its real size. A key with a plain timeline joins on (key) with
-    the window as residual. A key that still overlaps, or that has very many
-    versions, is laid out as one winner per day and joins on (key, day), so no fact
-    is ever compared with a long list of versions.
+    the key has any version at all. The timeline is dimension-sized and is landed
+    first, so that Spark plans the join knowing its real size.
     """
     line = land(timeline(versions, keys, start, end, version_id), "timeline")
     others = [c for c in versions.columns if c not in keys]
-    known = line.groupBy(*keys).agg(F.max("_complex").alias("_messy"))
-    left = facts.join(known, keys, "left").withColumn(
-        "has_version", F.col("_messy").isNotNull())
-    right = line.filter(~F.col("_complex")).drop("_complex")
-    on_day = not line.filter("_complex").isEmpty()
-    if on_day:
-        right = right.withColumn("_day", F.lit(_ANY_DAY)).unionByName(
-            _daily(line.filter("_complex").drop("_complex"), facts, keys, day, start, end,
-                   version_id, others))
-        left = left.withColumn("_day", F.when(F.col("_messy"), F.unix_date(F.col(day)))
-                               .otherwise(F.lit(_ANY_DAY)))
-    f, v = left.alias("f"), right.alias("v")
+    known = versions.dropna(subset=keys).select(*keys).distinct().withColumn("_known", F.lit(True))
+    left = facts.join(known, keys, "left").withColumn("has_version", F.coalesce("_known", F.lit(False)))
+    f, v = left.alias("f"), line.alias("v")
     on = [F.col(f"f.{k}") == F.col(f"v.{k}") for k in keys]
-    on.append(F.col(f"f.{day}").between(F.col(f"v.{start}"), F.col(f"v.{end}")))
-    if on_day:
-        on.append(F.col("f._day") == F.col("v._day"))
+    on.append(F.col(f"f.{day}").between(F.col("v._from"), F.col("v._until")))
     return f.join(v, on, "left").select(
         *[F.col(f"f.{c}") for c in facts.columns], "f.has_version",
         *[F.col(f"v.{c}") for c in others])
-
-
-def _daily(messy: DataFrame, facts: DataFrame, keys: list[str], day: str, start: str, end: str,
-           version_id: str, others: list[str]) -> DataFrame:
-    """One winning version per key and day, over the days the facts cover."""
-    span = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    low = F.greatest(F.col(start), span.select("lo").scalar())
-    high = F.least(F.col(end), span.select("hi").scalar())
-    days = (messy.withColumn("_lo", low).withColumn("_hi", high)
-            .filter(F.col("_lo") <= F.col("_hi"))
-            .withColumn("_date", F.explode(F.sequence("_lo", "_hi"))))
-    payload = F.struct(F.col(start).alias("_s"), F.col(version_id).alias("_vid"),
-                       *[F.col(c) for c in others])
-    best = days.groupBy(*keys, "_date").agg(F.max(payload).alias("_p"))
-    return best.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in others],
-                       F.unix_date("_date").alias("_day"))

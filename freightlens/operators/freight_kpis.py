@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.expr import count_if, mean, money_sum, pct, ratio
+from freightlens.functions.expr import count_if, mean_of_hundredths, money_sum, pct, ratio
 
 
 def _billed(invoice: DataFrame, shipment: DataFrame, columns: list[str]) -> DataFrame:
@@ -69,6 +69,6 @@ def claims_summary(claim: DataFrame, base: DataFrame) -> DataFrame:
 
 def capacity_summary(capacity: DataFrame) -> DataFrame:
     return capacity.agg(
-        mean("capacity_utilization_pct").alias("avg_utilization_pct"),
+        mean_of_hundredths("capacity_utilization_pct").alias("avg_utilization_pct"),
         F.max("capacity_utilization_pct").cast("double").alias("max_utilization_pct"),
         count_if(F.col("capacity_utilization_pct") > 100).alias("over_capacity_count"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from freightlens.config import Settings
 from freightlens.functions.expr import (
-    count_if, flag, lookup, mean, money_sum, pct, pct_of_flag, ratio,
+    count_if, flag, lookup, mean, mean_of_hundredths, money_sum, pct, pct_of_flag, ratio,
+    spread_of_whole,
 )
 from freightlens.operators.distributed import dense_competition_rank, exact_quantile
 from freightlens.operators.rules import Tables
@@ -120,7 +121,7 @@ def lane_metrics(tables: Tables, base: DataFrame, audit: DataFrame,
         "lane_id", "invoiced_freight_usd", "cost_per_kg", "invoice_exception_count",
         "invoice_exception_pct")
     load = tables["fact_carrier_capacity"].groupBy("lane_id").agg(
-        mean("capacity_utilization_pct").alias("avg_capacity_utilization_pct"))
+        mean_of_hundredths("capacity_utilization_pct").alias("avg_capacity_utilization_pct"))
     names = lane.select("lane_id", "origin_name", "destination_name", "transport_mode",
                         "lane_region")
     wide = (service.join(names, "lane_id", "left").join(bills, "lane_id", "left")
@@ -218,7 +219,7 @@ def _sentence(parts: list[Column], empty: str) -> Column:
 def lane_scorecard(metrics: DataFrame, base: DataFrame, settings: Settings) -> DataFrame:
     """Lane flags against the upper quartile of eligible peers, labels and actions."""
     spread = (base.filter(F.col("is_delivered") == 1).groupBy("lane_id")
-              .agg(F.stddev_pop(F.col("actual_transit_days").cast("double")).alias("_sd")))
+              .agg(spread_of_whole(F.col("actual_transit_days")).alias("_sd")))
     rows = metrics.join(spread, "lane_id", "left").withColumn(
         "transit_time_variability_days", F.round(F.coalesce("_sd", F.lit(0.0)), 2)).drop("_sd")
     enough = F.col("shipment_count") >= settings.min_lane_shipments
@@ -258,7 +259,7 @@ def lane_scorecard(metrics: DataFrame, base: DataFrame, settings: Settings) -> D
         said("high_accessorial_flag", "audit accessorial root causes")],
         "Maintain and monitor")
     opened = F.concat(F.upper(F.substring(actions, 1, 1)),
-                      F.substring(actions, 2, 400))
+                      F.substr(actions, F.lit(2)))
     return rows.withColumns({
         "service_classification": F.when(thin, "Insufficient volume").otherwise(labels),
         "recommended_action": F.when(

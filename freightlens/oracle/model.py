@@ -645,11 +645,11 @@ FROM (SELECT lane_id, COUNT(*) AS shipment_count, CAST(SUM(is_delivered) AS BIGI
 JOIN dim_lane l ON l.lane_id = g.lane_id LEFT JOIN lane_bill b ON b.lane_id = g.lane_id
 LEFT JOIN (SELECT lane_id, COUNT(*) AS n FROM fact_claim JOIN fact_shipment USING (shipment_id) GROUP BY lane_id) c ON c.lane_id = g.lane_id
 LEFT JOIN lane_acc a ON a.lane_id = g.lane_id LEFT JOIN lane_dq d ON d.lane_id = g.lane_id
-LEFT JOIN (SELECT lane_id, ROUND(AVG(CAST(capacity_utilization_pct AS DOUBLE)), 2) AS avg_capacity_utilization_pct
+LEFT JOIN (SELECT lane_id, CAST((2 * CAST(SUM(capacity_utilization_pct) * 100 AS HUGEINT) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS avg_capacity_utilization_pct
   FROM fact_carrier_capacity GROUP BY lane_id) k ON k.lane_id = g.lane_id""")
 cte("lane_var", """
 SELECT m.*, ROUND(COALESCE(sd, 0), 2) AS transit_time_variability_days FROM lane_metric m LEFT JOIN (
-  SELECT lane_id, stddev_pop(actual_transit_days) AS sd FROM analytics_shipment WHERE is_delivered = 1 GROUP BY lane_id) USING (lane_id)""")
+  SELECT lane_id, sqrt(CAST(COUNT(actual_transit_days) * SUM(CAST(actual_transit_days AS HUGEINT) * actual_transit_days) - SUM(actual_transit_days) * SUM(actual_transit_days) AS DOUBLE)) / COUNT(actual_transit_days) AS sd FROM analytics_shipment WHERE is_delivered = 1 GROUP BY lane_id) USING (lane_id)""")
 cte("lane_cut", """
 SELECT quantile_cont(cost_per_kg, 0.75) AS pc, quantile_cont(transit_time_variability_days, 0.75) AS pv,
   quantile_cont(accessorial_rate_pct, 0.75) AS pa FROM lane_var WHERE shipment_count >= 20""")

@@ -301,7 +301,7 @@ SELECT reporting_month, {_TOT} AS invoiced_freight_usd FROM fact_freight_invoice
 JOIN analytics_shipment a ON a.shipment_id = i.shipment_id GROUP BY 1""",
     "claims_summary": _S_CLAIMS,
     "capacity_summary": f"""
-SELECT ROUND(AVG({_dbl('capacity_utilization_pct')}), 2) AS avg_utilization_pct, {_dbl('MAX(capacity_utilization_pct)')} AS max_utilization_pct,
+SELECT CAST((2 * CAST(SUM(capacity_utilization_pct) * 100 AS HUGEINT) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS avg_utilization_pct, {_dbl('MAX(capacity_utilization_pct)')} AS max_utilization_pct,
   {_if('capacity_utilization_pct > 100')} AS over_capacity_count FROM fact_carrier_capacity""",
 }
 

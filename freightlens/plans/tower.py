@@ -87,14 +87,7 @@ class Tower(Mapping):
         return frame
 
     def _source(self, name: str) -> DataFrame:
-        """A source table. One that fills fewer scan tasks than there are cores is
-        spread by its key first; a large source is read as it lies."""
-        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}.get(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        if key and frame.rdd.getNumPartitions() < cores // 2:
-            frame = frame.repartition(cores, key)
-        return frame
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # -- dimensions ------------------------------------------------------
     def _dim_carrier(self) -> DataFrame:

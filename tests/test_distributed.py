@@ -10,7 +10,7 @@ from freightlens.operators.distributed import (
     dense_competition_rank, exact_quantile, modal_value, number_rows, order_statistic,
     previous_value, prior_max,
 )
-from freightlens.operators.effective import effective_join
+from freightlens.operators.effective import effective_join, timeline
 
 
 def test_number_rows_is_dense_and_ordered(spark):
@@ -66,7 +66,7 @@ def _steps(seed):
     return rows + [(f"g{g}", i, rng.randint(0, 50)) for g in range(20) for i in range(7)]
 
 
-def test_prior_max_is_the_same_whole_and_in_blocks(spark):
+def test_prior_max_is_the_same_in_blocks_of_any_size(spark):
     rows = _steps(1)
     df = spark.createDataFrame(rows, "g string, s int, v int")
     expected = {}
@@ -75,12 +75,12 @@ def test_prior_max_is_the_same_whole_and_in_blocks(spark):
         for _, s, v in sorted(r for r in rows if r[0] == g):
             expected[(g, s)] = best
             best = v if best is None else max(best, v)
-    for limit in (1_000_000, 100):
-        got = prior_max(df, "g", "s", "v", "p", limit).collect()
+    for block in (4096, 100, 1):
+        got = prior_max(df, "g", "s", "v", "p", block).collect()
         assert {(r["g"], r["s"]): r["p"] for r in got} == expected
 
 
-def test_previous_value_is_the_same_whole_and_in_blocks(spark):
+def test_previous_value_is_the_same_in_blocks_of_any_size(spark):
     rows = _steps(2)
     df = spark.createDataFrame(rows, "g string, s int, v int")
     expected = {}
@@ -89,11 +89,21 @@ def test_previous_value_is_the_same_whole_and_in_blocks(spark):
         for _, s, v in sorted(r for r in rows if r[0] == g):
             expected[(g, s)] = last
             last = v
-    for limit in (1_000_000, 100):
-        got = previous_value(df, "g", "s", "v", "p", limit).collect()
+    for block in (4096, 100, 1):
+        got = previous_value(df, "g", "s", "v", "p", block).collect()
         assert {(r["g"], r["s"]): r["p"] for r in got} == expected
 
 
+def test_ties_and_nulls_have_one_meaning_in_blocks_of_any_size(spark):
+    rows = [("a", 1, 10), ("a", 1, 20), ("a", 2, 5), ("a", 3, None), ("a", 4, 7), ("a", None, 99), (None, 1, 50), (None, 2, 1)]
+    df = spark.createDataFrame(rows, "g string, s int, v int")
+    best = {("a", 1): None, ("a", 2): 20, ("a", 3): 20, ("a", 4): 20, ("a", None): None, (None, 1): None, (None, 2): None}
+    last = {**best, ("a", 3): 5, ("a", 4): None}
+    for block in (4096, 2, 1):
+        assert {(r["g"], r["s"]): r["p"] for r in prior_max(df, "g", "s", "v", "p", block).collect()} == best
+        assert {(r["g"], r["s"]): r["p"] for r in previous_value(df, "g", "s", "v", "p", block).collect()} == last
+
+
 def test_competition_rank(spark):
     df = spark.createDataFrame([("a", 9.5), ("b", 9.5), ("c", 7.25), ("d", None), ("e", 10.0)],
                                "k string, score double")
@@ -104,7 +114,7 @@ def test_competition_rank(spark):
 def _brute(facts, versions):
     out = {}
     for fid, key, day in facts:
-        fit = [v for v in versions if v[1] == key and v[2] <= day <= v[3]]
+        fit = [v for v in versions if day and v[1] == key and v[2] <= day <= v[3]]
         out[fid] = max(fit, key=lambda v: (v[2], v[0]))[0] if fit else None
     return out
 
@@ -132,6 +142,14 @@ def test_effective_join_brute_force_with_nested_and_hot_keys(spark):
     _check_effective(spark, facts, versions)
 
 
+def test_nested_versions_make_few_windows(spark):
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(n)
+    versions = [(i, "k", day(i), day(4000 - i)) for i in range(200)] + [(500, "k", day(3), day(3)), (501, "k", day(9), day(2))]
+    line = timeline(spark.createDataFrame(versions, "vid int, k string, s date, e date"), ["k"], "s", "e", "vid").collect()
+    assert len(line) <= 2 * len(versions)
+    _check_effective(spark, [(i, "k", day(7 * i)) for i in range(600)] + [(999, "k", day(3)), (998, "k", None)], versions)
+
+
 def test_effective_join_plain_timeline(spark):
     d = dt.date
     versions = [(1, "a", d(2020, 1, 1), d(2020, 6, 30)), (2, "a", d(2020, 7, 1), d(2099, 12, 31)),
