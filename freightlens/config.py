@@ -186,6 +186,16 @@ EXCEPTION_RATES = {
     "missing_customs_doc": 0.015, "partial_delivery": 0.020, "damaged_shipment_claim": 0.012,
 }
 
+# The records each fault type is sampled from.
+EXCEPTION_POOLS = {
+    **dict.fromkeys(("missing_carrier_id", "invalid_lane", "missing_pod", "delivery_before_ship", "over_delivery",
+                     "partial_delivery", "shipment_without_invoice", "damaged_shipment_claim"), "shipment"),
+    **dict.fromkeys(("duplicate_invoice", "expired_rate_card", "invoice_carrier_mismatch", "incorrect_fuel_surcharge",
+                     "invoice_without_shipment", "duplicate_payment_risk", "incorrect_currency"), "invoice"),
+    "missing_customs_doc": "customs", "unauthorized_detention": "detention", "excessive_demurrage": "demurrage",
+    "missing_hts_code": "product",
+}
+
 
 @dataclass(frozen=True)
 class Settings:

@@ -128,8 +128,9 @@ def parse_short_date(text: Column) -> Column:
 
 
 def number(text: Column, kind: str = "double") -> Column:
-    """Numeric value of a text, NULL when it is not a number."""
-    return text.try_cast(kind)
+    """Numeric value of a text, NULL when it is not a number (NaN is none)."""
+    value = text.try_cast(kind)
+    return F.when(~F.isnan(value), value) if kind == "double" else value
 
 
 def hash48(seed: int, salt: str, key: Column) -> Column:

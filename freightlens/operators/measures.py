@@ -199,6 +199,16 @@ def shipment_exceptions(fact_shipment: DataFrame) -> DataFrame:
         "OR (is_delivered = 1 AND has_pod = 0)").orderBy("shipment_id")
 
 
+def carrier_ranking(scorecard: DataFrame) -> DataFrame:
+    """Carriers by rank, unranked ones last."""
+    return scorecard.orderBy(F.col("carrier_rank").asc_nulls_last(), "carrier_id")
+
+
+def lane_listing(scorecard: DataFrame) -> DataFrame:
+    """Lanes by number of shipments, busiest first."""
+    return scorecard.orderBy(F.desc("shipment_count"), "lane_id")
+
+
 def audit_exceptions(fact_audit: DataFrame) -> DataFrame:
     return fact_audit.filter("audit_status <> 'MATCHED'").orderBy("audit_status", "invoice_id")
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.expr import hash48
+from freightlens.functions.expr import hash48, lookup
 from freightlens.operators.distributed import order_statistic
 from freightlens.session import land
 
@@ -98,20 +98,26 @@ def diff_summary(diff: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cells"), F.countDistinct("record_id").alias("records"))
 
 
-def sample_summary(manifest: DataFrame, eligible: DataFrame,
-                   rates: dict[str, float]) -> DataFrame:
-    """Per type: eligible rows, rate, expected and actual number of faults."""
-    n = eligible.agg(F.count(F.lit(1)).alias("n")).scalar()
-    actual = manifest.groupBy("exception_type").agg(F.count(F.lit(1)).alias("actual_count"))
-    expected = F.lit(0).cast("bigint")
-    rate = F.lit(None).cast("double")
-    for kind, r in rates.items():
-        here = F.col("exception_type") == kind
-        expected = F.when(here, sample_size(r, F.col("eligible_records"))).otherwise(expected)
-        rate = F.when(here, F.lit(r)).otherwise(rate)
-    return (actual.withColumn("eligible_records", n)
-            .select("exception_type", "eligible_records", rate.alias("configured_rate"),
-                    expected.alias("expected_count"), "actual_count"))
+def sample_summary(manifest: DataFrame, pools: dict[str, DataFrame],
+                   pool_of: dict[str, str], rates: dict[str, float]) -> DataFrame:
+    """Per configured type: eligible rows of its pool, rate, expected and actual faults.
+
+    A type without faults has an actual count of 0.
+    """
+    sizes = reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("eligible_records")).select(F.lit(name).alias("_pool"), "eligible_records")
+        for name, df in pools.items()])
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("exception_type"), F.lit(float(rates[k])).alias("configured_rate"))
+                                for k, p in pool_of.items() if k in rates]))
+    plan = sizes.select("_pool", "eligible_records", kinds.alias("k")).select("_pool", "eligible_records", "k.*")
+    plan = plan.filter(F.col("_pool") == lookup(pool_of, F.col("exception_type")))
+    wanted = F.round(F.col("eligible_records").cast("double") * F.col("configured_rate"), 0).cast("bigint")
+    least = F.when(F.col("configured_rate") > 0, F.least(F.lit(1), F.col("eligible_records"))).otherwise(0)
+    actual = manifest.groupBy("exception_type").agg(F.count(F.lit(1)).alias("_n"))
+    return plan.join(actual, "exception_type", "left").select(
+        "exception_type", "eligible_records", "configured_rate",
+        F.least(F.col("eligible_records"), F.greatest(least, wanted)).cast("bigint").alias("expected_count"),
+        F.coalesce("_n", F.lit(0)).alias("actual_count"))
 
 
 def cascade_delete(removed: DataFrame, key: str,

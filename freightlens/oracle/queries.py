@@ -21,7 +21,8 @@ def _dbl(expr: str) -> str:
     return f"CAST({expr} AS DOUBLE)"
 
 
-_BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+_BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+         "benchmark", "labels", "conversations"]
 _SELECTS["table_counts"] = _union(
     [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _BASE])
 _SELECTS["parameterised_query"] = """
@@ -29,7 +30,31 @@ SELECT o_orderstatus, COUNT(*) AS order_count FROM orders WHERE strftime(o_order
 _SELECTS["coerce_date_columns"] = """
 SELECT event_id, CASE WHEN event_id % 7 <> 3 THEN CAST(ts AS DATE) END AS event_date FROM events"""
 _SELECTS["layer_rerun_identical"] = """
-SELECT COUNT(*) AS left_rows, COUNT(*) AS right_rows, 1 AS identical FROM fact_shipment"""
+SELECT (SELECT COUNT(*) FROM fact_shipment) AS left_rows, (SELECT COUNT(*) FROM fact_shipment) AS right_rows,
+  CAST((SELECT COUNT(*) FROM (SELECT * FROM fact_shipment EXCEPT ALL SELECT * FROM fact_shipment)) = 0 AS INTEGER) AS identical"""
+# Columns of the sources in their order: fractions as ten-thousandths, times to the second.
+_TEXTS = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "*o_totalprice", "@o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "*c_acctbal", "c_mktsegment"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "*p_retailprice"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"], "region": ["r_regionkey", "r_name"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "*s_acctbal"],
+}
+
+
+def _content(table: str) -> str:
+    def text(c: str) -> str:
+        kinds = {"*": "CAST(ROUND({} * 10000) AS BIGINT)", "@": "strftime({}, '%Y-%m-%d %H:%M:%S')"}
+        return f"COALESCE(CAST({kinds.get(c[0], '{}').format(c.lstrip('*@'))} AS VARCHAR), '~')"
+
+    row = ", ".join(map(text, _TEXTS[table]))
+    return (f"SELECT '{table}' AS source_name, COUNT(*) AS row_count, CAST(COALESCE(SUM(CAST(CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 12) "
+            f"AS BIGINT) AS HUGEINT)), 0) AS VARCHAR) AS content_sum FROM {table}")
+
+
+_SELECTS["source_provenance"] = _union([_content(t) for t in ("orders", "customer", "part")])
+_SELECTS["refreshed_layer"] = _union([_content(t) for t in ("nation", "region", "supplier")])
+_SELECTS["typed_csv"] = "SELECT * FROM customer"
 
 # -- conforming -----------------------------------------------------------------------
 _SELECTS["invoice_lines"] = _money("fact_invoice_line", "amount")
@@ -84,17 +109,27 @@ _RATES = {
     "missing_customs_doc": 0.015, "partial_delivery": 0.020, "damaged_shipment_claim": 0.012,
 }
 _RATE_ROWS = ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in _RATES.items())
+_POOLS = {
+    "done_ship": "missing_carrier_id invalid_lane missing_pod delivery_before_ship over_delivery partial_delivery shipment_without_invoice damaged_shipment_claim",
+    "fact_freight_invoice": "duplicate_invoice expired_rate_card invoice_carrier_mismatch incorrect_fuel_surcharge invoice_without_shipment "
+                            "duplicate_payment_risk incorrect_currency",
+    "done_ship WHERE customs_required_flag = 1 AND shipment_mode IN ('AIR', 'AIR_CHARTER', 'OCEAN', 'MULTIMODAL')": "missing_customs_doc",
+    "done_ship WHERE shipment_mode IN ('TRUCK', 'OCEAN', 'MULTIMODAL')": "unauthorized_detention",
+    "done_ship WHERE shipment_mode IN ('OCEAN', 'MULTIMODAL')": "excessive_demurrage", "dim_product": "missing_hts_code",
+}
+_POOL_ROWS = _union([f"SELECT '{k}' AS exception_type, {_RATES[k]}::DOUBLE AS rate, (SELECT COUNT(*) FROM {pool}) AS n"
+                     for pool, kinds in _POOLS.items() for k in kinds.split()])
 _SELECTS["fault_summary"] = f"""
-SELECT exception_type, (SELECT COUNT(*) FROM done_ship) AS eligible_records, rate AS configured_rate,
-  CAST(GREATEST(1, ROUND((SELECT COUNT(*) FROM done_ship) * rate)) AS BIGINT) AS expected_count, COUNT(*) AS actual_count
-FROM manifest JOIN (VALUES {_RATE_ROWS}) v(exception_type, rate) USING (exception_type) GROUP BY exception_type, rate"""
+SELECT p.exception_type, n AS eligible_records, rate AS configured_rate,
+  CAST(LEAST(n, GREATEST(LEAST(1, n), ROUND(n * rate))) AS BIGINT) AS expected_count, COALESCE(c, 0) AS actual_count
+FROM ({_POOL_ROWS}) p LEFT JOIN (SELECT exception_type, COUNT(*) AS c FROM manifest GROUP BY 1) m ON m.exception_type = p.exception_type"""
 _GONE = "(SELECT invoice_id FROM fact_freight_invoice WHERE shipment_id % 33 = 2)"
 _SELECTS["cascade_delete"] = _union([
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t} WHERE invoice_id NOT IN {_GONE}"
     for t in ("fact_invoice_line", "fact_invoice_approval", "fact_accessorial_charge")])
 _SELECTS["last_customs_milestone"] = """
 SELECT shipment_id, MAX(milestone_sequence) AS milestone_sequence, ARG_MAX(milestone_id, milestone_sequence) AS milestone_id
-FROM fact_shipment_milestone WHERE milestone_type IN ('IMPORT_CUSTOMS', 'WAREHOUSE_ARRIVAL') GROUP BY shipment_id"""
+FROM fact_shipment_milestone WHERE milestone_type IN ('EXPORT_CUSTOMS', 'IMPORT_CUSTOMS') GROUP BY shipment_id"""
 
 # -- data quality -----------------------------------------------------------------------
 for _id, (_type, _, _) in RULE_SQL.items():
@@ -566,13 +601,17 @@ _SELECTS["output_gates"] = _union([
     f"SELECT '{g}' AS validation_name, 'CRITICAL' AS severity, CASE WHEN {_SPECIAL.get(g, 'TRUE')} THEN 'PASS' ELSE 'FAIL' END AS status"
     for g in _GATE_NAMES])
 _SELECTS["csv_export"] = _union([
-    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({q})" for n, q in [
+    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count, 1 AS identical FROM ({q})" for n, q in [
         *[(m, _SELECTS[m]) for m in (
             "rpt_dim_date", "rpt_dim_carrier", "rpt_dim_lane", "rpt_dim_product", "rpt_dim_location", "rpt_fact_shipment",
             "rpt_fact_milestone", "rpt_fact_freight_audit", "rpt_fact_data_quality", "rpt_fact_accrual", "rpt_fact_claim")],
         ("rpt_carrier_scorecard", "SELECT * FROM carrier_card"), ("rpt_lane_scorecard", "SELECT * FROM lane_card"),
         ("rpt_dq_detection_performance", "SELECT * FROM dq_performance")]])
 
+for _view, _card in (("rpt_carrier_scorecard", "carrier_scorecard"), ("carrier_ranking", "carrier_scorecard"),
+                     ("rpt_lane_scorecard", "lane_scorecard"), ("lane_listing", "lane_scorecard"),
+                     ("rpt_dq_detection_performance", "dq_reconcile")):
+    _SELECTS[_view] = _SELECTS[_card]
 _SELECTS["audit_by_status_lazy"] = _SELECTS["audit_by_status"]
 _SELECTS |= staged.SELECTS
 

@@ -191,6 +191,7 @@ _TARGETS = {
 }
 cte("raw_count", "SELECT c, v, COUNT(*) AS n FROM (" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS c, \"{c}\" AS v FROM raw_text" for c in _RAW) + ") GROUP BY c, v")
+SELECTS["raw_csv"] = "SELECT * FROM raw_text"
 SELECTS["column_profile"] = f"""
 SELECT s.c AS column_name, CASE WHEN d = 0 THEN 'unknown' WHEN num = d AND whole = d THEN 'integer' WHEN num = d THEN 'numeric'
     WHEN num > 0 THEN 'mixed (numeric + text sentinels)' WHEN days = d THEN 'date (%d-%b-%y)'

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freightlens.config import EXCEPTION_POOLS, EXCEPTION_RATES
 from freightlens.functions.expr import hash48, uniform
 from freightlens.operators import (
     accruals, dashboards, detection, dimensions, facts, freight_audit, freight_kpis, marts,
@@ -16,7 +20,7 @@ from freightlens.operators import (
 from freightlens.plans.raw_text import STAGING, Staged
 from freightlens.plans.results import Results
 from freightlens.plans.tower import AS_OF, MODES, SETTINGS, Tower
-from freightlens.session import shared_dir, tune
+from freightlens.session import land, shared_dir, tune
 from freightlens.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,11 +52,9 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 # -- sources and sinks --------------------------------------------------------
-_BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-
-
 def _table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return files.table_counts(files.read_folder(tune(spark), folder, _BASE_TABLES))
+    names = files.folder_names(tune(spark), folder)
+    return files.table_counts(files.read_folder(spark, folder, names))
 
 
 def _orders_in_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,8 +62,8 @@ def _orders_in_month(spark: SparkSession, folder: str) -> DataFrame:
         "freightlens_orders")
     return files.parameterised(
         spark, "SELECT o_orderstatus, count(*) AS order_count FROM freightlens_orders "
-               "WHERE date_format(o_orderdate, 'yyyy-MM') = :month GROUP BY o_orderstatus",
-        month="1998-10")
+               "WHERE o_orderdate >= :first AND o_orderdate < :after GROUP BY o_orderstatus",
+        first=dt.datetime(1998, 10, 1), after=dt.datetime(1998, 11, 1))
 
 
 def _coerced_dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,19 +74,49 @@ def _coerced_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _provenance(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder}/orders.parquet"
-    return files.provenance(tune(spark), "orders", path, spark.read.parquet(path))
+    tables = files.read_folder(tune(spark), folder, ["orders", "customer", "part"])
+    return reduce(DataFrame.unionByName, [files.provenance(n, df) for n, df in tables.items()])
+
+
+def _own_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/freightlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _typed_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written out as CSV and read back with their types."""
+    customers = files.read_folder(tune(spark), folder, ["customer"])["customer"]
+    at = _own_folder(spark, "typed")
+    files.write_layer({"customer": customers}, at, "csv")
+    return files.read_typed(spark, f"{at}/customer", customers.schema, "csv")
+
+
+def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """A layer of several tables written twice: the second time replaces the first."""
+    tables, at = files.read_folder(tune(spark), folder, ["nation", "region", "supplier"]), _own_folder(spark, "layer")
+    files.write_layer({n: df.limit(1) for n, df in tables.items()}, at)
+    files.write_layer(tables, at)
+    back = {n: files.read_typed(spark, f"{at}/{n}", df.schema) for n, df in tables.items()}
+    return reduce(DataFrame.unionByName, [files.provenance(n, df) for n, df in back.items()])
 
 
 QUERIES |= {"table_counts": _table_counts, "parameterised_query": _orders_in_month,
-            "coerce_date_columns": _coerced_dates, "source_provenance": _provenance}
+            "coerce_date_columns": _coerced_dates, "source_provenance": _provenance,
+            "typed_csv": _typed_csv, "refreshed_layer": _refreshed}
 
 
 @_tower("csv_export")
 def _csv_export(t, r):
-    folder = f"{shared_dir(t.spark)}/freightlens/export-{t.spark.sparkContext.applicationId}"
-    back = files.export_csv(r.marts(), folder)
-    return files.table_counts(back)
+    """Every mart written as CSV and read back: rows, and whether the content is the same.
+
+    CSV has no empty text apart from a missing one: both come back as NULL.
+    """
+    marts_ = {n: land(_doubles(df).select(*[
+        F.nullif(F.col(c), F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes]), n)
+        for n, df in r.marts().items()}
+    back = files.export_csv(marts_, _own_folder(t.spark, "export"))
+    return reduce(DataFrame.unionByName, [
+        sampling.same_table(marts_[n], df).select(F.lit(n).alias("table_name"), F.col("right_rows").alias("row_count"), "identical")
+        for n, df in back.items()])
 
 
 def _flagship(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,6 +143,14 @@ def _raw_sample(s):
                              "Weight (Kilograms)"])
 
 
+@_staged("raw_csv")
+def _raw_csv(s):
+    """The raw text written as CSV with a byte-order mark and read back."""
+    at = _own_folder(s.tower.spark, "raw")
+    files.write_raw(s.raw, at)
+    return files.read_raw(s.tower.spark, at)
+
+
 @_staged("reject_split")
 def _reject_split(s):
     reason = F.coalesce("rejection_reason", F.lit("accepted")).alias("rejection_reason")
@@ -244,9 +284,12 @@ def _diff_summary(t, r):
 
 @_tower("fault_summary")
 def _fault_summary(t, r):
-    from freightlens.config import EXCEPTION_RATES
-    pool = t["fact_shipment"].filter("shipment_status = 'DELIVERED'")
-    return sampling.sample_summary(t["meta_exception_manifest"], pool, EXCEPTION_RATES)
+    done = t["fact_shipment"].filter("shipment_status = 'DELIVERED'")
+    mode = lambda *names: done.filter(F.col("shipment_mode").isin(*names))
+    pools = {"shipment": done, "customs": mode("AIR", "AIR_CHARTER", "OCEAN", "MULTIMODAL").filter("customs_required_flag = 1"),
+             "invoice": t["fact_freight_invoice"], "detention": mode("TRUCK", "OCEAN", "MULTIMODAL"),
+             "demurrage": mode("OCEAN", "MULTIMODAL"), "product": t["dim_product"]}
+    return sampling.sample_summary(t["meta_exception_manifest"], pools, EXCEPTION_POOLS, EXCEPTION_RATES)
 
 
 @_tower("cascade_delete")
@@ -261,7 +304,7 @@ def _cascade(t, r):
 @_tower("last_customs_milestone")
 def _last_customs(t, r):
     customs = t["fact_shipment_milestone"].filter(
-        "milestone_type IN ('IMPORT_CUSTOMS', 'WAREHOUSE_ARRIVAL')")
+        "milestone_type IN ('EXPORT_CUSTOMS', 'IMPORT_CUSTOMS')")
     return sampling.last_in_group(customs, "shipment_id", "milestone_sequence", "milestone_id")
 
 
@@ -423,6 +466,8 @@ _KPIS: dict[str, Callable[[Tower, Results], DataFrame]] = {
     "top_manifest_types": lambda t, r: dashboards.top_manifest_types(
         t["dq_detection_performance"]),
     "exposure_waterfall": lambda t, r: dashboards.exposure_waterfall(r.recoverable()),
+    "carrier_ranking": lambda t, r: measures.carrier_ranking(r.carrier_scorecard()),
+    "lane_listing": lambda t, r: measures.lane_listing(r.lane_scorecard()),
     "most_flagged_lane": lambda t, r: dashboards.most_flagged_lane(r.lane_scorecard()),
 }
 
@@ -439,7 +484,8 @@ for _name, _fn in _KPIS.items():
 for _mart in ("rpt_dim_date", "rpt_dim_carrier", "rpt_dim_lane", "rpt_dim_product",
               "rpt_dim_location", "rpt_fact_shipment", "rpt_fact_milestone",
               "rpt_fact_freight_audit", "rpt_fact_data_quality", "rpt_fact_accrual",
-              "rpt_fact_claim"):
+              "rpt_fact_claim", "rpt_carrier_scorecard", "rpt_lane_scorecard",
+              "rpt_dq_detection_performance"):
     _tower(_mart)((lambda m: lambda t, r: _doubles(r.mart(m)))(_mart))
 
 

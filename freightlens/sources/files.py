@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,14 @@ def read_folder(spark: SparkSession, folder: str, names: Iterable[str],
             for n in names}
 
 
+def folder_names(spark: SparkSession, folder: str, fmt: str = "parquet") -> list[str]:
+    """Names of the tables that lie in a folder, on whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    names = [entry.getPath().getName() for entry in found]
+    return sorted(n.removesuffix(f".{fmt}") for n in names if n.endswith(f".{fmt}"))
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of a table set."""
     return reduce(DataFrame.unionByName, [
@@ -64,18 +72,27 @@ def first_rows(df: DataFrame, order_by: list[str], n: int = 100) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def provenance(spark: SparkSession, name: str, path: str, rows: DataFrame) -> DataFrame:
-    """Name, content hash and row count of a source.
+def _canonical(field: T.StructField) -> Column:
+    """A cell as text that does not depend on the engine: fractions as whole ten-thousandths."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.FractionalType, T.DecimalType)):
+        c = F.round(c * 10_000, 0).cast("bigint")
+    elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(c.cast("string"), F.lit("~"))
+
+
+def provenance(name: str, rows: DataFrame) -> DataFrame:
+    """Name, row count and content fingerprint of a source.
 
-    Files are read chunk-free by executors, one file each, so this suits sources
-    made of ordinary-sized files.
+    The fingerprint adds up 48 bits of every row's digest, so that it covers all files
+    and no order of files or rows changes it.
     """
-    files = spark.read.format("binaryFile").load(path)
-    digests = files.select(F.sha2("content", 256).alias("d"))
-    count = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return digests.agg(F.count(F.lit(1)).alias("file_count"),
-                       F.min("d").alias("sha256")).select(
-        F.lit(name).alias("source_name"), "file_count", "sha256", count.alias("row_count"))
+    text = F.concat_ws("|", *map(_canonical, rows.schema.fields))
+    digest = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(38,0)")
+    return rows.agg(F.count(F.lit(1)).alias("row_count"),
+                    F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("content_sum")).select(
+        F.lit(name).alias("source_name"), "row_count", "content_sum")
 
 
 def write_layer(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
@@ -86,15 +103,6 @@ def write_layer(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
         writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
 
 
-def refresh_table(df: DataFrame, table: str) -> None:
-    """Idempotent refresh of a catalog table; views on it stay valid."""
-    spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    else:
-        df.write.saveAsTable(table)
-
-
 def export_csv(marts: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write marts as CSV folders and return them as read back."""
     write_layer(marts, folder, "csv")
@@ -135,3 +143,10 @@ def lookup_tables(spark: SparkSession, settings) -> dict[str, DataFrame]:
         "meta_run_context": pairs({"as_of_date": settings.as_of.isoformat()}, "context_key",
                                   "context_value", "string"),
     }
+
+
+def write_raw(raw: DataFrame, path: str) -> None:
+    """All-text CSV with a byte-order mark, the form raw files arrive in."""
+    first, *others = raw.columns
+    marked = raw.select(F.col(f"`{first}`").alias(f"\ufeff{first}"), *[F.col(f"`{c}`") for c in others])
+    marked.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
