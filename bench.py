@@ -20,6 +20,7 @@ from freightlens.plans.queries import QUERIES
 from freightlens.plans import raw_text, results, tower as model
 from freightlens.plans.raw_text import Staged
 from freightlens.plans.tower import Tower
+from freightlens.session import tune
 
 HEADLINE = [
     "audit_by_status", "three_way_match", "three_way_match_summary", "otif_by_mode", "otif_by_carrier", "otif_by_month",
@@ -56,7 +57,7 @@ def run(df) -> None:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = session()
+    spark = tune(session())
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
     landing: dict[str, list[float]] = {n: [] for n in [*MODEL, *STAGED, "model", "staged"]}

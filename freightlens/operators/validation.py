@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.config import Settings
-from freightlens.functions.expr import count_if
+from freightlens.functions.expr import count_if, lookup
 from freightlens.operators.distributed import previous_value
 from freightlens.operators.freight_audit import expected_charges
 from freightlens.operators.rules import Tables
+from freightlens.session import land
 
 
 @dataclass(frozen=True)
@@ -89,31 +90,44 @@ def _keys(df: DataFrame, column: str, as_name: str, mark: str) -> DataFrame:
             .distinct().withColumn(mark, F.lit(1)))
 
 
-def primary_key_checks(t: Tables) -> list[DataFrame]:
-    out = []
+def _key_counts(t: Tables) -> DataFrame:
+    """(table, key, n) of every primary key: one aggregation over all tables, a row with
+    n = 0 for each table so that an empty one is told of, too."""
+    parts = []
     for table, key in PRIMARY_KEYS.items():
         if table in t:
-            out.append(report(t[table], [Check(f"pk_unique[{table}]", "CRITICAL", _all(),
-                                               _all() - F.countDistinct(key))]))
-    return out
-
-
-def foreign_key_checks(t: Tables) -> list[DataFrame]:
-    by_child: dict[str, list[tuple]] = {}
-    for spec in FOREIGN_KEYS:
-        if spec[1] in t and spec[3] in t:
-            by_child.setdefault(spec[1], []).append(spec)
-    out = []
-    for child, specs in by_child.items():
-        rows = t[child].select(*dict.fromkeys(s[2] for s in specs))
-        checks = []
-        for i, (name, _, column, parent, severity) in enumerate(specs):
-            keys = _keys(t[parent], PRIMARY_KEYS[parent], f"_k{i}", f"_m{i}")
-            rows = rows.join(keys, F.col(column) == F.col(f"_k{i}"), "left")
-            checks.append(Check(name, severity, _all(), count_if(
-                F.col(column).isNotNull() & F.col(f"_m{i}").isNull())))
-        out.append(report(rows, checks))
-    return out
+            parts.append(t[table].select(F.lit(table).alias("table"), F.col(key).cast("string").alias("key"), F.lit(1).alias("n")))
+    spark = parts[0].sparkSession
+    names = F.explode(F.array(*[F.lit(table) for table in PRIMARY_KEYS if table in t])).alias("table")
+    parts.append(spark.range(1).select(names, F.lit(None).cast("string").alias("key"), F.lit(0).alias("n")))
+    return reduce(DataFrame.unionByName, parts).groupBy("table", "key").agg(F.sum("n").alias("n"))
+
+
+def primary_key_checks(key_counts: DataFrame) -> list[DataFrame]:
+    counts = key_counts.groupBy("table").agg(
+        F.sum("n").alias("records_tested"), (F.sum("n") - F.count("key")).alias("failures"))
+    return [counts.select(F.concat(F.lit("pk_unique["), "table", F.lit("]")).alias("validation_name"),
+                          "records_tested", "failures", F.lit("CRITICAL").alias("severity"))]
+
+
+def foreign_key_checks(t: Tables, key_counts: DataFrame) -> list[DataFrame]:
+    """All references in one join: a child's keys are counted by value before they meet
+    the keys of its parents, so that what is shuffled is distinct values."""
+    specs = [s for s in FOREIGN_KEYS if s[1] in t and s[3] in t]
+    cell = lambda s, value, n: F.struct(F.lit(s[0]).alias("check"), F.lit(s[3]).alias("table"), value.alias("key"), F.lit(n).alias("n"))
+    parts = []
+    for child in dict.fromkeys(s[1] for s in specs):
+        cells = F.explode(F.array(*[cell(s, F.col(s[2]).cast("string"), 1) for s in specs if s[1] == child]))
+        parts.append(t[child].select(cells.alias("c")).select("c.*"))
+    none = F.lit(None).cast("string")
+    parts.append(parts[0].sparkSession.range(1).select(F.explode(F.array(*[cell(s, none, 0) for s in specs])).alias("c")).select("c.*"))
+    used = reduce(DataFrame.unionByName, parts).groupBy("check", "table", "key").agg(F.sum("n").alias("n"))
+    held = key_counts.filter("key is not null").select("table", "key", F.lit(True).alias("_held"))
+    lost = F.sum(F.when(F.col("key").isNotNull() & F.col("_held").isNull(), F.col("n")).otherwise(0))
+    found = used.join(held, ["table", "key"], "left").groupBy("check").agg(F.sum("n").alias("records_tested"), lost.alias("failures"))
+    severity = {s[0]: s[4] for s in specs}
+    return [found.select(F.col("check").alias("validation_name"), "records_tested", "failures",
+                         lookup(severity, F.col("check")).alias("severity"))]
 
 
 def shipment_checks(t: Tables) -> list[DataFrame]:
@@ -245,7 +259,8 @@ def other_checks(t: Tables) -> list[DataFrame]:
 
 def baseline_checks(t: Tables, settings: Settings) -> DataFrame:
     """The whole baseline report: (validation_name, records_tested, failures, ...)."""
-    parts = (primary_key_checks(t) + foreign_key_checks(t) + shipment_checks(t)
+    keys = land(_key_counts(t), "key-counts")
+    parts = (primary_key_checks(keys) + foreign_key_checks(t, keys) + shipment_checks(t)
              + quantity_checks(t) + milestone_checks(t) + invoice_checks(t, settings)
              + other_checks(t))
     return grade(reduce(DataFrame.unionByName, parts))

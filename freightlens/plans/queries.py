@@ -31,7 +31,7 @@ def _tower(name: str):
     """Register a query over the derived model."""
     def add(fn: Callable[[Tower, Results], DataFrame]):
         QUERIES[name] = lambda spark, folder: (
-            lambda t: fn(t, Results(t)))(Tower(spark, folder))
+            lambda t: fn(t, Results(t)))(Tower(tune(spark), folder))
         return fn
     return add
 
@@ -39,7 +39,7 @@ def _tower(name: str):
 def _staged(name: str):
     """Register a query over the staged raw text."""
     def add(fn: Callable[[Staged], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(Staged(Tower(spark, folder)))
+        QUERIES[name] = lambda spark, folder: fn(Staged(Tower(tune(spark), folder)))
         return fn
     return add
 
@@ -121,7 +121,7 @@ def _csv_export(t, r):
 
 def _flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Audit by status from the raw tables in one lazy plan, nothing landed."""
-    lazy = Tower(spark, folder, landed=False)
+    lazy = Tower(tune(spark), folder, landed=False)
     return _doubles(freight_audit.audit_by_status(lazy["freight_audit"]))
 
 
@@ -224,7 +224,7 @@ _STAGED_TABLES: dict[str, Callable[[Staged], DataFrame]] = {
 }
 for _name, _build in _STAGED_TABLES.items():
     QUERIES[_name] = (lambda b: lambda spark, folder: _doubles(
-        b(Staged(Tower(spark, folder)))))(_build)
+        b(Staged(Tower(tune(spark), folder)))))(_build)
 
 
 @_tower("invoice_lines")

@@ -112,7 +112,7 @@ def raw_text(tower: Tower) -> DataFrame:
     return rows.select(*[columns[c].alias(c) for c in staging.RAW_COLUMNS])
 
 
-_layers: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_layers: dict[tuple[str, ...], dict[str, DataFrame]] = {}
 
 
 def forget() -> None:
@@ -125,7 +125,7 @@ class Staged:
 
     def __init__(self, tower: Tower):
         self.tower = tower
-        slot = (tower.spark.sparkContext.applicationId, tower.folder)
+        slot = (tower.spark.sparkContext.applicationId, tower.folder, tower.state)
         self._own = _layers.setdefault(slot, {})
 
     def _get(self, name: str, build) -> DataFrame:

@@ -12,7 +12,7 @@ from freightlens.operators import (
 from freightlens.plans.tower import AS_OF, SETTINGS, Tower
 from freightlens.session import land, still_landed
 
-_kept: dict[tuple[str, str, str], DataFrame] = {}
+_kept: dict[tuple[str, ...], DataFrame] = {}
 
 
 def forget() -> None:
@@ -27,7 +27,7 @@ class Results:
         self.t = tower
 
     def _keep(self, name: str, build) -> DataFrame:
-        slot = (self.t.spark.sparkContext.applicationId, self.t.folder, name)
+        slot = (self.t.spark.sparkContext.applicationId, self.t.folder, self.t.state, name)
         if not still_landed(_kept.get(slot)):
             _kept[slot] = land(build(), name)
         return _kept[slot]

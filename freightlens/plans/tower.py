@@ -18,7 +18,7 @@ from freightlens.config import CARRIERS, PRODUCT_CATEGORIES, Settings
 from freightlens.functions.expr import lookup, month_key
 from freightlens.operators import accruals, detection, facts, freight_audit, shipments
 from freightlens.operators.rules import RULES
-from freightlens.session import land, still_landed, tune
+from freightlens.session import land, source_state, still_landed
 
 AS_OF = dt.date(2001, 6, 1)
 SETTINGS = Settings(as_of=AS_OF)
@@ -30,7 +30,7 @@ CATEGORY_OF_TYPE = {
 }
 SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
-_landed: dict[tuple[str, str, str], DataFrame] = {}
+_landed: dict[tuple[str, ...], DataFrame] = {}
 
 
 def forget() -> None:
@@ -58,8 +58,9 @@ class Tower(Mapping):
     """Lazy mapping from table name to DataFrame for one source folder."""
 
     def __init__(self, spark: SparkSession, folder: str, landed: bool = True):
-        self.spark = tune(spark)
+        self.spark = spark
         self.folder = folder.rstrip("/")
+        self.state = "".join(source_state(spark, f"{self.folder}/{name}.parquet") for name in SOURCES)
         self.landed = landed
         self._own: dict[str, DataFrame] = {}
 
@@ -79,7 +80,7 @@ class Tower(Mapping):
         elif not self.landed:
             frame = _BUILDERS[name](self)
         else:
-            slot = (self.spark.sparkContext.applicationId, self.folder, name)
+            slot = (self.spark.sparkContext.applicationId, self.folder, self.state, name)
             if not still_landed(_landed.get(slot)):
                 _landed[slot] = land(_BUILDERS[name](self), name)
             frame = _landed[slot]

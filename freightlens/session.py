@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,18 @@ def still_landed(df: DataFrame | None) -> bool:
     return files.exists(at)
 
 
+def source_state(spark: SparkSession, folder: str) -> str:
+    """What tells one state of a folder's files from another: paths, lengths, times."""
+    files, at = _filesystem_path(spark, folder)
+    if not files.exists(at):
+        return ""
+    found, seen = files.listFiles(at, True), []
+    while found.hasNext():
+        entry = found.next()
+        seen.append((entry.getPath().toString(), entry.getLen(), entry.getModificationTime()))
+    return hashlib.md5(repr(sorted(seen)).encode()).hexdigest()
+
+
 def discard_landed(spark: SparkSession) -> bool:
     """Remove what this application has landed; call it when its results are written."""
     files, at = _filesystem_path(spark, _landing(spark))

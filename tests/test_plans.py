@@ -2,6 +2,7 @@
 
 import os
 import re
+from collections import Counter
 
 import pytest
 
@@ -46,3 +47,30 @@ def test_landing_is_memoised_and_in_the_shared_folder(spark):
     assert still_landed(a) and not still_landed(None)
     again = land(a, "copy")
     assert again.count() == a.count() and again.schema == a.schema
+
+
+def test_a_changed_source_gives_a_new_answer(spark, tmp_path):
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+    for name in names:
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    query = entry_points.queries()["rpt_dim_location"]
+    before = query(spark, str(tmp_path)).count()
+    spark.read.parquet(f"{FOLDER}/nation.parquet").filter("n_nationkey < 5").write.mode("overwrite").parquet(f"{tmp_path}/nation.parquet")
+    assert query(spark, str(tmp_path)).count() < before
+
+
+def scanned(df) -> Counter:
+    """How often each landed table is read in a plan."""
+    found, todo = Counter(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "LogicalRelation":
+            found[node.relation().location().rootPaths().head().getName().split("-")[0]] += 1
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_checks_and_rules_scan_each_table_a_few_times(spark):
+    rules, checks = (scanned(entry_points.queries()[name](spark, FOLDER)) for name in ("dq_detected", "baseline_checks"))
+    assert rules["fact_shipment"] <= 2 and rules["fact_freight_invoice"] <= 4, rules
+    assert checks["fact_shipment"] <= 5 and sum(checks.values()) <= 45, checks
