@@ -28,9 +28,17 @@ from freightlens.session import land
 #: Dropped ids (8 bytes each) that may be broadcast; beyond it the documents are shuffled.
 BROADCAST_IDS = 4_000_000
 
+#: Rows in an Arrow batch between Spark and Python: a few MB of whole texts. All stages run
+#: on the same executors, whose JVM and workers keep what the largest batch has needed.
+BATCH_ROWS = 500
+
 ORACLE_SQL: str | None = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The documents whose id is not among ``dropped``; those without an id stay."""
     dropped = land(dropped.select("doc_id").where("doc_id is not null").distinct(), "dropped-ids")
@@ -40,25 +48,30 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return _without(docs, near_duplicates.near_duplicates(docs).where("not kept"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     left = repeats.remove_repeats(docs)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)}
     return left.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, decontamination.decontaminate(docs, benchmark).where("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return sentencepieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Code points handled at a time; one longer text goes alone.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Stands between two texts; no code point has this value.
 BORDER = 0x110000
 

@@ -39,7 +39,7 @@ from freightlens.session import land
 
 LENGTH = 100
 #: Phrases a task parses before it hands on what it has found.
-PHRASES = 1_000_000
+PHRASES = 300_000
 #: Bytes of contexts sorted at a time; contexts of one gram beyond which its strings are named.
 BLOCK, FREQUENT = 1 << 20, 20_000
 #: Ids (16 bytes each) that may be broadcast to find their documents.
