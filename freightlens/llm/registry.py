@@ -19,8 +19,12 @@ from freightlens.llm.warc import read_packages, write_packages
 
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
+#: Rows in an Arrow batch between Spark and Python: a few MB of whole texts.
+BATCH_ROWS = 500
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
