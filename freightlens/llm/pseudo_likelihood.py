@@ -5,27 +5,40 @@ positions has an embedding of each word, their sum goes through tanh, and the hi
 is predicted in two steps, its class and then the word in the class. A document's score is
 the sum of the log-probabilities of its words.
 
-1. Word counts over all documents, combined in each task before the shuffle, name the
-   commonest words; the others share names by their last three bytes.
+1. Word counts over all documents, combined in each task before the shuffle, are landed.
+   The commonest words have a name each, the more of them the more words there are; the
+   others share names by their last three bytes.
 2. Training takes all documents. Every task starts from the same weights, goes through its
    documents in mini-batches (numpy, Adagrad) and returns its weights in blocks; blocks
    are averaged by the words they have seen, in the shuffle's tasks. The driver gets one
    set of weights, whose size the vocabulary fixes.
-3. Scoring is one pass with the weights broadcast.
+3. Scoring is one pass with the weights broadcast. A word with a shared name scores
+   log P(name) + log P(word | name), the latter from the counts of all words, less a
+   discount that is left to words without a count. The pass lands documents in chunks of
+   bounded size with the distinct words of each; these are joined with the counts, and
+   documents meet the counts of their chunk.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.ragged import Hashes, mix, slices, utf8
 from freightlens.llm.shingles import LOWER, words_of
+from freightlens.session import land
+
+#: Words kept in a task before they are combined, or landed as a chunk.
+HELD = 2_000_000
+#: Taken off the count of every word with a shared name; so much is a word without a count worth.
+DISCOUNT = 0.25
 
 
 @dataclass(frozen=True)
@@ -48,6 +61,11 @@ class Shape:
         """Names: the commonest words, shared names, one for what lies outside a document."""
         return -(-(1 + self.common + self.endings) // self.per_class) * self.per_class
 
+    def grown(self, words: int) -> "Shape":
+        """The shape for so many distinct words: names by their square root, classes by that of the names."""
+        common = max(self.common, int(2 * words ** 0.5))
+        return replace(self, common=common, per_class=max(self.per_class, math.isqrt(common + self.endings) + 1))
+
 
 class Network:
     """Weights and gradients of the window network."""
@@ -77,7 +95,7 @@ class Network:
 
     def _groups(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order of the targets by class, and borders of the classes in it."""
-        kind = (targets // self.shape.per_class).astype(np.int16)
+        kind = (targets // self.shape.per_class).astype(np.uint16)
         order = np.argsort(kind, kind="stable")
         return order, np.searchsorted(kind[order], np.arange(len(self.weights["classes"]) + 1))
 
@@ -119,7 +137,7 @@ class Network:
         back *= (1 - hidden * hidden) / n
         self._step("bias", back.sum(0))
         for k in range(windows.shape[1]):
-            by = np.argsort(windows[:, k].astype(np.int16), kind="stable")
+            by = np.argsort(windows[:, k].astype(np.uint16 if len(w["context"][k]) <= 1 << 16 else np.int64), kind="stable")
             names = windows[by, k]
             heads = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
             self._step("context", np.add.reduceat(back[by], heads), (k, names[heads]))
@@ -148,29 +166,60 @@ def _words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows, hashes.spans(starts, ends), hashes.spans(np.maximum(starts, ends - 3), ends)
 
 
-def _counts(rows: DataFrame) -> DataFrame:
-    """(word, n) over all documents, words as hashes."""
+def _counts(rows: DataFrame, shape: Shape) -> DataFrame:
+    """(word, shared, n) over all documents, words as hashes with the ending they may share a name by."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+        words, shared, times = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def combined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            both, first, which = np.unique(np.concatenate([words, *(h for h, _ in held)]), return_index=True, return_inverse=True)
+            one = np.ones(len(which) - len(words), np.int64)
+            return (both, np.concatenate([shared, *(e for _, e in held)])[first],
+                    np.bincount(which, np.concatenate([times, one]), len(both)).astype(np.int64))
 
         def merged() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], names=["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(shared), pa.array(times)], names=["word", "shared", "n"])
 
         for batch in batches:
             data, borders = utf8(batch.column("text"))
             for x, y in slices(np.diff(borders)):
-                _, hashes, _ = _words(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
-                new, n = np.unique(hashes, return_counts=True)
-                both, which = np.unique(np.concatenate([words, new]), return_inverse=True)
-                times = np.bincount(which, np.concatenate([times, n]), len(both)).astype(np.int64)
-                words = both
-                if len(words) > 2_000_000:
-                    yield merged()
-                    words, times = words[:0], times[:0]
+                _, hashes, endings = _words(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
+                held.append((hashes, _shared(endings, shape)))
+                if sum(len(h) for h, _ in held) > HELD:
+                    words, shared, times = combined()
+                    held.clear()
+                    if len(words) > HELD:
+                        yield merged()
+                        words, shared, times = words[:0], shared[:0], times[:0]
+        words, shared, times = combined()
         yield merged()
 
-    return rows.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "word long, shared long, n long").groupBy("word").agg(F.first("shared").alias("shared"), F.sum("n").alias("n"))
+
+
+def _shared(endings: np.ndarray, shape: Shape) -> np.ndarray:
+    """Number of a shared name, from 0, by the hash of an ending."""
+    return (mix(endings) % np.uint64(shape.endings)).astype(np.int64)
+
+
+def within_name(times: np.ndarray) -> np.ndarray:
+    """Log of a word's discounted count; less ``name_total`` of its shared name, log P(word | name).
+
+    A name of D counted words leaves DISCOUNT of each, and once more, to as many words and
+    one more that have no count, so the probabilities of all add up to 1.
+    """
+    return np.log(np.where(times > 0, times - DISCOUNT, DISCOUNT))
+
+
+def name_total(times: np.ndarray) -> np.ndarray:
+    """Log of the total that discounted counts of a shared name are part of."""
+    return np.log(times + DISCOUNT)
+
+
+LANDED = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("named", pa.float64()), ("places", pa.binary()),
+                    ("word", pa.int64()), ("place", pa.int32())])
 
 
 class Names:
@@ -182,14 +231,14 @@ class Names:
         self.words, self.ids = words[order], order + 1
 
     def of(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        shared = (1 + self.shape.common + (mix(endings) % np.uint64(self.shape.endings)).astype(np.int64))
+        shared = 1 + self.shape.common + _shared(endings, self.shape)
         if not len(self.words):
             return shared
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, self.ids[at], shared)
 
-    def windows(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, names around and name of every word of a slice."""
+    def windows(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, names around, name and hash of every word of a slice."""
         rows, hashes, endings = _words(data, borders)
         names, side, n = self.of(hashes, endings), self.shape.side, len(rows)
         around = np.zeros((n, 2 * side), np.int64)
@@ -199,7 +248,7 @@ class Names:
                 same = rows[step:] == rows[:-step]
                 around[step:, k][same] = names[:-step][same]
                 around[:-step, side + k][same] = names[step:][same]
-        return rows, around, names
+        return rows, around, names, hashes
 
 
 def _trained(rows: DataFrame, names: Names, start: np.ndarray, shape: Shape) -> np.ndarray:
@@ -212,7 +261,7 @@ def _trained(rows: DataFrame, names: Names, start: np.ndarray, shape: Shape) ->
         for batch in batches:
             data, borders = utf8(batch.column("text"))
             for x, y in slices(np.diff(borders)):
-                _, around, targets = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
+                _, around, targets, _ = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
                 mixed = np.random.default_rng(shape.seed).permutation(len(targets))
                 for a in range(0, len(targets), shape.batch):
                     pick = mixed[a:a + shape.batch]
@@ -250,27 +299,80 @@ def pseudo_likelihood(documents: DataFrame, shape: Shape = Shape(), id_column: s
     without words leaves the weights as they were drawn. Other columns are not read.
     """
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    common = _counts(rows).orderBy(F.desc("n"), "word").limit(shape.common).select("word").collect()  # a fixed number
+    counts = land(_counts(rows, shape), "word-counts")
+    shape = shape.grown(counts.count())
+    common = counts.orderBy(F.desc("n"), "word").limit(shape.common).collect()  # by the square root of the words
     names = Names(np.array([r.word for r in common], np.int64).view(np.uint64), shape)
+    totals = np.zeros(shape.endings, np.int64)
+    for r in counts.groupBy("shared").agg(F.sum("n").alias("n")).collect():
+        totals[r.shared] = r.n
+    for r in common:
+        totals[r.shared] -= r.n
     weights = Network(shape).flat()
     for _ in range(shape.rounds):
         weights = _trained(rows.select("text"), names, weights, shape)
-    sent = rows.sparkSession.sparkContext.broadcast((names, weights))
+    sent = rows.sparkSession.sparkContext.broadcast((names, weights, name_total(totals)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights = sent.value
-        network = Network(shape).load(weights)
+        names, weights, totals = sent.value
+        network, first = Network(shape).load(weights), 1 + shape.common
+        documents: list[tuple] = []
+        chunk = TaskContext.get().partitionId() << 32
+
+        def landed() -> Iterator[pa.RecordBatch]:
+            """The documents held, with places in the list of their distinct words, and that list."""
+            words, places = np.unique(np.concatenate([d[3] for d in documents]), return_inverse=True)
+            places, at = places.astype(np.int32), 0
+            for ids, n, sums, _, rare in documents:
+                ends = np.concatenate([[0], np.cumsum(rare)]) * 4
+                own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(places[at:at + int(rare.sum())])])
+                at += int(rare.sum())
+                yield batch_of(len(n), doc_id=ids, n_words=pa.array(n), named=pa.array(sums), places=own.cast(pa.binary()))
+            for a in range(0, len(words), 100_000):
+                some = words[a:a + 100_000].view(np.int64)
+                yield batch_of(len(some), word=pa.array(some), place=pa.array(np.arange(a, a + len(some), dtype=np.int32)))
+
+        def batch_of(n: int, **columns: pa.Array) -> pa.RecordBatch:
+            columns["chunk"] = pa.array(np.full(n, chunk))
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in LANDED], schema=LANDED)
+
         for batch in batches:
             data, borders = utf8(batch.column("text"))
-            counts, sums = np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            counts, rare, sums = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            unnamed = [np.empty(0, np.uint64)]
             for x, y in slices(np.diff(borders)):
-                owner, around, targets = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
+                owner, around, targets, hashes = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
                 for a in range(0, len(targets), shape.batch):
                     b = a + shape.batch
                     sums[x:y] += np.bincount(owner[a:b], network.log_probabilities(around[a:b], targets[a:b]), y - x)
                 counts[x:y] = np.bincount(owner, minlength=y - x)
-            means = np.divide(sums, counts, out=np.zeros(len(sums)), where=counts > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(sums), pa.array(means, mask=counts == 0)],
-                                             names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return rows.mapInArrow(score, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+                sharing = targets >= first
+                sums[x:y] -= np.bincount(owner[sharing], totals[targets[sharing] - first], y - x)
+                rare[x:y] = np.bincount(owner[sharing], minlength=y - x)
+                unnamed.append(hashes[sharing])
+            documents.append((batch.column("doc_id"), counts, sums, np.concatenate(unnamed), rare))
+            if sum(len(d[3]) for d in documents) > HELD:
+                yield from landed()
+                documents.clear()
+                chunk += 1
+        if documents:
+            yield from landed()
+
+    def finish(documents: pa.Table, words: pa.Table) -> pa.Table:
+        logs = np.zeros(len(words))
+        logs[words.column("place").to_numpy()] = within_name(words.column("n").to_numpy())
+        data, borders = utf8(documents.column("places").combine_chunks())
+        places = data[borders[0]:borders[-1]].view(np.int32)
+        owner = np.repeat(np.arange(len(documents)), np.diff(borders) // 4)
+        counts = documents.column("n_words").to_numpy()
+        sums = documents.column("named").to_numpy() + np.bincount(owner, logs[places], len(documents))
+        means = np.divide(sums, counts, out=np.zeros(len(sums)), where=counts > 0)
+        return pa.table([documents.column("doc_id"), pa.array(counts), pa.array(sums), pa.array(means, mask=counts == 0)],
+                        names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
+
+    scored = land(rows.mapInArrow(score, "chunk long, doc_id long, n_words long, named double, places binary, word long, place int"), "named-words")
+    words = scored.where("word is not null").select("chunk", "place", "word").join(counts.select("word", "n"), "word", "left")
+    words = words.select(F.col("chunk").alias("of"), "place", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    whole = scored.where("places is not null").select("chunk", "doc_id", "n_words", "named", "places")
+    return whole.groupBy("chunk").cogroup(words.groupBy("of")).applyInArrow(
+        finish, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")

@@ -274,3 +274,22 @@ def test_network_gives_a_distribution():
     n = SMALL.vocabulary
     windows = np.repeat(np.array([[1, 2, 3, 4]]), n, 0)
     assert abs(np.exp(network.log_probabilities(windows, np.arange(n))).sum() - 1) < 1e-4
+
+
+def test_pseudo_likelihood_predicts_words_that_share_a_name(spark):
+    draw = random.Random(4)
+    common = [f"w{i}" for i in range(40)]
+    shape = lm.Shape(common=40, endings=1, per_class=13, width=8, batch=256, blocks=3)
+    rows = [(i, " ".join([*draw.choices(common, k=30), *["kazmation"] * (i < 20)])) for i in range(90)]
+    rows += [(i, "w1 w2 w3 kazmation w4 w5 w6") for i in (100, 101)] + [(102, "w1 w2 w3 qqqmation w4 w5 w6"), (103, None)]
+    scored = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(frame(spark, rows), shape).collect()}
+    assert len(scored) == len(rows) and scored[103] == 0
+    known, once = lm.within_name(np.array([22, 1]))
+    assert abs(scored[100] - scored[101]) < 1e-4 and abs(scored[100] - scored[102] - (known - once)) < 1e-4
+
+
+def test_words_of_a_shared_name_are_a_distribution():
+    times = np.array([7, 3, 1, 1])
+    known, unseen = np.exp(lm.within_name(times) - lm.name_total(times.sum())), np.exp(lm.within_name(np.zeros(5, int)) - lm.name_total(times.sum()))
+    assert abs(known.sum() + unseen.sum() - 1) < 1e-12 and unseen[0] < known.min()
+    assert lm.Shape().grown(404_216).common > lm.Shape().common and lm.Shape().grown(10) == lm.Shape()
