@@ -2,8 +2,10 @@
 
 A text that zstandard makes much smaller than others of its length is repetitive or
 made of few parts; one that it hardly makes smaller is noise. Both the whole text and
-its full chunks of fixed size are compressed by themselves; the whole text's ratio must
-lie in the band of its length, and at most a share of the chunks outside theirs.
+its chunks are compressed by themselves; the whole text's ratio must lie in the band of
+its length, and at most a share of the chunks outside theirs. Chunks cover the whole text:
+the last one ends with it and overlaps the one before. Chunks are as long as four of them
+fit, up to a longest size; texts of that size or more have chunks of it in any case.
 
 Counts of words, symbols, repeated lines and repeated word triples come with it; they
 are array operations on a slice of texts at a time. No shuffle, one pass.
@@ -32,7 +34,9 @@ class Bands:
 
     Prose of up to a few hundred bytes keeps half to three quarters of its size and
     longer prose less, as the window fills; the limits leave some twentieths below and
-    above what prose shows. The last row holds for all longer texts.
+    above what prose shows. The last row holds for all longer texts. ``short_chunks`` has the
+    highest ratio of chunks up to some size, which short ones of prose need; the first is
+    the shortest chunk there is.
     """
 
     whole: tuple[tuple[float, float, float], ...] = (
@@ -42,6 +46,7 @@ class Bands:
     chunk_lowest: float = 0.40
     chunk_highest: float = 0.70
     chunk_share: float = 0.25
+    short_chunks: tuple[tuple[int, float], ...] = ((256, 0.88), (512, 0.78))
     level: int = 3
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -103,19 +108,29 @@ def text_counts(data: np.ndarray, borders: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def chunk_sizes(size: int, bands: Bands) -> list[int]:
+    """Sizes of chunks that a text is judged by; none if it is shorter than the shortest chunk."""
+    fine, shortest = bands.chunk, bands.short_chunks[0][0]
+    while fine > shortest and 4 * fine > size:
+        fine //= 2
+    return [c for c in dict.fromkeys((bands.chunk, fine)) if c <= size]
+
+
 def compression(text: memoryview, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[float, int, int, bool]:
-    """Ratio of the whole text, full chunks, chunks outside their band, verdict."""
+    """Ratio of the whole text, chunks of all sizes, chunks outside their band, verdict."""
     size = len(text)
     if not size:
         return 0.0, 0, 0, False
     ratio = len(packer.compress(text)) / size
     lowest, highest = next((low, high) for most, low, high in bands.whole if size <= most)
-    n_chunks = size // bands.chunk
-    outside = 0
-    for k in range(n_chunks):
-        part = len(packer.compress(text[k * bands.chunk:(k + 1) * bands.chunk])) / bands.chunk
-        outside += not bands.chunk_lowest <= part <= bands.chunk_highest
-    return ratio, n_chunks, outside, lowest <= ratio <= highest and outside <= bands.chunk_share * n_chunks
+    good, n_chunks, n_outside = lowest <= ratio <= highest, 0, 0
+    for chunk in chunk_sizes(size, bands):
+        most = next((high for up_to, high in bands.short_chunks if chunk <= up_to), bands.chunk_highest)
+        starts = [*range(0, size - chunk, chunk), size - chunk]
+        outside = sum(not bands.chunk_lowest <= len(packer.compress(text[k:k + chunk])) / chunk <= most for k in starts)
+        good &= outside <= bands.chunk_share * len(starts)
+        n_chunks, n_outside = n_chunks + len(starts), n_outside + outside
+    return ratio, n_chunks, n_outside, good
 
 
 def _judged(texts: pa.Array, packer: zstandard.ZstdCompressor, bands: Bands) -> dict[str, np.ndarray]:

@@ -188,6 +188,23 @@ def test_bands_tell_noise_and_repetition_from_prose():
     assert not verdict(prose[:4096] + b"z" * 8192)  # two of three chunks lie outside
 
 
+def test_every_byte_is_in_a_chunk():
+    import base64
+
+    import zstandard
+
+    draw, bands, packer = random.Random(6), quality.Bands(), zstandard.ZstdCompressor(level=3)
+    judged = lambda raw: quality.compression(memoryview(raw), packer, bands)
+    syllables = [a + b for a in "bcdfglmnprst" for b in ("a", "e", "in", "or")]
+    prose = " ".join("".join(draw.choice(syllables) for _ in range(draw.randint(1, 5))) for _ in range(3000)).encode()
+    noise = base64.b64encode(random.Random(7).randbytes(9000))
+    for size, added in ((4096, 3900), (8192, 4000), (4096, 2500), (1500, 900), (600, 400)):
+        assert judged(prose[:size + added])[3] and not judged(prose[:size] + noise[:added])[3]
+    for size in (256, 257, 700, 3000, 4095, 4096, 4097, 8191, 16_383, 16_385):
+        chunks = quality.chunk_sizes(size, bands)
+        assert chunks and judged(prose[:size])[1] == sum(-(-size // c) for c in chunks)
+
+
 def test_warc_packages(spark):
     long = "<p>" + "é" * 600
     rows = [(1, "http://a/1", long), (2, "http://a/2\r\nx", long), (3, None, long), (None, "u", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None),
