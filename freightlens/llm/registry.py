@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from freightlens.llm.decontamination import decontaminate
+from freightlens.llm.divergence import source_divergence
+from freightlens.llm.exact_copies import exact_duplicates
 from freightlens.llm.html_paths import extract_text
+from freightlens.llm.importance import importance_sample
 from freightlens.llm.near_duplicates import near_duplicates
 from freightlens.llm.pseudo_likelihood import pseudo_likelihood
 from freightlens.llm.quality_rules import quality_rules
@@ -70,6 +73,18 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_sample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(_table(spark, folder, "documents"))
+
+
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_sentencepieces, op4_token_store, op5_html_paths, op6_quality_rules, op7_warc,
-                                  op8_near_duplicates, op9_pseudo_likelihood, op10_repeats)}
+                                  op8_near_duplicates, op9_pseudo_likelihood, op10_repeats, op11_importance, op12_exact_copies, op13_divergence)}
 ORACLES = STATEMENTS

@@ -1,6 +1,7 @@
 """Plain versions of the operators, one document or pair at a time, to hold results against."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -113,3 +114,61 @@ def good(text, bands):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def letter_words(text):
+    return re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(text))
+
+
+def importance(docs, items, percent=10, n_buckets=10_000, longest=1, min_words=20):
+    """(doc_id, n_features, weight, score, rank) a row; ids null or not repeated."""
+    def buckets(text):
+        w = item_words(text)
+        return [zlib.crc32(" ".join(w[i:i + n]).encode()) % n_buckets for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+
+    of = [buckets(t) for _, t in docs]
+    s, t = Counter(b for own in of for b in own), Counter(b for _, text in items for b in buckets(text))
+    s_all, t_all = s.total() + n_buckets, t.total() + n_buckets
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * float(s_all) / ((n + 1) * float(t_all)))) for b, n in s.items()}
+    rows = []
+    for (doc, text), own in zip(docs, of):
+        h = int(hashlib.sha256(f"2024:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in own)
+        rows.append((doc, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), len(item_words(text)) >= min_words))
+    order = sorted((i for i, r in enumerate(rows) if r[4]), key=lambda i: (-rows[i][3], rows[i][0] is None, rows[i][0] or 0))
+    rank = {i: k + 1 for k, i in enumerate(order[:percent * len(order) // 100])}
+    return [(*r[:4], rank.get(i)) for i, r in enumerate(rows)]
+
+
+def copies(docs):
+    """(doc_id, keep_id, group_size, kept, text_sha256) a row."""
+    groups = defaultdict(list)
+    for i, (doc, text) in enumerate(docs):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), doc is None, doc or 0, i))
+    out = []
+    for body, own in groups.items():
+        best = min(own)[3]
+        out += [(docs[i][0], docs[best][0], len(own), i == best, hashlib.sha256(body.encode()).hexdigest()) for *_, i in own]
+    return out
+
+
+def divergence(docs, min_docs, k):
+    """(lang, source, part, item, value, rank) of rows (lang, source, text)."""
+    counts, held = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in ((x or "", y or "", t) for x, y, t in docs):
+        w = letter_words(text)
+        counts[lang, source].update(w)
+        held[lang].update(set(w))
+    out = []
+    for lang in held:
+        kept = [w for w, n in held[lang].items() if n >= min_docs]
+        own = {s: {w: c[w] for w in kept} for (x, s), c in counts.items() if x == lang}
+        own[None] = {w: sum(c[w] for s, c in own.items()) for w in kept}
+        p = {s: {w: 1 + 10**9 * (n + 5) // (sum(c.values()) + 5 * len(kept)) for w, n in c.items()} for s, c in own.items()}
+        q = p.pop(None)
+        for s in p:
+            pairs = [(sum(abs(p[s][w] - p[o][w]) for w in kept), o) for o in p if o != s]
+            terms = [(p[s][w] - q[w], w) for w in kept if own[s][w] and p[s][w] > q[w]]
+            for part, rows, most in (("pair", pairs, len(pairs)), ("term", terms, k)):
+                out += [(lang, s, part, i, v, r + 1) for r, (v, i) in enumerate(sorted(rows, key=lambda x: (-x[0], x[1].encode()))[:most])]
+    return out

@@ -56,5 +56,5 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 
 
 def test_registry():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
