@@ -12,6 +12,7 @@ from freightlens.config import (
     SHIPMENT_MODE_MAP, WEIGHT_SENTINELS,
 )
 from freightlens.functions.expr import lookup, number, parse_short_date
+from freightlens.sources.records import MALFORMED
 
 # Columns of the raw file, in file order.
 RAW_COLUMNS = [
@@ -91,12 +92,14 @@ def product_category(group: Column, sub: Column,
 def judge(raw: DataFrame) -> DataFrame:
     """Add ``rejection_reason``: NULL for a good row, else the first failed test.
 
-    Every copy of a repeated id is rejected, not all but one.
+    A malformed record is rejected before anything is read from it. Every copy of a
+    repeated id is rejected, not all but one.
     """
-    copies = (raw.groupBy("ID").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    faulty = F.col(MALFORMED).isNotNull() if MALFORMED in raw.columns else F.lit(False)
+    copies = (raw.filter(~faulty).groupBy("ID").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
               .select(F.col("ID").alias("_dup"), F.lit(True).alias("_repeated")))
     qty = number(F.col("Line Item Quantity"))
-    reason = (F.when(F.col("_repeated"), "duplicate ID")
+    reason = (F.when(faulty, "malformed record").when(F.col("_repeated"), "duplicate ID")
               .when(F.col("ID").try_cast("bigint").isNull(), "unparseable ID")
               .when(parse_short_date(F.col("Scheduled Delivery Date")).isNull(),
                     "unparseable scheduled delivery date")
@@ -112,13 +115,18 @@ def rejects(judged: DataFrame) -> DataFrame:
 
 
 def accepted(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("rejection_reason").isNull()).drop("rejection_reason")
+    return judged.filter(F.col("rejection_reason").isNull()).drop("rejection_reason", MALFORMED)
 
 
 def reject_ledger(judged: DataFrame, as_of) -> DataFrame:
-    """Rejected rows with their payload as JSON; the id hashes payload and reason."""
-    columns = [c for c in judged.columns if c != "rejection_reason"]
+    """Rejected rows with their payload as JSON; the id hashes payload and reason.
+
+    The payload of a malformed record is its text as it stands in the file.
+    """
+    columns = [c for c in judged.columns if c not in ("rejection_reason", MALFORMED)]
     payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))
+    if MALFORMED in judged.columns:
+        payload = F.coalesce(F.col(MALFORMED), payload)
     return rejects(judged).select(
         F.sha2(F.concat_ws("|", payload, "rejection_reason"), 256).alias("reject_id"),
         F.col("ID").alias("source_record_id"), "rejection_reason",

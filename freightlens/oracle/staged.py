@@ -192,6 +192,14 @@ _TARGETS = {
 cte("raw_count", "SELECT c, v, COUNT(*) AS n FROM (" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS c, \"{c}\" AS v FROM raw_text" for c in _RAW) + ") GROUP BY c, v")
 SELECTS["raw_csv"] = "SELECT * FROM raw_text"
+# A record whose field count is off is malformed unless its line break makes it two records that are.
+SELECTS["malformed_records"] = """
+SELECT rejection_reason, CAST(SUM(n) AS BIGINT) AS row_count, CAST(SUM(b) AS BIGINT) AS line_breaks
+FROM (SELECT CASE WHEN surplus OR short OR opened THEN 'malformed record' ELSE COALESCE(rejection_reason, 'accepted') END AS rejection_reason,
+    CASE WHEN broken AND surplus THEN 2 ELSE 1 END AS n, CASE WHEN broken AND NOT surplus AND NOT short THEN 1 ELSE 0 END AS b
+  FROM (SELECT rejection_reason, i % 97 = 5 AS broken, i % 101 = 7 AS surplus, i % 103 = 9 AND i % 101 <> 7 AS short, i % 107 = 11 AND i % 97 <> 5 AS opened
+        FROM (SELECT CAST("ID" AS BIGINT) AS i, rejection_reason FROM raw_judged)))
+GROUP BY rejection_reason"""
 SELECTS["column_profile"] = f"""
 SELECT s.c AS column_name, CASE WHEN d = 0 THEN 'unknown' WHEN num = d AND whole = d THEN 'integer' WHEN num = d THEN 'numeric'
     WHEN num > 0 THEN 'mixed (numeric + text sentinels)' WHEN days = d THEN 'date (%d-%b-%y)'

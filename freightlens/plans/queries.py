@@ -17,11 +17,12 @@ from freightlens.operators import (
     matching, measures, profiling, rootcause, rules, sampling, service_kpis, scorecards,
     staging, validation,
 )
-from freightlens.plans.raw_text import STAGING, Staged
+from freightlens.plans.raw_text import STAGING, Staged, faulty_lines
 from freightlens.plans.results import Results
 from freightlens.plans.tower import AS_OF, MODES, SETTINGS, Tower
 from freightlens.session import land, shared_dir, tune
 from freightlens.sources import files
+from freightlens.sources.records import MALFORMED
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,7 +149,22 @@ def _raw_csv(s):
     """The raw text written as CSV with a byte-order mark and read back."""
     at = _own_folder(s.tower.spark, "raw")
     files.write_raw(s.raw, at)
-    return files.read_raw(s.tower.spark, at)
+    back = files.read_raw(s.tower.spark, at)
+    return back.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+@_staged("malformed_records")
+def _malformed(s):
+    """The raw text as files with faulty records and line breaks: rows by reason, none lost."""
+    at, spark = _own_folder(s.tower.spark, "faulty"), s.tower.spark
+    faulty_lines(s.raw).write.partitionBy("opened").text(at)
+    judged = staging.judge(files.read_raw(spark, at, header=False))
+    ledger = staging.reject_ledger(judged, STAGING.as_of)
+    broken = F.count(F.when(F.col("Item Description").contains("\n"), 1))
+    good = staging.accepted(judged).agg(F.lit("accepted").alias("rejection_reason"), F.count(F.lit(1)).alias("row_count"),
+                                        broken.alias("line_breaks"))
+    return good.unionByName(ledger.groupBy("rejection_reason").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count(F.when(F.col("raw_payload").contains("\\n"), 1)).alias("line_breaks")))
 
 
 @_staged("reject_split")

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.operators.staging import RAW_COLUMNS
+from freightlens.sources.records import read_records
 
 
-def read_raw(spark: SparkSession, path: str, columns: list[str] = RAW_COLUMNS) -> DataFrame:
-    """Raw shipment CSV, every column text, no inference. A leading BOM is dropped."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.csv(path, header=True, schema=schema, encoding="UTF-8", quote='"',
-                         escape='"', enforceSchema=True)
-    first = columns[0]
-    return raw.withColumn(first, F.regexp_replace(F.col(f"`{first}`"), "^﻿", ""))
+def read_raw(spark: SparkSession, path: str, columns: list[str] = RAW_COLUMNS, header: bool = True) -> DataFrame:
+    """Raw shipment CSV, every column text, no inference, and what is malformed.
+
+    A leading BOM is dropped. Records may hold quoted line breaks; one that cannot be read
+    is a row with its text in ``records.MALFORMED``, which staging rejects to the ledger.
+    """
+    return read_records(spark, path, columns, header)
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType | str,

@@ -15,6 +15,7 @@ from freightlens.operators import (
 from freightlens.operators.dimensions import region_of, site_country, warehouse_for
 from freightlens.operators.rootcause import otif_trend, worst_month
 from freightlens.sources import files
+from freightlens.sources.records import read_records
 
 D = dt.date
 CFG = Settings(as_of=D(2025, 7, 1))
@@ -465,3 +466,40 @@ def test_lookup_tables(spark):
     assert tables["meta_accessorial_band"].count() == 5
     weights = tables["meta_scorecard_weight"].agg(F.sum("weight")).first()[0]
     assert abs(weights - 1.0) < 1e-9
+
+
+@pytest.mark.parametrize("split", ["1g", "16b"])
+def test_records_with_line_breaks_and_faults(spark, tmp_path, split):
+    (tmp_path / "a.csv").write_text('﻿id,a,b\n1,"two\nlines","x ""q"" y"\n2,b,c,surplus\n3,only\n\n5,p,q\r\n6,"m\r\n\nn",z\n7,,"\n"\n8,"a""",\n', encoding="utf-8",
+                                    newline="")
+    (tmp_path / "b.csv").write_text('id,a,b\n10,x,y\n11,"x,1",y')
+    (tmp_path / "c.csv").write_text('id,a,b\n20,"open,z\n21,x,y\n"22,x,y\n"23,x,y\n24,x,y\n' + "25,x,y\n" * 9)
+    keys = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1b"}
+    was = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rows = read_records(spark, str(tmp_path), ["id", "a", "b"], max_lines=6)
+        got = sorted((tuple(r) for r in rows.collect()), key=repr)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    good = [r[:3] for r in got if r[3] is None]
+    assert sorted(good, key=repr) == sorted([
+        ("1", "two\nlines", 'x "q" y'), ("5", "p", "q"), ("6", "m\n\nn", "z"), ("7", None, "\n"), ("8", 'a"', None), ("10", "x", "y"),
+        ("11", "x,1", "y"), ("21", "x", "y"), ("24", "x", "y"), *[("25", "x", "y")] * 9], key=repr)
+    assert sorted(r[3] for r in got if r[3] is not None) == ['"22,x,y', '"23,x,y', "2,b,c,surplus", '20,"open,z', "3,only"]
+    assert read_records(spark, str(tmp_path / "b.csv"), ["id", "a", "b"], header=False).count() == 3
+
+
+def test_malformed_records_reach_the_ledger(spark, tmp_path):
+    row = ["1"] + ["x"] * (len(staging.RAW_COLUMNS) - 1)
+    good = dict(zip(staging.RAW_COLUMNS, row)) | {"Scheduled Delivery Date": "2-Jun-06", "Delivered to Client Date": "3-Jun-06",
+                                                  "Line Item Quantity": "4", "Vendor": '"two\nlines"'}
+    line = ",".join(good.values())
+    (tmp_path / "raw.csv").write_text(",".join(staging.RAW_COLUMNS) + f"\n{line}\n{line},surplus\n1,short\n")
+    judged = staging.judge(files.read_raw(spark, str(tmp_path / "raw.csv")))
+    assert staging.accepted(judged).select("ID", "Vendor").collect() == [("1", "two\nlines")]
+    ledger = staging.reject_ledger(judged, CFG.as_of)
+    assert {r["rejection_reason"] for r in ledger.collect()} == {"malformed record"}
+    assert "1,short" in {r["raw_payload"] for r in ledger.collect()} and ledger.count() == 3
