@@ -105,17 +105,50 @@ def order_statistic(counts: DataFrame, keys: list[str], value: str, weight: str,
     return found.select(*keys, slot, F.col("_pre").alias("value"), F.col("_below").alias("below"))
 
 
-def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float,
-                   scale: int, into: str, levels: int = 3) -> DataFrame:
-    """Exact interpolated quantile of a fixed-point column, per key.
+_MANTISSA_BITS, _BIAS = 52, 1023
+_TOP = 1 << _MANTISSA_BITS
+_NAN = (2 * _BIAS + 1) * _TOP + 1
 
-    ``value`` must have at most ``scale`` decimals; NULLs are ignored. Linear
-    interpolation between the two neighbouring order statistics.
+
+def _two_to(exponent: Column | int) -> Column:
+    return F.pow(F.lit(2.0), F.lit(exponent) if isinstance(exponent, int) else exponent)
+
+
+def double_image(value: Column) -> Column:
+    """A BIGINT that orders as the DOUBLE does, one for every number: its 64 bits, read as
+    sign and magnitude. Both zeros are one; NaN is above all.
+
+    Only powers of two are multiplied and divided by, so nothing is rounded.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(_BIAS)), F.lit(1 - _BIAS))
+    exponent = guess - (size < _two_to(guess)).cast("bigint") + (size >= _two_to(guess + 1)).cast("bigint")
+    normal = (exponent + _BIAS) * F.lit(_TOP) + ((size / _two_to(exponent) - 1) * F.lit(float(_TOP))).cast("bigint")
+    tiny = (size * _two_to(537) * _two_to(537)).cast("bigint")
+    image = (F.when(F.isnan(value), F.lit(_NAN)).when(size == float("inf"), F.lit(_NAN - 1))
+             .when(size < 2.0 ** (1 - _BIAS), tiny).otherwise(normal))
+    return F.when(value < 0, -image).otherwise(image)
+
+
+def double_of(image: Column) -> Column:
+    """The DOUBLE of an image."""
+    bits = F.abs(image)
+    exponent, rest = F.shiftright(bits, _MANTISSA_BITS), bits.bitwiseAND(F.lit(_TOP - 1)).cast("double")
+    size = (F.when(bits == _NAN, F.lit(float("nan"))).when(bits == _NAN - 1, F.lit(float("inf")))
+            .when(exponent == 0, rest * _two_to(-537) * _two_to(-537))
+            .otherwise((rest / F.lit(float(_TOP)) + 1) * _two_to(exponent - _BIAS)))
+    return F.when(image < 0, -size).otherwise(size)
+
+
+def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, into: str) -> DataFrame:
+    """Exact interpolated quantile of a number, per key; NULLs are ignored.
+
+    Linear interpolation between the two neighbouring order statistics, which are found on
+    the images of the doubles: no digit is rounded away. Several numbers of a table are
+    best asked at once, see :func:`measured`.
     """
-    factor = 10 ** scale
-    fixed = F.round(F.col(value).cast("decimal(38,%d)" % (scale + 2)) * F.lit(factor)
-                    .cast("decimal(18,0)"), 0).cast("bigint")
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, fixed.alias("_v"))
+    image = double_image(F.col(value).cast("double"))
+    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, image.alias("_v"))
               .agg(F.count(F.lit(1)).alias("_w")))
     counts = land(counts, "quantile-counts")
     totals = counts.groupBy(*keys).agg(F.sum("_w").alias("_n")).filter(F.col("_n") > 0)
@@ -125,18 +158,29 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float,
         F.struct(F.lit("lo").alias("s"), (low + 1).alias("r")),
         F.struct(F.lit("hi").alias("s"), F.least(low + 2, F.col("_n")).alias("r")))).alias("_t"))
     ranks = ranks.select(*keys, F.col("_t.s").alias("_slot"), F.col("_t.r").alias("_rank"))
-    hits = order_statistic(counts, keys, "_v", "_w", ranks, "_slot", "_rank", levels)
-    pair = hits.groupBy(*keys).agg(F.max(F.when(F.col("_slot") == "lo", F.col("value"))).alias("_lo"),
-                                   F.max(F.when(F.col("_slot") == "hi", F.col("value"))).alias("_hi"))
+    hits = order_statistic(counts, keys, "_v", "_w", ranks, "_slot", "_rank", levels=4)
+    pair = hits.groupBy(*keys).agg(*[
+        double_of(F.max(F.when(F.col("_slot") == end, F.col("value")))).alias(f"_{end}") for end in ("lo", "hi")])
     frac = spot - F.floor(spot)
     if keys:
         joined = pair.join(totals, keys)
     else:
         joined = pair.withColumn("_n", totals.select("_n").scalar())
-    answer = (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac) / F.lit(float(factor))
+    answer = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac
     return joined.select(*keys, answer.alias(into))
 
 
+def measured(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """(keys, metric, x): the named columns one below the other."""
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("x")) for n, c in columns.items()]))
+    return df.select(*keys, cells.alias("_cell")).select(*keys, "_cell.metric", "_cell.x")
+
+
+def by_metric(df: DataFrame, keys: list[str], value: str, metrics: list[str]) -> DataFrame:
+    """A row a key again, with a column of the metric's name for each."""
+    return df.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == m, F.col(value))).alias(m) for m in metrics])
+
+
 _SEQ_BLOCK = 4096
 
 

@@ -12,7 +12,7 @@ from freightlens.functions.expr import (
     count_if, flag, lookup, mean, mean_of_hundredths, money_sum, pct, pct_of_flag, ratio,
     spread_of_whole,
 )
-from freightlens.operators.distributed import dense_competition_rank, exact_quantile
+from freightlens.operators.distributed import by_metric, dense_competition_rank, exact_quantile, measured
 from freightlens.operators.rules import Tables
 
 
@@ -223,19 +223,14 @@ def lane_scorecard(metrics: DataFrame, base: DataFrame, settings: Settings) -> D
     rows = metrics.join(spread, "lane_id", "left").withColumn(
         "transit_time_variability_days", F.round(F.coalesce("_sd", F.lit(0.0)), 2)).drop("_sd")
     enough = F.col("shipment_count") >= settings.min_lane_shipments
-    measured = {"cost": "cost_per_kg", "variability": "transit_time_variability_days",
-                "accessorial": "accessorial_rate_pct"}
-    long = rows.filter(enough).select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.col(c).alias("x"))
-        for n, c in measured.items()])).alias("m")).select("m.metric", "m.x")
-    cuts = exact_quantile(long, ["metric"], "x", 0.75, 4, "p75")
-    cut = cuts.agg(F.struct(*[
-        F.max(F.when(F.col("metric") == n, F.col("p75"))).alias(n) for n in measured])
-        .alias("p")).scalar()
+    asked = {"cost": "cost_per_kg", "variability": "transit_time_variability_days",
+             "accessorial": "accessorial_rate_pct"}
+    cuts = exact_quantile(measured(rows.filter(enough), [], asked), ["metric"], "x", 0.75, "p75")
+    cut = by_metric(cuts, [], "p75", list(asked)).select(F.struct(*asked).alias("p")).scalar()
     rows = rows.withColumn("_p", cut)
 
     def above(name: str) -> Column:
-        return flag(enough & (F.col(measured[name]) >= F.col(f"_p.{name}")))
+        return flag(enough & (F.col(asked[name]) >= F.col(f"_p.{name}")))
 
     rows = rows.withColumns({
         "high_cost_flag": above("cost"),

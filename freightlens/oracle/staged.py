@@ -232,8 +232,8 @@ SELECT printf('XR-MFG-%03d', n) AS xref_id, site AS raw_location_string, 'manufa
 UNION ALL SELECT printf('XR-DST-%03d', n), goal, 'destination_country', printf('LOCDST%03d', n), 'EXACT' FROM goal_no"""
 # Medians in units of 1e-10, so that everything after them is integer arithmetic.
 cte("unit_median", """
-SELECT product_category, COALESCE(CAST(median(CAST(ROUND(CAST(weight_kg AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT), 10000000000) AS w,
-  CAST(median(CAST(ROUND(CAST(line_item_value_usd AS DOUBLE) / line_item_quantity * 1e9) AS BIGINT)) * 10 AS HUGEINT) AS v
+SELECT product_category, COALESCE(CAST(ROUND(median(CAST(weight_kg AS DOUBLE) / line_item_quantity) * 1e10) AS HUGEINT), 10000000000) AS w,
+  CAST(ROUND(median(CAST(line_item_value_usd AS DOUBLE) / line_item_quantity) * 1e10) AS HUGEINT) AS v
 FROM stg WHERE product_category IS NOT NULL GROUP BY 1""")
 _TRAIT = {"SOLAR_MODULE": ("EQ-PVM", "Solar Modules", "8541", 0, 0, 1), "INVERTER": ("EQ-INV", "Inverters", "8504", 0, 0, 1),
           "BATTERY_ESS": ("EQ-BES", "Battery Energy Storage Systems", "8507", 1, 1, 0),
