@@ -2,7 +2,7 @@
 
 Dense numbering, order statistics and modal values are the places where a plan
 is tempted to gather a whole group in one task. The operators here keep every
-window bounded by a constant (partitions, histogram digits) and leave the rest
+window bounded (histogram digits, a row a partition, the rows of one) and leave the rest
 to aggregations that combine before the shuffle.
 """
 
@@ -105,69 +105,39 @@ def order_statistic(counts: DataFrame, keys: list[str], value: str, weight: str,
     return found.select(*keys, slot, F.col("_pre").alias("value"), F.col("_below").alias("below"))
 
 
-_MANTISSA_BITS, _BIAS = 52, 1023
-_TOP = 1 << _MANTISSA_BITS
-_NAN = (2 * _BIAS + 1) * _TOP + 1
-
-
-def _two_to(exponent: Column | int) -> Column:
-    return F.pow(F.lit(2.0), F.lit(exponent) if isinstance(exponent, int) else exponent)
-
-
-def double_image(value: Column) -> Column:
-    """A BIGINT that orders as the DOUBLE does, one for every number: its 64 bits, read as
-    sign and magnitude. Both zeros are one; NaN is above all.
-
-    Only powers of two are multiplied and divided by, so nothing is rounded.
-    """
-    size = F.abs(value)
-    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(_BIAS)), F.lit(1 - _BIAS))
-    exponent = guess - (size < _two_to(guess)).cast("bigint") + (size >= _two_to(guess + 1)).cast("bigint")
-    normal = (exponent + _BIAS) * F.lit(_TOP) + ((size / _two_to(exponent) - 1) * F.lit(float(_TOP))).cast("bigint")
-    tiny = (size * _two_to(537) * _two_to(537)).cast("bigint")
-    image = (F.when(F.isnan(value), F.lit(_NAN)).when(size == float("inf"), F.lit(_NAN - 1))
-             .when(size < 2.0 ** (1 - _BIAS), tiny).otherwise(normal))
-    return F.when(value < 0, -image).otherwise(image)
-
-
-def double_of(image: Column) -> Column:
-    """The DOUBLE of an image."""
-    bits = F.abs(image)
-    exponent, rest = F.shiftright(bits, _MANTISSA_BITS), bits.bitwiseAND(F.lit(_TOP - 1)).cast("double")
-    size = (F.when(bits == _NAN, F.lit(float("nan"))).when(bits == _NAN - 1, F.lit(float("inf")))
-            .when(exponent == 0, rest * _two_to(-537) * _two_to(-537))
-            .otherwise((rest / F.lit(float(_TOP)) + 1) * _two_to(exponent - _BIAS)))
-    return F.when(image < 0, -size).otherwise(size)
-
-
 def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, into: str) -> DataFrame:
     """Exact interpolated quantile of a number, per key; NULLs are ignored.
 
-    Linear interpolation between the two neighbouring order statistics, which are found on
-    the images of the doubles: no digit is rounded away. Several numbers of a table are
-    best asked at once, see :func:`measured`.
+    Linear interpolation between the two neighbouring order statistics, DOUBLEs as they
+    are: no digit is rounded away. The distinct values of all keys are counted, sorted over
+    range partitions and landed once. Sums of a partition's part of a key say which
+    partition holds a rank, and only there is counted value by value, so that a key that
+    owns a third of all rows is spread like any other. Several numbers of a table are best
+    asked at once, see :func:`measured`.
     """
-    image = double_image(F.col(value).cast("double"))
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, image.alias("_v"))
+    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_w")))
-    counts = land(counts, "quantile-counts")
-    totals = counts.groupBy(*keys).agg(F.sum("_w").alias("_n")).filter(F.col("_n") > 0)
+    order = [*keys, "_v"]
+    landed = land(counts.repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumn("_mark", F.monotonically_increasing_id()), "quantile-counts")
+    # monotonically_increasing_id keeps the partition in the bits above 33.
+    landed = landed.withColumn("_part", F.shiftright("_mark", 33))
+    own = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = F.sum("_size").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
+    pieces = (landed.groupBy(*keys, "_part").agg(F.sum("_w").alias("_size"))
+              .withColumn("_before", before).withColumn("_n", F.sum("_size").over(own)))
     spot = (F.col("_n") - 1).cast("double") * q
-    low = F.floor(spot).cast("bigint")
-    ranks = totals.select(*keys, F.explode(F.array(
-        F.struct(F.lit("lo").alias("s"), (low + 1).alias("r")),
-        F.struct(F.lit("hi").alias("s"), F.least(low + 2, F.col("_n")).alias("r")))).alias("_t"))
-    ranks = ranks.select(*keys, F.col("_t.s").alias("_slot"), F.col("_t.r").alias("_rank"))
-    hits = order_statistic(counts, keys, "_v", "_w", ranks, "_slot", "_rank", levels=4)
-    pair = hits.groupBy(*keys).agg(*[
-        double_of(F.max(F.when(F.col("_slot") == end, F.col("value")))).alias(f"_{end}") for end in ("lo", "hi")])
-    frac = spot - F.floor(spot)
-    if keys:
-        joined = pair.join(totals, keys)
-    else:
-        joined = pair.withColumn("_n", totals.select("_n").scalar())
-    answer = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac
-    return joined.select(*keys, answer.alias(into))
+    low = F.floor(spot).cast("bigint") + 1
+    pieces = pieces.withColumns({"_lo": low, "_hi": F.least(low + 1, F.col("_n")), "_share": spot - F.floor(spot)})
+
+    def inside(rank: str, start: Column, size: str) -> Column:
+        return (F.col(rank) > start) & (F.col(rank) <= start + F.col(size))
+
+    pieces = pieces.filter(inside("_lo", F.col("_before"), "_size") | inside("_hi", F.col("_before"), "_size"))
+    along = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cells = landed.join(pieces, [*keys, "_part"]).withColumn("_start", F.col("_before") + F.sum("_w").over(along) - F.col("_w"))
+    at = {end: F.max(F.when(inside(end, F.col("_start"), "_w"), F.col("_v"))) for end in ("_lo", "_hi")}
+    return cells.groupBy(*keys).agg((at["_lo"] + (at["_hi"] - at["_lo"]) * F.max("_share")).alias(into))
 
 
 def measured(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:

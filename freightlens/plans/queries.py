@@ -158,7 +158,7 @@ def _malformed(s):
     """The raw text as files with faulty records and line breaks: rows by reason, none lost."""
     at, spark = _own_folder(s.tower.spark, "faulty"), s.tower.spark
     faulty_lines(s.raw).write.partitionBy("opened").text(at)
-    judged = staging.judge(files.read_raw(spark, at, header=False))
+    judged = land(staging.judge(land(files.read_raw(spark, at, header=False), "raw-records")), "judged-records")
     ledger = staging.reject_ledger(judged, STAGING.as_of)
     broken = F.count(F.when(F.col("Item Description").contains("\n"), 1))
     good = staging.accepted(judged).agg(F.lit("accepted").alias("rejection_reason"), F.count(F.lit(1)).alias("row_count"),
