@@ -3,10 +3,17 @@
 A page is read into blocks: runs of text without a block-level border inside, each with
 the path of tags (and classes) above it. Text length, punctuation and link text are
 summed by path and divided by the path's blocks; the ratios are smoothed over the paths
-in page order, fused, and paths above the spread of the fused values hold content. The
-content's root is the article or main element that has most of it, else the lowest
-element with nearly all; below it everything stays that no element marks as something
-else (menus, headers, footers, sidebars, notices, adverts, forms, comments).
+in page order and fused to one value a path. What elements say only moves that value:
+
+* the share of the page's text that an article or main element holds is added to its
+  nodes, and those outside lose that share of their value;
+* side elements (menus, headers, footers, sidebars, notices, adverts, forms, comments)
+  lower their nodes below any threshold; if nothing is left, names do not count, and then
+  forms do not.
+
+Nodes whose value is at or above the spread of the fused values hold content. Where no
+element names the content, unmarked blocks between them, in the lowest element with nearly
+all of their text, belong to it too.
 
 Each page is worked on by itself in one pass over (page_id, url, html): no shuffle.
 """
@@ -23,36 +30,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Names of HTML elements and what words in class, id and role say of one.
-RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes template svg math object select button".split())
-VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
-                    "small span strike strong sub sup time tt u var").split())
-SIDE_TAGS = frozenset("nav footer aside form menu dialog head fieldset".split())
+RAW = frozenset("script style title textarea iframe noembed noframes".split())
+SKIPPED = frozenset("template svg select button datalist".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+INLINE = frozenset(("a abbr acronym annotation b bdi bdo big cite code data del dfn em font i ins kbd label maction mark math merror mfrac mi mn mo "
+                    "mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover nobr object output q rp rt "
+                    "ruby s samp semantics small span strike strong sub sup time tt u var xmp").split())
+CONTAINERS = frozenset("div section aside ul ol dl table details figure center fieldset".split())
+SIDE_TAGS = frozenset("nav footer aside menu dialog head fieldset".split())
 ROOT_TAGS = frozenset(("article", "main"))
+PAGE_TAGS = frozenset(("", "html", "body"))
 SIDE_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb "
     "breadcrumbs masthead footer sidebar aside widget cookie cookies consent gdpr notice notices banner popup modal overlay "
     "newsletter subscribe signup login share sharing social related recommended comment comments disqus respond replies "
     "contentinfo complementary search dialog alert pagination pager toolbar skip").split())
 HEADER_WORDS = frozenset(("header", "topbar"))
+#: What a class like "with-sidebar" begins with: it tells of the layout, not of the element.
+LAYOUT = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                 "th": ("td", "th"), "option": ("option",)}
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ()}
 
-MARKUP = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|/?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>|/?[a-zA-Z][^>]*(?:>|\Z))""", re.S)
+# A tag is a name and attributes; quotes enclose a value only after an equals sign.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++)"""
+NAMED = r"[^\s/>][^\s/>=]*+"
+TAG = rf"</?[a-zA-Z][^\s/>]*+(?:[\s/]*+{NAMED}(?:\s*+=\s*+{VALUE}?)?)*+[\s/]*+>"
+MARKUP = re.compile(rf"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|{TAG}|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""")
+ATTRIBUTE = re.compile(rf"({NAMED})(?:\s*+=\s*+({VALUE}))?")
+HEADING = re.compile(r"h[1-6]")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+#: How an element is known to be beside the content.
+BY_NAME, BY_FORM, BY_TAG = 1, 2, 3
+#: Elements above one another, as browsers bound them; deeper ones are read as siblings.
+DEEPEST = 512
+
+
+class Path:
+    """The labels from the root down to an element; one object a path."""
+
+    __slots__ = ("label", "above", "below")
+
+    def __init__(self, label: str = "", above: "Path | None" = None):
+        self.label, self.above, self.below = label, above, {}
+
+    def __truediv__(self, label: str) -> "Path":
+        if label not in self.below:
+            self.below[label] = Path(label, self)
+        return self.below[label]
+
+    def __str__(self) -> str:
+        return f"{self.above}/{self.label}" if self.above else self.label
+
+
 class Node:
-    __slots__ = ("tag", "parent", "path", "side", "has_root", "in_root")
+    __slots__ = ("tag", "parent", "path", "side", "has_root", "root")
 
-    def __init__(self, tag: str, parent: "Node | None", label: str = "", side: bool = False):
+    def __init__(self, tag: str, parent: "Node | None", label: str = "", side: int = 0):
         self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{label or tag}" if parent else tag
-        self.in_root = tag in ROOT_TAGS or parent is not None and parent.in_root
+        self.path = parent.path / (label or tag) if parent else Path()
+        self.root = (parent and parent.root) or (self if tag in ROOT_TAGS else None)  # the outermost article or main
         self.side, self.has_root = side, False
 
     def above(self) -> Iterator["Node"]:
@@ -61,28 +102,51 @@ class Node:
             yield node
             node = node.parent
 
+    def beside(self, least: int) -> bool:
+        """Whether the node or one above it is marked, by ``least`` or more."""
+        return any(n.side >= least and not (n.has_root and n.side < BY_TAG) for n in self.above())
+
+
+def _named(tokens: list[str], inside: bool, tag: str) -> bool:
+    """Whether class, id or role tokens name a side element. Inside an article the token must
+    be the word, on a container; elsewhere a word in it will do."""
+    tokens = [t.lower() for t in tokens if not t.lower().startswith(LAYOUT)]
+    if inside:
+        return tag in CONTAINERS and any(t in SIDE_WORDS for t in tokens)
+    words = {w.lower() for t in tokens for w in WORDS.findall(t)}
+    return not HEADING.fullmatch(tag) and bool(words & SIDE_WORDS or words & HEADER_WORDS)
+
 
 def _describe(tag: str, source: str, parent: Node) -> Node:
-    """A node from a start tag: its label, and whether its names say it is no content."""
-    side, label = tag in SIDE_TAGS, tag
-    if tag == "header":
-        side = not parent.in_root
-    if "=" in source or "hidden" in source:
-        words = set()
-        for name, value, hidden in ATTRIBUTE.findall(source[len(tag) + 1:]):
-            value = value.strip("\"'")
-            name = name.lower()
-            if hidden or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-                side = True
+    """A node from a start tag: its label, and whether tag and names say it is no content."""
+    inside = parent.root is not None
+    side = BY_TAG if tag in SIDE_TAGS or tag in ("header", "noscript") and not inside else BY_FORM if tag == "form" else 0
+    label = tag
+    if len(source) > len(tag) + 2:
+        tokens: list[str] = []
+        for name, value in ATTRIBUTE.findall(source, len(tag) + 1, len(source) - 1):
+            name, value = name.lower(), value[1:-1] if value[:1] in ("'", '"') else value
+            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
+                side = max(side, BY_TAG)
             elif name in ("class", "id", "role"):
-                words.update(w.lower() for w in WORDS.findall(value))
+                tokens += value.split()
                 if name == "class" and value:
                     label = f"{tag}.{'.'.join(sorted(value.split()))}"
-        if tag not in ("html", "body", *ROOT_TAGS):
-            side |= bool(words & SIDE_WORDS) or bool(words & HEADER_WORDS) and not parent.in_root
+        if tokens and not side and tag not in ("html", "body", *ROOT_TAGS) and _named(tokens, inside, tag):
+            side = BY_NAME
     return Node(tag, parent, label, side)
 
 
+def _end_of(page: str, tag: str, at: int) -> int:
+    """Behind the end tag of an element that has begun, its like inside it counted; -1 if there is none."""
+    depth = 1
+    for found in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*(/?)>", re.I).finditer(page, at):
+        depth += -1 if found[1] else 0 if found[0].endswith("/>") else 1
+        if not depth:
+            return found.end()
+    return -1
+
+
 def blocks(page: str) -> list[tuple[Node, str, int]]:
     """(element, text, characters of links) of every block of a page, in page order."""
     top = Node("", None)
@@ -117,11 +181,13 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
         if name is None:
             continue
         tag, closing = name[1].lower(), source[1] == "/"
-        if tag in RAW:
-            if not closing and not source.endswith("/>"):
+        if tag in RAW or tag in SKIPPED:
+            if tag in RAW and not closing:
                 end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
                 close = page.find(">", end.start()) if end else -1
                 at = close + 1 if close >= 0 else size
+            elif not closing and not source.endswith("/>"):
+                at = max(at, _end_of(page, tag, at))  # one without an end takes nothing along
             continue
         if tag in ("br", "wbr"):
             take(" " if tag == "br" else "")
@@ -148,18 +214,16 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
                     del stack[k:]
                     break
             if not source.endswith("/>"):
-                node = _describe(tag, source, stack[-1])
-                stack.append(node)
-                if tag in ROOT_TAGS:
-                    for above in node.above():
-                        above.has_root = True
+                stack = stack[:DEEPEST - 1] if len(stack) >= DEEPEST else stack
+                stack.append(_describe(tag, source, stack[-1]))
     end_block()
     return found
 
 
-def content_paths(found: list[tuple[Node, str, int]]) -> set[str]:
-    """Paths whose smoothed and fused text and punctuation ratios stand out."""
-    sums: dict[str, list[float]] = {}
+def path_values(found: list[tuple[Node, str, int]]) -> tuple[dict[Path, float], float]:
+    """Of every path the fused value of its smoothed text and punctuation ratios, 0 to 2, and
+    the threshold: the spread of the values."""
+    sums: dict[Path, list[float]] = {}
     for node, text, links in found:
         s = sums.setdefault(node.path, [0, 0, 0])
         s[0] += 1
@@ -173,35 +237,89 @@ def content_paths(found: list[tuple[Node, str, int]]) -> set[str]:
         smooth = [(values[max(0, i - 1)] + 2 * v + values[min(last, i + 1)]) / 4 for i, v in enumerate(values)]
         most = max(smooth, default=0) or 1.0
         fused = [f + (v + s) / (2 * most) for f, v, s in zip(fused, values, smooth)]
-    threshold = pstdev(fused) if len(fused) > 1 else 0.0
-    return {p for p, f in zip(order, fused) if f >= threshold and f > 0}
+    return dict(zip(order, fused)), pstdev(fused) if len(fused) > 1 else 0.0
 
 
-def main_text(page: str) -> str:
-    """The article's blocks, one a line."""
-    found = [b for b in blocks(page) if not any(n.side and not n.has_root for n in b[0].above())]
-    paths = content_paths(found)
-    weight: dict[Node, int] = {}
-    total = 0
+def content_nodes(found: list[tuple[Node, str, int]]) -> set[Node]:
+    """The nodes of unmarked blocks whose path's value, moved by the share of the text that
+    their article or main element holds, reaches the threshold."""
+    values, threshold = path_values(found)
+    held: dict[Node | None, int] = {}
     for node, text, links in found:
-        if node.path in paths:
-            total += len(text) - links
+        held[node.root] = held.get(node.root, 0) + len(text) - links
+    total = sum(held.values()) or 1
+    marked = 1 - held.get(None, 0) / total
+
+    def value(node: Node) -> float:
+        fused = values[node.path]
+        return fused * (1 - marked) if node.root is None else fused + 2 * held[node.root] / total
+
+    return {node for node, _, _ in found if value(node) >= threshold and value(node) > 0}
+
+
+def _common(nodes: list[Node]) -> Node:
+    """The lowest element above all of the nodes."""
+    shared = list(nodes[0].above())
+    for node in nodes[1:]:
+        own = set(node.above())
+        shared = [n for n in shared if n in own]
+    return shared[0]
+
+
+def _joined(found: list[tuple[Node, str, int]], nodes: set[Node]) -> str:
+    """The blocks of the content, one a line.
+
+    Outside article and main elements content lies in one region: the lowest element with
+    nearly all of the content's text, widened to the content of the same paths. There no
+    block goes that is not mostly links; on the page's own level only from the first content
+    (with the headings before it) to the last.
+    """
+    kept = {i for i, (node, _, _) in enumerate(found) if node.root is not None and node in nodes}
+    free = [(node, len(text) - links) for node, text, links in found if node.root is None and node in nodes]
+    if free:
+        weight: dict[Node, int] = {}
+        for node, n in free:
             for above in node.above():
-                weight[above] = weight.get(above, 0) + len(text) - links
-    if not total:
-        return ""
-    marked = [n for n in weight if n.tag in ROOT_TAGS]
-    if 2 * sum(w for n, w in weight.items() if n in marked and not any(a in marked for a in n.above() if a is not n)) >= total:
-        roots = set(marked)
-        return "\n".join(text for node, text, _ in found if any(a in roots for a in node.above()))
-    root = max((n for n, w in weight.items() if 5 * w >= 4 * total), key=lambda n: sum(1 for _ in n.above()))
-    inside = [(node, text, links) for node, text, links in found if any(a is root for a in node.above())]
-    chosen = [i for i, (node, _, _) in enumerate(inside) if node.path in paths]
-    first, last = chosen[0], chosen[-1]
-    while first and re.fullmatch(r"h[1-6]", inside[first - 1][0].tag):
-        first -= 1
-    return "\n".join(text for i, (node, text, links) in enumerate(inside)
-                     if first <= i <= last and (node.path in paths or 2 * links < len(text)))
+                weight[above] = weight.get(above, 0) + n
+        total = sum(n for _, n in free)
+        core = max((n for n, w in weight.items() if 5 * w >= 4 * total), key=lambda n: sum(1 for _ in n.above()))
+        paths = {node.path for node, _ in free if any(a is core for a in node.above())}
+        region = _common(list({node for node, _ in free if node.path in paths} | {core}))
+        inside = {i for i, (node, _, _) in enumerate(found) if node.root is None and any(a is region for a in node.above())}
+        if region.tag in PAGE_TAGS:
+            chosen = sorted(i for i in inside if found[i][0] in nodes and found[i][0].path in paths)
+            first = chosen[0]
+            while first - 1 in inside and HEADING.fullmatch(found[first - 1][0].tag):
+                first -= 1
+            inside = {i for i in inside if first <= i <= chosen[-1]}
+        kept.update(i for i in inside if 2 * found[i][2] < len(found[i][1]) or found[i][0] in nodes and found[i][0].path in paths)
+    return "\n".join(found[i][1] for i in sorted(kept))
+
+
+def _wrappers(everything: list[tuple[Node, str, int]]) -> None:
+    """Mark the elements that hold half of the text of article and main elements or more:
+    names and forms around these say nothing."""
+    held: dict[Node, int] = {}
+    total = 0
+    for node, text, links in everything:
+        if node.root is not None and not node.beside(BY_TAG):
+            total += len(text) - links
+            for above in node.root.above():
+                held[above] = held.get(above, 0) + len(text) - links
+    for node, n in held.items():
+        node.has_root = 2 * n >= total > 0
+
+
+def main_text(page: str) -> str:
+    """The article's blocks, one a line."""
+    everything = blocks(page)
+    _wrappers(everything)
+    for least in (BY_NAME, BY_FORM, BY_TAG):  # what marks a side element; the weaker signs go first
+        found = [b for b in everything if not b[0].beside(least)]
+        nodes = content_nodes(found)
+        if any(len(text) > links for node, text, links in found if node in nodes):
+            return _joined(found, nodes)
+    return ""
 
 
 def extract_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from freightlens.llm import pseudo_likelihood as lm
 from freightlens.llm import quality_rules as quality
-from freightlens.llm.html_paths import extract_text, main_text
+from freightlens.llm.html_paths import blocks, extract_text, main_text, path_values
 from freightlens.llm.sentencepieces import Codec, Pieces, decode, encode, round_trip
 from freightlens.llm.token_counts import token_counts
 from freightlens.llm.token_store import pack, read_token_store, unpack, write_token_store
@@ -162,6 +162,71 @@ def test_main_text(spark):
 
 def test_long_page():
     assert main_text("<article>" + "<p>word, and.</p>" * 20_000 + "</article>").count("\n") == 19_999
+    assert main_text("<div>" + "<p>word, and.</p>" * 20_000 + "</div>").count("\n") == 19_999
+    assert main_text("<div class=deep>word, and." * 5_000).count("\n") == 4_999
+
+
+def said(n, seed=0):
+    """A paragraph of n sentences."""
+    draw = random.Random(seed * 100 + n)
+    word = lambda: "".join(draw.choice("abcdeiknorstuéß") for _ in range(draw.randint(2, 8)))
+    return " ".join(" ".join(word() for _ in range(draw.randint(4, 9))).capitalize() + ", " + word() + "." for _ in range(n))
+
+
+NAV = '<nav class="top"><ul><li><a href="/a">Home</a><li><a href="/b">All of our posts</a></ul></nav>'
+SIDE = '<div class="sidebar-left"><h3>Most read</h3><ul><li><a href="/1">One, two</a><li><a href="/2">Three</a></ul></div>'
+FOOT = "<footer><p>&copy; 2024 Someone, somewhere. All rights reserved.</p></footer>"
+SAID = '<div id="comments"><h3>2 comments</h3><div class="c"><p>Great post, thanks. I read it twice.</p></div></div>'
+COOKIE = '<div class="cookie-banner" role="dialog"><p>We use cookies, of course. Accept all, or leave.</p><button>OK</button></div>'
+
+
+def layouts(n):
+    """(html, blocks) of pages of fourteen layouts; n moves lengths and texts."""
+    a, b, c, d = (said(k + n, k) for k in (2, 3, 1, 4))
+    p = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    yield f"<html><body>{NAV}<div class=ad>Buy, now.</div><article><h1>Title</h1>{p(a, b)}<p>Ok.</p>{p(c)}</article>{SAID}{FOOT}", ["Title", a, b, "Ok.", c]
+    yield (f"<body>{COOKIE}<header><h2>The Site</h2></header><main><header><h1>Head</h1></header>{p(a)}<h2 id=comments>On comments</h2>{p(b)}"
+           f"<blockquote>{c}</blockquote><form><label>Mail</label><input></form></main><aside>{p(d)}</aside>{FOOT}"), ["Head", a, "On comments", b, c]
+    yield f"<body>{NAV}<div id=content><h1>Title</h1>{p(a, b, d)}</div>{SIDE}{SAID}{FOOT}", ["Title", a, b, d]
+    yield (f"<table><tr><td><a href=/>Home</a><br><a href=/x>Contact us now</a></td><td class=text>{p(a, b, d)}</td></tr></table>"), [a, b, d]
+    yield f"<h1>Bare</h1><p>{a}<p>{b}<p>{d}", ["Bare", a, b, d]
+    yield (f"<body><form id=aspnet action=/><input type=hidden value=x>{NAV}<div class=body>{p(a, b)}<ul><li>{c}</li><li>Two.</li></ul>{p(d)}</div></form>{FOOT}",
+           [a, b, c, "Two.", d])
+    yield (f"<article><h1>A</h1><section class=social-history>{p(a)}</section><figure><img src=x><figcaption>Seen, here.</figcaption></figure>"
+           f"<div class='share comments'>{p(d)}</div><pre>x  =\n1</pre><table><tr><td>1<td>2</table>{p(b)}</article>"), ["A", a, "Seen, here.", "x = 1", "1", "2", b]
+    yield (f"<body><div class='page with-sidebar'><div class=entry><h2>Part one</h2>{p(a, b)}<h2>Part two</h2>{p(d)}</div>{SIDE}</div>{FOOT}",
+           ["Part one", a, b, "Part two", d])
+    yield f"<article lang=en title=it's data-x='a>b' data-y=\"it's\"><p id=a'b>{a}</p><p title='>'>{b} it's</p></article><!-- {c} -->", [a, f"{b} it's"]
+    yield (f"<body><noscript><p>Please enable it.</p></noscript><main>{p(a)}<noscript>{p(b)}</noscript><p>{c} <math><mi>x</mi><mo>=</mo><mn>2</mn></math>"
+           f"<object data=x>!</object></p><svg><title>no</title><text>no</text></svg><template><p>no</p></template></main>"), [a, b, f"{c} x=2!"]
+    yield (f"<body>{NAV}<article><h1>Main one</h1>{p(a, b, d, d)}</article><aside><article><p>Related, short.</p></article></aside>"
+           f"<div class='newsletter-signup'>{p(c)}</div>{FOOT}"), ["Main one", a, b, d, d]
+    yield (f"<body><div role=banner>{p('The site, again.')}</div><div role=main><section><h2>One</h2>{p(a)}</section><section><h2>Two</h2>{p(b, d)}</section></div>"
+           f"<div role=contentinfo>{p('Made, here.')}</div>"), ["One", a, "Two", b, d]
+    yield (f"<div class=post><dl><dt>Term<dd>{a}<dt>Other<dd>{b}</dl>{p(d)}</div><div class='ad-slot'>{p('Buy, two. Get, one.')}</div>"), ["Term", a, "Other", b, d]
+    yield f"<article><script>if (a < b) '</p>'</script><style>p{{}}</style><p>{a}<br>{b}</p><svg><p>{c}</p><p>{d}</p></article>", [f"{a} {b}", c, d]
+
+
+@pytest.mark.parametrize("n", [0, 2, 7])
+def test_layouts(n):
+    pages = list(layouts(n))
+    assert len(pages) == 14 and sum("<article" not in page for page, _ in pages) >= 7
+    for page, expected in pages:
+        assert main_text(page).split("\n") == expected
+
+
+def test_tags_end_where_markup_says():
+    assert main_text("<article><p title=it's>Hello world</p><p>it's fine</p></article>") == "Hello world\nit's fine"
+    assert main_text('<article><p>a</p><noscript><p>inside</p></noscript><p>b<object>alt</object></p></article>') == "a\ninside\nbalt"
+    assert main_text('<article><p a="open>one</p><p>two</p></article>') == "one\ntwo"
+    assert main_text("<article><p a = 'x' b=/c/d>one</p><p / class=q>two &lt;b&gt; < 3</p></article>") == "one\ntwo <b> < 3"
+
+
+def test_names_that_mark_everything_mark_nothing():
+    assert main_text("<div class=comments><p>One, two. Three, four.</p><p>Five, six. Seven.</p></div>") == "One, two. Three, four.\nFive, six. Seven."
+    values, threshold = path_values(blocks("<div><h2>Short</h2><p>Long text, with commas. Very long.</p></div>"))
+    values = {str(path): value for path, value in values.items()}
+    assert values["/div/p"] > threshold > 0 and values["/div/p"] > values["/div/h2"]
 
 
 def test_quality_rules(spark):
