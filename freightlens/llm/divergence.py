@@ -33,7 +33,7 @@ from freightlens.session import land
 
 SCALE, SMOOTH = 1_000_000_000, 5
 #: Sources on a side of a tile, terms in an array, and parts that a tile's terms are dealt to.
-TILE, CHUNK, PARTS = 128, 256, 32
+TILE, CHUNK, PARTS = 128, 256, 128
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
