@@ -281,15 +281,19 @@ def _gate(df: DataFrame, name: str, passed: Column) -> DataFrame:
 
 
 def output_gates(t: Tables, carrier_score: DataFrame, lane_score: DataFrame,
-                 cases: DataFrame, dates: DataFrame, exports: dict[str, DataFrame],
+                 cases: DataFrame, dates: DataFrame, exports: DataFrame,
                  settings: Settings) -> DataFrame:
-    """Gates over the analytical outputs of a run."""
+    """Gates over the analytical outputs of a run.
+
+    ``exports``: (table_name, row_count, rows_found, identical) of the exported tables, as
+    written and as their files are found (``sources.files.check_layer``).
+    """
     perf = t["dq_detection_performance"].filter("manifest_count > 0")
     tp, fn = F.sum("true_positive_count"), F.sum("false_negative_count")
     critical = perf.filter("severity = 'CRITICAL'")
     base, audit, dq = t["analytics_shipment"], t["freight_audit"], t["dq_detected_exception"]
     source = t["fact_shipment"].agg(_all().alias("n")).scalar()
-    exported = exports["rpt_fact_shipment"].agg(_all().alias("n")).scalar()
+    shipped = exports.filter("table_name = 'rpt_fact_shipment'")
     thin = F.col("shipment_count") < settings.min_carrier_shipments
     wanted = {"shipment_count", "invoiced_freight_usd", "cost_per_kg", "otif_pct",
               "avg_delay_days", "transit_time_variability_days", "claims_rate_pct",
@@ -319,7 +323,8 @@ def output_gates(t: Tables, carrier_score: DataFrame, lane_score: DataFrame,
         _gate(audit, "invoice_audit_one_row_per_invoice",
               F.countDistinct("invoice_id") == _all()),
         _gate(dq, "dq_detection_ids_unique", F.countDistinct("detected_exception_id") == _all()),
-        _gate(base, "shipment_export_reconciles", _all() == F.max(exported)),
+        _gate(shipped, "shipment_export_reconciles", (F.sum("rows_found") == F.max(source)) & (F.min("identical") == 1)),
+        _gate(exports, "exports_as_written", (_all() > 0) & (F.min("identical") == 1)),
     ]
     weights = abs(sum(settings.score_weights.values()) - 1.0) < 1e-9
     rows.append(_gate(carrier_score, "carrier_weights_sum_to_one", F.lit(weights) & (_all() >= 0)))

@@ -589,7 +589,7 @@ _GATE_NAMES = [
     "overall_detection_recall", "critical_detection_recall", "git_age_nonnegative", "shipment_rows_preserved", "full_shipment_lineage",
     "insufficient_carriers_unranked", "eligible_carrier_ranks_unique", "lane_scorecard_required_metrics", "date_dimension_complete",
     "three_root_cause_cases", "unrated_expected_total_null", "invoice_audit_one_row_per_invoice", "dq_detection_ids_unique",
-    "shipment_export_reconciles", "carrier_weights_sum_to_one"]
+    "shipment_export_reconciles", "exports_as_written", "carrier_weights_sum_to_one"]
 _SPECIAL = {
     "overall_detection_recall": f"(SELECT overall_gate FROM ({_GATES})) = 1",
     "critical_detection_recall": f"(SELECT critical_gate FROM ({_GATES})) = 1",

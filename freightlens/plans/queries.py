@@ -88,7 +88,7 @@ def _typed_csv(spark: SparkSession, folder: str) -> DataFrame:
     customers = files.read_folder(tune(spark), folder, ["customer"])["customer"]
     at = _own_folder(spark, "typed")
     files.write_layer({"customer": customers}, at, "csv")
-    return files.read_typed(spark, f"{at}/customer", customers.schema, "csv")
+    return files.read_layer(spark, at)["customer"]
 
 
 def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +96,7 @@ def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
     tables, at = files.read_folder(tune(spark), folder, ["nation", "region", "supplier"]), _own_folder(spark, "layer")
     files.write_layer({n: df.limit(1) for n, df in tables.items()}, at)
     files.write_layer(tables, at)
-    back = {n: files.read_typed(spark, f"{at}/{n}", df.schema) for n, df in tables.items()}
+    back = files.read_layer(spark, at)
     return reduce(DataFrame.unionByName, [files.provenance(n, df) for n, df in back.items()])
 
 
@@ -111,13 +111,15 @@ def _csv_export(t, r):
 
     CSV has no empty text apart from a missing one: both come back as NULL.
     """
-    marts_ = {n: land(_doubles(df).select(*[
-        F.nullif(F.col(c), F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes]), n)
-        for n, df in r.marts().items()}
-    back = files.export_csv(marts_, _own_folder(t.spark, "export"))
-    return reduce(DataFrame.unionByName, [
-        sampling.same_table(marts_[n], df).select(F.lit(n).alias("table_name"), F.col("right_rows").alias("row_count"), "identical")
-        for n, df in back.items()])
+    at = _export(t, r, list(r.marts()))
+    return files.check_layer(t.spark, at).select("table_name", "row_count", "identical")
+
+
+def _export(t, r, names: list[str]) -> str:
+    """The marts of these names written as a CSV layer; its folder."""
+    at, marts_ = _own_folder(t.spark, "export"), r.marts()
+    files.write_layer({n: _doubles(marts_[n]) for n in names}, at, "csv")
+    return at
 
 
 def _flagship(spark: SparkSession, folder: str) -> DataFrame:
@@ -374,7 +376,7 @@ def _baseline(t, r):
 def _gates(t, r):
     return validation.output_gates(
         t, r.carrier_scorecard(), r.lane_scorecard(), r.cases(), r.mart("rpt_dim_date"),
-        {"rpt_fact_shipment": r.mart("rpt_fact_shipment")}, SETTINGS)
+        files.check_layer(t.spark, _export(t, r, ["rpt_fact_shipment", "rpt_fact_accrual"])), SETTINGS)
 
 
 # -- shipment base and service KPIs -----------------------------------------------

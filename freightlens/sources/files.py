@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,20 +99,85 @@ def provenance(name: str, rows: DataFrame) -> DataFrame:
         F.lit(name).alias("source_name"), "row_count", "content_sum")
 
 
-def write_layer(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """Full refresh of a layer: overwrite every table, in any order."""
+def _content(df: DataFrame) -> list[Column]:
+    """Row count and order-free content sum of a table, an empty text counted as missing."""
+    text = F.concat_ws("|", *[F.coalesce(F.nullif(_canonical(f), F.lit("")), F.lit("~")) for f in df.schema.fields])
+    digest = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("content_sum")]
+
+
+_COMMIT = "commit_no long, version string, table_name string, format string, row_count long, content_sum string, columns string"
+
+
+def _commits(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(_COMMIT).parquet(f"{folder}/_commits")
+
+
+def write_layer(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> str:
+    """Full refresh of a layer, all tables or none: returns the new version.
+
+    Every refresh writes a folder of its own, then appends one file to the layer's commit
+    log; the newest commit is the layer. A refresh that is stopped leaves the old rows, and
+    readers of an older version keep theirs. Row counts and content sums are observed while
+    the rows are written and stand in the log, see :func:`check_layer`.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version, log = uuid.uuid4().hex, []
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
-        path = f"{folder}/{name}"
+        seen = Observation(f"{name}-{version}")
+        writer = df.observe(seen, *_content(df)).write.mode("errorifexists")
+        path = f"{folder}/{version}/{name}"
         writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
+        log.append((version, name, fmt, seen.get["row_count"], seen.get["content_sum"], df.schema.json()))
+    number = (_newest(spark, folder) or (0,))[0] + 1
+    spark.createDataFrame([(number, *row) for row in log], _COMMIT).coalesce(1).write.mode("append").parquet(f"{folder}/_commits")
+    return version
+
+
+def _newest(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """Number and version of the newest commit; the log has a row a table and refresh."""
+    try:
+        row = _commits(spark, folder).agg(F.max(F.struct("commit_no", "version")).alias("at")).first()
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+    return (row["at"]["commit_no"], row["at"]["version"]) if row["at"] else None
+
+
+def read_layer(spark: SparkSession, folder: str, version: str | None = None) -> dict[str, DataFrame]:
+    """The tables of a layer as its newest commit (or ``version``) has them, typed."""
+    if version is None:
+        newest = _newest(spark, folder)
+        if newest is None:
+            raise FileNotFoundError(f"no committed layer in {folder}")
+        version = newest[1]
+    entries = _commits(spark, folder).filter(F.col("version") == version).collect()  # a row a table
+    if not entries:
+        raise FileNotFoundError(f"no version {version} in {folder}")
+    return {e["table_name"]: read_typed(spark, f"{folder}/{version}/{e['table_name']}", T.StructType.fromJson(json.loads(e["columns"])),
+                                        e["format"]) for e in entries}
+
+
+def check_layer(spark: SparkSession, folder: str, version: str | None = None) -> DataFrame:
+    """(table_name, row_count, rows_found, identical): what was written against what lies there.
+
+    A file that is gone, cut or changed shows, because the log's figures come from the rows
+    as they were written and not from the files.
+    """
+    tables = read_layer(spark, folder, version)
+    wanted = version or _newest(spark, folder)[1]
+    log = _commits(spark, folder).filter(F.col("version") == wanted).select("table_name", "row_count", "content_sum")
+    found = reduce(DataFrame.unionByName, [df.agg(*_content(df)).select(
+        F.lit(n).alias("table_name"), F.col("row_count").alias("rows_found"), F.col("content_sum").alias("sum_found")) for n, df in tables.items()])
+    same = (F.col("row_count") == F.col("rows_found")) & (F.col("content_sum") == F.col("sum_found"))
+    return log.join(found, "table_name").select("table_name", "row_count", "rows_found", same.cast("int").alias("identical"))
 
 
 def export_csv(marts: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write marts as CSV folders and return them as read back."""
     write_layer(marts, folder, "csv")
-    spark = next(iter(marts.values())).sparkSession
-    return {n: spark.read.schema(df.schema).csv(f"{folder}/{n}", header=True)
-            for n, df in marts.items()}
+    return read_layer(next(iter(marts.values())).sparkSession, folder)
 
 
 def parameterised(spark: SparkSession, sql: str, **args) -> DataFrame:

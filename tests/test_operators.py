@@ -447,12 +447,40 @@ def test_layer_round_trip_and_refresh(spark, tmp_path):
     for _ in range(2):
         back = files.export_csv({"t": df}, str(tmp_path / "csv"))
     assert back["t"].count() == 2
-    files.write_layer({"t": df}, str(tmp_path / "pq"))
-    assert files.read_typed(spark, str(tmp_path / "pq/t"), df.schema).count() == 2
+    at = str(tmp_path / "pq")
+    first = files.write_layer({"t": df, "u": df.limit(1)}, at)
+    files.write_layer({"t": df.limit(0)}, at)
+    assert files.read_layer(spark, at)["t"].count() == 0
+    assert files.read_layer(spark, at, first)["t"].count() == 2
     assert files.missing_inputs(["a", "b"], ["b"]) == ["a"]
     assert validation.required_outputs(spark, ["no_such_table"]) == ["no_such_table"]
 
 
+def test_a_refresh_that_stops_leaves_the_old_rows(spark, tmp_path):
+    at, df = str(tmp_path / "layer"), spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    with pytest.raises(FileNotFoundError):
+        files.read_layer(spark, at)
+    files.write_layer({"t": df, "u": df}, at)
+    broken = df.withColumn("k", F.when(F.col("k") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("k")))
+    with pytest.raises(Exception, match="lost"):
+        files.write_layer({"t": df.limit(1), "u": broken}, at)
+    assert {n: t.count() for n, t in files.read_layer(spark, at).items()} == {"t": 2, "u": 2}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_lost_or_changed_file_fails_the_check(spark, tmp_path, fmt):
+    at = str(tmp_path / "layer")
+    df = spark.createDataFrame([(i, f"n{i}" if i % 3 else "", i / 7, D(2024, 1, 1 + i)) for i in range(20)], "k int, v string, x double, d date").repartition(4)
+    version = files.write_layer({"t": df, "u": df}, at, fmt)
+    assert {r["table_name"]: (r["rows_found"], r["identical"]) for r in files.check_layer(spark, at).collect()} == {"t": (20, 1), "u": (20, 1)}
+    next((tmp_path / "layer" / version / "t").glob("part-*")).unlink()
+    spark.catalog.refreshByPath(f"{at}/{version}/t")
+    found = {r["table_name"]: (r["rows_found"] < 20, r["identical"]) for r in files.check_layer(spark, at).collect()}
+    assert found == {"t": (True, 0), "u": (False, 1)}
+    gate = validation._gate(files.check_layer(spark, at), "exports_as_written", F.min("identical") == 1).first()
+    assert gate["status"] == "FAIL"
+
+
 def test_dates_by_column_name(spark):
     df = spark.createDataFrame([("2024-02-01", "bad", "2024-02-01 10:00:00")],
                                "a_date string, b_date string, c_timestamp string")
