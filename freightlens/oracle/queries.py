@@ -96,6 +96,11 @@ FROM ({_WAS}) b JOIN ({_NOW}) a ON a.k = b.k WHERE a.c IS DISTINCT FROM b.c
 UNION ALL SELECT CAST(b.k AS VARCHAR), 'UPDATED', 'lane_id', CAST(b.l AS VARCHAR), CAST(a.l AS VARCHAR)
 FROM ({_WAS}) b JOIN ({_NOW}) a ON a.k = b.k WHERE a.l IS DISTINCT FROM b.l"""
 _SELECTS["table_diff"] = _DIFF
+_BUCKET = "CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 4) AS INTEGER)"
+_SELECTS["unequal_buckets"] = f"""
+SELECT bucket, CAST(SUM(was) AS BIGINT) AS left_rows, CAST(SUM(1 - was) AS BIGINT) AS right_rows
+FROM (SELECT {_BUCKET} AS bucket, 1 AS was FROM ({_WAS}) UNION ALL SELECT {_BUCKET}, 0 FROM ({_NOW}))
+WHERE bucket IN (SELECT {_BUCKET} FROM (({_WAS} EXCEPT {_NOW}) UNION ALL ({_NOW} EXCEPT {_WAS}))) GROUP BY bucket"""
 _SELECTS["diff_summary"] = f"""
 SELECT change, column_name, COUNT(*) AS cells, COUNT(DISTINCT record_id) AS records FROM ({_DIFF}) GROUP BY change, column_name"""
 # Fault rates.

@@ -285,9 +285,17 @@ def _clean_layer(t):
         .otherwise(F.col("lane_id"))})
 
 
+def _versions(t):
+    return _clean_layer(t), t["fact_shipment"].filter("shipment_id % 700 <> 5"), "shipment_id", ["carrier_id", "lane_id"]
+
+
 def _diff(t):
-    now = t["fact_shipment"].filter("shipment_id % 700 <> 5")
-    return sampling.table_diff(_clean_layer(t), now, "shipment_id", ["carrier_id", "lane_id"])
+    return sampling.table_diff(*_versions(t))
+
+
+@_tower("unequal_buckets")
+def _unequal(t, r):
+    return sampling.unequal_buckets(*_versions(t))
 
 
 @_tower("table_diff")

@@ -67,12 +67,15 @@ def _filesystem_path(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name, on whatever store it is."""
+    files, at = _filesystem_path(spark, path)
+    return files.exists(at)
+
+
 def still_landed(df: DataFrame | None) -> bool:
     """Whether a landed table is still in its folder, so that it can be used again."""
-    if df is None:
-        return False
-    files, at = _filesystem_path(df.sparkSession, df._landed_at)
-    return files.exists(at)
+    return df is not None and path_exists(df.sparkSession, df._landed_at)
 
 
 def source_state(spark: SparkSession, folder: str) -> str:

@@ -7,12 +7,12 @@ import uuid
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.operators.staging import RAW_COLUMNS
+from freightlens.session import path_exists
 from freightlens.sources.records import read_records
 
 
@@ -136,12 +136,9 @@ def write_layer(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
 
 def _newest(spark: SparkSession, folder: str) -> tuple[int, str] | None:
     """Number and version of the newest commit; the log has a row a table and refresh."""
-    try:
-        row = _commits(spark, folder).agg(F.max(F.struct("commit_no", "version")).alias("at")).first()
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
+    if not path_exists(spark, f"{folder}/_commits"):
         return None
+    row = _commits(spark, folder).agg(F.max(F.struct("commit_no", "version")).alias("at")).first()
     return (row["at"]["commit_no"], row["at"]["version"]) if row["at"] else None
 
 

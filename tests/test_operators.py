@@ -148,6 +148,18 @@ def test_disjoint_samples(spark):
     assert len({r["k"] for r in rows}) == len(rows) == 60
 
 
+def test_equal_tables_have_no_unequal_bucket_and_a_change_names_its_own(spark):
+    rows = [(i, f"v{i % 7}", i / 3) for i in range(3000)] + [(None, None, None)]
+    a = spark.createDataFrame(rows, "k int, p string, q double")
+    assert sampling.unequal_buckets(a, a.repartition(7), "k", ["p", "q"]).count() == 0
+    b = a.filter("k <> 11 OR k IS NULL").withColumn("p", F.when(F.col("k") == 40, F.lit(None)).otherwise(F.col("p")))
+    found = {r["bucket"]: (r["left_rows"], r["right_rows"]) for r in sampling.unequal_buckets(a, b, "k", ["p", "q"]).collect()}
+    own = {r["k"]: r["b"] for r in a.select("k", sampling._leaf("k").alias("b")).filter("k IN (11, 40)").collect()}
+    assert set(found) == set(own.values()) and found[own[11]][0] - found[own[11]][1] == 1
+    diff = {tuple(r)[:3] for r in sampling.table_diff(a, b, "k", ["p", "q"]).collect()}
+    assert diff == {("11", "DELETED", "k"), ("40", "UPDATED", "p")}
+
+
 def test_table_diff(spark):
     a = spark.createDataFrame([(1, "x", None), (2, "y", 5), (3, "z", 1)], "k int, p string, q int")
     b = spark.createDataFrame([(1, "x", None), (2, "n", None), (4, "w", 1)],
