@@ -8,10 +8,13 @@ the sum of the log-probabilities of its words.
 1. Word counts over all documents, combined in each task before the shuffle, are landed.
    The commonest words have a name each, the more of them the more words there are; the
    others share names by their last three bytes.
-2. Training takes all documents. Every task starts from the same weights, goes through its
-   documents in mini-batches (numpy, Adagrad) and returns its weights in blocks; blocks
-   are averaged by the words they have seen, in the shuffle's tasks. The driver gets one
-   set of weights, whose size the vocabulary fixes.
+2. Training takes all documents and does not depend on how the table is laid out: documents
+   are dealt to shards by a hash of id and text, as many shards as the number of words asks
+   for, and go through them in the order of that hash. The output biases start as the
+   counted frequencies, so the untrained network is the unigram. In each round every shard
+   starts from the same weights, goes through its share of the round in mini-batches (numpy,
+   Adagrad) and returns its state in blocks, which are averaged by the words seen, in the
+   shuffle's tasks. The driver gets one network a round, whose size the vocabulary fixes.
 3. Scoring is one pass with the weights broadcast. A word with a shared name scores
    log P(name) + log P(word | name), the latter from the counts of all words, less a
    discount that is left to words without a count. The pass lands documents in chunks of
@@ -27,16 +30,19 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.ragged import Hashes, mix, slices, utf8
+from freightlens.llm.ragged import SLICE, Hashes, mix, slices, utf8
 from freightlens.llm.shingles import LOWER, words_of
 from freightlens.session import land
 
 #: Words kept in a task before they are combined, or landed as a chunk.
 HELD = 2_000_000
+#: Words that a shard has about, and the most shards.
+SHARD, SHARDS = 4_000_000, 1 << 14
 #: Taken off the count of every word with a shared name; so much is a word without a count worth.
 DISCOUNT = 0.25
 
@@ -52,7 +58,7 @@ class Shape:
     side: int = 2
     batch: int = 8192
     rate: float = 0.15
-    rounds: int = 1
+    rounds: int = 2
     seed: int = 7
     blocks: int = 64
 
@@ -78,7 +84,17 @@ class Network:
             "context": draw.normal(0, 0.1, (2 * shape.side, n, d)).astype(np.float32), "bias": np.zeros(d, np.float32),
             "classes": draw.normal(0, 0.1, (n // per, d)).astype(np.float32), "class_bias": np.zeros(n // per, np.float32),
             "words": draw.normal(0, 0.1, (n // per, per, d)).astype(np.float32), "word_bias": np.zeros((n // per, per), np.float32)}
-        self.squares = {k: np.full(w.shape, 1e-6, np.float32) for k, w in self.weights.items()}
+        # Biases begin where counts have put them and take smaller steps.
+        self.squares = {k: np.full(w.shape, 1e-4 if k.endswith("_bias") else 1e-6, np.float32) for k, w in self.weights.items()}
+
+    def begin_as_unigram(self, times: np.ndarray) -> "Network":
+        """Set the output biases to the log frequencies of the names, ``times`` by name."""
+        table = np.zeros(self.shape.vocabulary)
+        table[:len(times)] = times
+        table = table.reshape(self.weights["word_bias"].shape) + 0.5
+        self.weights["word_bias"] = np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
+        self.weights["class_bias"] = np.log(table.sum(1) / table.sum()).astype(np.float32)
+        return self
 
     def _hidden(self, windows: np.ndarray) -> np.ndarray:
         total = self.weights["bias"] + self.weights["context"][0][windows[:, 0]]
@@ -148,13 +164,15 @@ class Network:
         self.weights[name][at] -= self.shape.rate * gradient / np.sqrt(squares)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([w.ravel() for w in self.weights.values()])
+        """Weights, then Adagrad's sums of squares."""
+        return np.concatenate([w.ravel() for part in (self.weights, self.squares) for w in part.values()])
 
     def load(self, flat: np.ndarray) -> "Network":
         at = 0
-        for name, w in self.weights.items():
-            self.weights[name] = flat[at:at + w.size].reshape(w.shape).astype(np.float32)
-            at += w.size
+        for part in (self.weights, self.squares):
+            for name, w in part.items():
+                part[name] = flat[at:at + w.size].reshape(w.shape).astype(np.float32)
+                at += w.size
         return self
 
 
@@ -166,6 +184,10 @@ def _words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows, hashes.spans(starts, ends), hashes.spans(np.maximum(starts, ends - 3), ends)
 
 
+def _from_zero(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data[borders[0]:borders[-1]], borders - borders[0]
+
+
 def _counts(rows: DataFrame, shape: Shape) -> DataFrame:
     """(word, shared, n) over all documents, words as hashes with the ending they may share a name by."""
 
@@ -251,26 +273,54 @@ class Names:
         return rows, around, names, hashes
 
 
-def _trained(rows: DataFrame, names: Names, start: np.ndarray, shape: Shape) -> np.ndarray:
-    """Weights after one round over all documents."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array | None]]:
+    """(shard, texts) of about ``SLICE`` bytes of a shard's rows, or one longer text, and
+    (shard, None) behind its last: the same wherever batches begin and end."""
+    shard, held, size = None, [], 0
+    for batch in batches:
+        shards, texts = batch.column("shard").to_numpy(), batch.column("text")
+        sizes = pc.binary_length(texts).to_numpy()
+        at = 0
+        for i, (s, n) in enumerate(zip(shards.tolist(), sizes.tolist())):
+            if s != shard or size and size + n > SLICE:
+                held.append(texts.slice(at, i - at))
+                at = i
+                if size:
+                    yield shard, pa.concat_arrays(held)
+                held, size = [], 0
+                if s != shard and shard is not None:
+                    yield shard, None
+                shard = s
+            size += n
+        held.append(texts.slice(at))
+    if shard is not None:
+        if size:
+            yield shard, pa.concat_arrays(held)
+        yield shard, None
+
+
+def _trained(rows: DataFrame, n_shards: int, names: Names, start: np.ndarray, shape: Shape) -> np.ndarray:
+    """The network's state after every shard's share (doc_id, text) of a round."""
     sent = rows.sparkSession.sparkContext.broadcast((names, start))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, start = sent.value
         network, seen = Network(shape).load(start), 0
-        for batch in batches:
-            data, borders = utf8(batch.column("text"))
-            for x, y in slices(np.diff(borders)):
-                _, around, targets, _ = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
+        for shard, texts in _slices(batches):
+            if texts is not None:
+                _, around, targets, _ = names.windows(*_from_zero(*utf8(texts)))
                 mixed = np.random.default_rng(shape.seed).permutation(len(targets))
                 for a in range(0, len(targets), shape.batch):
                     pick = mixed[a:a + shape.batch]
                     network.learn(around[pick], targets[pick])
                 seen += len(targets)
-        if seen:
-            parts = np.array_split(network.flat().astype(np.float64) * seen, shape.blocks)
-            yield pa.RecordBatch.from_arrays([pa.array(range(shape.blocks), pa.int64()), pa.array([seen] * shape.blocks, pa.int64()),
-                                              pa.array([p.astype(np.float32).tobytes() for p in parts], pa.binary())], names=["block", "seen", "weights"])
+                continue
+            if seen:
+                parts = np.array_split(network.flat().astype(np.float64) * seen, shape.blocks)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(shape.blocks), pa.int64()), pa.array([shard] * shape.blocks, pa.int64()), pa.array([seen] * shape.blocks, pa.int64()),
+                     pa.array([p.astype(np.float32).tobytes() for p in parts], pa.binary())], names=["block", "shard", "seen", "weights"])
+            network, seen = Network(shape).load(start), 0
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
@@ -283,24 +333,38 @@ def _trained(rows: DataFrame, names: Names, start: np.ndarray, shape: Shape) ->
         yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([(sums[b][1] / sums[b][0]).tobytes() for b in blocks], pa.binary())],
                                          names=["block", "weights"])
 
-    own = rows.mapInArrow(train, "block long, seen long, weights binary")
-    means = own.repartition("block").mapInArrow(add, "block long, weights binary").collect()  # one network
+    key = F.xxhash64("doc_id", "text")
+    dealt = rows.select(F.pmod(key, F.lit(n_shards)).alias("shard"), key.alias("key"), "text").repartition(4 * n_shards, "shard")
+    own = dealt.sortWithinPartitions("shard", "key", "text").select("shard", "text").mapInArrow(train, "block long, shard long, seen long, weights binary")
+    own = own.repartition("block").sortWithinPartitions("block", "shard")  # sums in one order
+    means = own.mapInArrow(add, "block long, weights binary").collect()  # one network
     if not means:
         return start
     return np.concatenate([np.frombuffer(r.weights) for r in sorted(means)]).astype(np.float32)
 
 
-def pseudo_likelihood(documents: DataFrame, shape: Shape = Shape(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_words, log_likelihood, mean_log_likelihood) of every row.
+@dataclass
+class Model:
+    """What scoring needs: the network's state, its names, the log totals of shared names (all
+    of a size that the vocabulary's names fix), and the landed counts of all words."""
 
-    Words stand between ASCII white space, A-Z are lowered. A null or blank text has no
-    words, a sum of 0 and a null mean. Ids may be null or repeated, each row is scored by
-    itself (and learned from once a row); an empty table gives no rows, and a corpus
-    without words leaves the weights as they were drawn. Other columns are not read.
-    """
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    shape: Shape
+    names: Names
+    state: np.ndarray
+    totals: np.ndarray
+    counts: DataFrame
+
+
+def _rows(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
+
+def fit(documents: DataFrame, shape: Shape = Shape(), id_column: str = "doc_id", text_column: str = "text", shard_words: int = SHARD) -> Model:
+    """Counts and a trained network over all rows; the same however the table is laid out."""
+    rows = _rows(documents, id_column, text_column)
     counts = land(_counts(rows, shape), "word-counts")
-    shape = shape.grown(counts.count())
+    n_distinct, n_words = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    shape = shape.grown(n_distinct)
     common = counts.orderBy(F.desc("n"), "word").limit(shape.common).collect()  # by the square root of the words
     names = Names(np.array([r.word for r in common], np.int64).view(np.uint64), shape)
     totals = np.zeros(shape.endings, np.int64)
@@ -308,10 +372,35 @@ def pseudo_likelihood(documents: DataFrame, shape: Shape = Shape(), id_column: s
         totals[r.shared] = r.n
     for r in common:
         totals[r.shared] -= r.n
-    weights = Network(shape).flat()
-    for _ in range(shape.rounds):
-        weights = _trained(rows.select("text"), names, weights, shape)
-    sent = rows.sparkSession.sparkContext.broadcast((names, weights, name_total(totals)))
+    times = np.zeros(1 + shape.common + shape.endings)
+    times[1:1 + len(common)] = [r.n for r in common]
+    times[1 + shape.common:] = totals
+    state = Network(shape).begin_as_unigram(times).flat()
+    n_shards = min(SHARDS, max(1, -(-n_words // shard_words)))
+    turn = F.pmod(F.shiftright(F.xxhash64("text", "doc_id"), 8), F.lit(shape.rounds))
+    for k in range(shape.rounds):
+        state = _trained(rows.where(F.col("text").isNotNull() & (turn == k)), n_shards, names, state, shape)
+    return Model(shape, names, state, name_total(totals), counts)
+
+
+def pseudo_likelihood(documents: DataFrame, shape: Shape = Shape(), id_column: str = "doc_id", text_column: str = "text",
+                      shard_words: int = SHARD) -> DataFrame:
+    """(doc_id, n_words, log_likelihood, mean_log_likelihood) of every row.
+
+    Words stand between ASCII white space, A-Z are lowered. A null or blank text has no
+    words, a sum of 0 and a null mean. Ids may be null or repeated, each row is scored by
+    itself and learned from once, in the round and shard that its id and text hash to; of
+    words that are equally common, those of lower hash have a name. Scores are the same
+    however the table is laid out (to rounding), and change with the corpus. An empty table
+    gives no rows. Other columns are not read.
+    """
+    return scores(fit(documents, shape, id_column, text_column, shard_words), documents, id_column, text_column)
+
+
+def scores(model: Model, documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The columns of :func:`pseudo_likelihood` for any documents."""
+    rows, shape, counts = _rows(documents, id_column, text_column), model.shape, model.counts
+    sent = rows.sparkSession.sparkContext.broadcast((model.names, model.state, model.totals))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, weights, totals = sent.value

@@ -351,6 +351,64 @@ def test_pseudo_likelihood_learns(spark):
     assert lm.pseudo_likelihood(frame(spark, rows).limit(0), SMALL).count() == 0
 
 
+def plain_score(model, text):
+    """Sum of the log-probabilities of a text's words, one word and one class at a time."""
+    shape, w = model.shape, lm.Network(model.shape).load(model.state).weights
+    counted = {r.word: r.n for r in model.counts.collect()}
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    _, hashes, endings = lm._words(data, np.array([0, len(data)]))
+    names = [0] * shape.side + model.names.of(hashes, endings).tolist() + [0] * shape.side
+    log_softmax = lambda x, k: float(x[k] - np.log(np.exp(x.astype(float)).sum()))
+    total = 0.0
+    for i, h in enumerate(hashes):
+        at = i + shape.side
+        around = [names[at - k - 1] for k in range(shape.side)] + [names[at + k + 1] for k in range(shape.side)]
+        hidden = np.tanh(w["bias"] + sum(w["context"][k][n] for k, n in enumerate(around)))
+        kind, place = divmod(names[at], shape.per_class)
+        total += log_softmax(w["classes"] @ hidden + w["class_bias"], kind) + log_softmax(w["words"][kind] @ hidden + w["word_bias"][kind], place)
+        if names[at] > shape.common:
+            n = counted.get(int(np.uint64(h).astype(np.int64)), 0)
+            total += np.log(n - lm.DISCOUNT if n else lm.DISCOUNT) - model.totals[names[at] - shape.common - 1]
+    return len(hashes), total
+
+
+def test_scores_of_any_layout_are_those_of_a_plain_loop(spark):
+    rows = [(d, t) for d, t in documents() if t is None or len(t) < 3000]
+    docs = frame(spark, rows)
+    model = lm.fit(docs, SMALL, shard_words=500)
+    expected = sorted((n, round(total, 3)) for n, total in (plain_score(model, t) for _, t in rows))
+    for parts in (1, 7, 40):
+        found = lm.pseudo_likelihood(docs.repartition(parts), SMALL, shard_words=500).collect()
+        for (n, total), (m, got_total) in zip(expected, sorted((r.n_words, round(r.log_likelihood, 3)) for r in found)):
+            assert n == m and abs(total - got_total) < 0.01 + 1e-4 * abs(total)
+
+
+def test_gradients_are_finite_differences():
+    draw = np.random.default_rng(3)
+    windows, targets = draw.integers(0, SMALL.vocabulary, (400, 4)), draw.integers(1, SMALL.vocabulary, 400)
+    network = lm.Network(SMALL)
+    before = {k: w.copy() for k, w in network.weights.items()}
+    network.squares = {k: np.full(s.shape, 1e-12, np.float32) for k, s in network.squares.items()}
+    network.learn(windows, targets)
+    gradient = {k: np.sign(before[k] - network.weights[k]) * np.sqrt(np.maximum(network.squares[k] - 1e-12, 0)) for k in before}
+    for name, w in before.items():
+        for at in draw.choice(w.size, min(6, w.size), replace=False).tolist() + [int(np.abs(gradient[name]).argmax())]:
+            sides = []
+            for step in (0.01, -0.01):
+                moved = {k: v.astype(np.float64) for k, v in before.items()}
+                moved[name].flat[at] += step
+                sides.append(lm.Network(SMALL, moved).log_probabilities(windows, targets).astype(float).mean())
+            assert abs(-(sides[0] - sides[1]) / 0.02 - gradient[name].flat[at]) < 2e-4
+
+
+def test_untrained_network_is_the_unigram():
+    times = np.arange(1 + SMALL.common + SMALL.endings, dtype=float)
+    network = lm.Network(SMALL).begin_as_unigram(times)
+    network.weights |= {k: np.zeros_like(network.weights[k]) for k in ("classes", "words")}
+    logs = network.log_probabilities(np.zeros((len(times), 4), int), np.arange(len(times)))
+    assert np.abs(np.exp(logs) - (times + 0.5) / (times.sum() + 0.5 * SMALL.vocabulary)).max() < 1e-6
+
+
 def test_network_gives_a_distribution():
     network = lm.Network(SMALL)
     n = SMALL.vocabulary
