@@ -99,6 +99,19 @@ def base_counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), lines, len(repeated)
 
 
+def chunks_of(raw, bands):
+    """Lists of chunks, one list a chunk size. The longest size counts for texts that have it;
+    the finest is the largest halving of it that fits four times, or the shortest there is."""
+    shortest = bands.short_chunks[0][0]
+    halvings = [bands.chunk >> k for k in range(30) if bands.chunk >> k >= shortest]
+    finest = next((c for c in halvings if 4 * c <= len(raw)), halvings[-1])
+    out = []
+    for c in sorted({bands.chunk, finest}):
+        if c <= len(raw):
+            out.append([raw[a:a + c] for a in (min(k * c, len(raw) - c) for k in range(-(-len(raw) // c)))])
+    return out
+
+
 def good(text, bands):
     """base_failed, kept."""
     n, _, _, _, repeated = base_counts(text)
@@ -106,10 +119,13 @@ def good(text, bands):
     if base or not text:
         return base, False
     raw, ratio = text.encode(), lambda b: len(zstandard.ZstdCompressor(level=bands.level).compress(b)) / len(b)
-    low, high = next((lo, hi) for most, lo, hi in bands.whole if len(raw) <= most)
-    chunks = [raw[i:i + bands.chunk] for i in range(0, len(raw) - bands.chunk + 1, bands.chunk)]
-    outside = sum(not bands.chunk_lowest <= ratio(c) <= bands.chunk_highest for c in chunks)
-    return base, low <= ratio(raw) <= high and outside <= bands.chunk_share * len(chunks)
+    low, high = [(lo, hi) for most, lo, hi in bands.whole if len(raw) <= most][0]
+    kept = low <= ratio(raw) <= high
+    for chunks in chunks_of(raw, bands):
+        limits = [h for up_to, h in bands.short_chunks if len(chunks[0]) <= up_to] + [bands.chunk_highest]
+        outside = [c for c in chunks if ratio(c) < bands.chunk_lowest or ratio(c) > limits[0]]
+        kept = kept and len(outside) <= bands.chunk_share * len(chunks)
+    return base, kept
 
 
 def crc(ids):

@@ -8,6 +8,7 @@ import zipfile
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from freightlens.llm import pseudo_likelihood as lm
 from freightlens.llm import quality_rules as quality
@@ -241,6 +242,76 @@ def test_quality_rules(spark):
     assert quality.keep_good(frame(spark, rows).limit(0)).count() == 0
 
 
+def syllables(n, seed=5):
+    """Prose of n bytes."""
+    draw = random.Random(seed)
+    some = [a + b for a in "bcdfglmnprst" for b in ("a", "e", "in", "or")]
+    return " ".join("".join(draw.choice(some) for _ in range(draw.randint(1, 5))) for _ in range(n // 4 + 9))[:n]
+
+
+def noise(n, seed=1):
+    import base64
+
+    return base64.b64encode(random.Random(seed).randbytes(n)).decode()[:n]
+
+
+def test_limits_of_the_bands_are_those_stated():
+    assert quality.Bands() == quality.Bands(
+        whole=((256, 0.20, 1.20), (512, 0.49, 0.86), (1024, 0.455, 0.80), (2048, 0.44, 0.74), (4096, 0.42, 0.70), (8192, 0.405, 0.66),
+               (16384, 0.39, 0.64), (65536, 0.37, 0.62), (float("inf"), 0.35, 0.62)),
+        chunk=4096, chunk_lowest=0.40, chunk_highest=0.70, chunk_share=0.25, short_chunks=((256, 0.88), (512, 0.78)), level=3, min_words=50,
+        max_repeat_percent=50)
+
+
+def test_a_tail_of_noise_is_judged_like_any_chunk(spark):
+    rows = [(i, syllables(a) + " " * (a > 0) + noise(b)) for i, (a, b) in enumerate(
+        [(4096, 3900), (8192, 4000), (1500, 900), (4096, 0), (8192, 0), (1500, 0), (4096, 300), (16000, 4000), (20000, 4095), (70000, 30000), (255, 0), (257, 0)])]
+    expected = [(d, plain.good(t, quality.Bands())[1]) for d, t in rows]
+    assert [k for _, k in expected][:6] == [False, False, False, True, True, True]
+    assert got(quality.quality_rules(frame(spark, rows)), "doc_id", "kept") == want(expected)
+
+
+@pytest.mark.parametrize("size", [200, 256, 300, 511, 1024, 4095, 4096, 5000, 16383, 16384, 30001])
+def test_verdict_turns_at_every_limit(size):
+    import zstandard
+
+    packer, text = zstandard.ZstdCompressor(level=3), syllables(size - size // 9) + noise(size // 9)
+    raw = text.encode()
+    ratio = lambda b: len(packer.compress(b)) / len(b)
+    open_ = dict(whole=((float("inf"), 0.0, 9.0),), chunk_lowest=0.0, chunk_highest=9.0, short_chunks=((256, 9.0), (512, 9.0)), chunk_share=0.0,
+                 min_words=0, max_repeat_percent=100)
+
+    def both(**limits):
+        bands = quality.Bands(**{**open_, **limits})
+        ours, theirs = quality.compression(memoryview(raw), packer, bands)[3], plain.good(text, bands)[1]
+        assert ours == theirs
+        return ours
+
+    up, down = lambda x: float(np.nextafter(x, 9)), lambda x: float(np.nextafter(x, -9))
+    whole = ratio(raw)
+    assert both() and both(whole=((float("inf"), whole, whole),))
+    assert not both(whole=((float("inf"), up(whole), 9.0),)) and not both(whole=((float("inf"), 0.0, down(whole)),))
+    assert both(whole=((size, whole, whole), (float("inf"), 9.0, 9.0))) and not both(whole=((size - 1, whole, whole), (float("inf"), 9.0, 9.0)))
+    for chunks in plain.chunks_of(raw, quality.Bands()):
+        least, most, c = min(map(ratio, chunks)), max(map(ratio, chunks)), len(chunks[0])
+        name = {256: "a", 512: "b"}.get(c)
+        highest = lambda x: ({"short_chunks": ((256, x), (512, 9.0))} if name == "a" else {"short_chunks": ((256, 9.0), (512, x))} if name
+                             else {"chunk_highest": x})
+        if len(plain.chunks_of(raw, quality.Bands())) == 1 or c == 4096 or name:
+            assert not both(**highest(down(most)))
+        assert both(**highest(9.0)) and (least == 0 or not both(chunk_lowest=up(max(min(map(ratio, x)) for x in plain.chunks_of(raw, quality.Bands())))))
+        outside = sum(ratio(x) >= most for x in chunks)
+        assert both(**highest(down(most)), chunk_share=1.0)
+        if len(plain.chunks_of(raw, quality.Bands())) == 1:
+            assert both(**highest(down(most)), chunk_share=outside / len(chunks)) and not both(**highest(down(most)), chunk_share=down(outside / len(chunks)))
+    n = len(plain.blank_words(text))
+    counted = quality._judged
+    for limits in (dict(min_words=n), dict(min_words=n + 1), dict(max_repeat_percent=0), dict(max_repeat_percent=100)):
+        bands = quality.Bands(**{**open_, **limits})
+        found = counted(pa.array([text, text + " x y z x y z"]), packer, bands)
+        assert found["kept"].tolist() == [plain.good(t, bands)[1] for t in (text, text + " x y z x y z")]
+
+
 def test_bands_tell_noise_and_repetition_from_prose():
     import zstandard
 
