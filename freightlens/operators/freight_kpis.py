@@ -55,16 +55,23 @@ def freight_by_month(invoice: DataFrame, base: DataFrame) -> DataFrame:
             .agg(money_sum("invoice_total").alias("invoiced_freight_usd")))
 
 
-def claims_summary(claim: DataFrame, base: DataFrame) -> DataFrame:
-    """Claims against the number of *delivered* shipments."""
-    delivered = base.agg(F.sum("is_delivered").alias("n")).scalar()
-    totals = claim.agg(
+def claims_totals(claim: DataFrame) -> DataFrame:
+    return claim.agg(
         F.count(F.lit(1)).alias("claim_count"),
         money_sum("claim_amount").alias("claim_cost_usd"),
         count_if(F.col("claim_status") == "OPEN").alias("open_claims"))
-    return totals.select(
+
+
+def claims_rate(claims: Column, delivered: Column) -> Column:
+    """Claims against the number of *delivered* shipments."""
+    return pct(claims, delivered, 3)
+
+
+def claims_summary(claim: DataFrame, base: DataFrame) -> DataFrame:
+    delivered = base.agg(F.sum("is_delivered").alias("n")).scalar()
+    return claims_totals(claim).select(
         "claim_count", "claim_cost_usd",
-        pct(F.col("claim_count"), delivered, 3).alias("claims_rate_pct"), "open_claims")
+        claims_rate(F.col("claim_count"), delivered).alias("claims_rate_pct"), "open_claims")
 
 
 def capacity_summary(capacity: DataFrame) -> DataFrame:

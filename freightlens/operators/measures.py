@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freightlens.config import Settings
 from freightlens.functions.expr import count_if, ratio
+from freightlens.operators.freight_kpis import claims_rate
 
 
 def _n(condition: str) -> Column:
@@ -151,12 +152,16 @@ EXECUTIVE_METRICS = [
 ]
 
 
-def executive_metrics(summaries: dict[str, DataFrame]) -> DataFrame:
-    """The executive metric table from the one-row summaries it names."""
-    first, *rest = summaries
-    row = summaries[first].select(F.struct("*").alias(first))
-    row = row.select(first, *[
-        summaries[n].select(F.struct("*").alias("x")).scalar().alias(n) for n in rest])
+def executive_metrics(shipments: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
+    """The executive metric table.
+
+    ``shipments`` is the row of :func:`service_kpis.shipment_summaries`, one scan of the
+    base; ``others`` are one-row summaries of further tables, claims without their rate.
+    """
+    row = shipments.select("*", *[
+        df.select(F.struct("*").alias("x")).scalar().alias(n) for n, df in others.items()])
+    rate = claims_rate(F.col("claims.claim_count"), F.col("otif.delivered_count"))
+    row = row.withColumn("claims", F.col("claims").withField("claims_rate_pct", rate))
     entries = []
     for name, source, unit, spec in EXECUTIVE_METRICS:
         value = F.col(source).cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.expr import (
@@ -18,8 +18,8 @@ def _moving(base: DataFrame) -> DataFrame:
     return base.filter(F.col("git_flag") == 1)
 
 
-def otif_summary(base: DataFrame) -> DataFrame:
-    return base.agg(
+def _otif_columns() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("shipment_count"),
         F.sum("is_delivered").alias("delivered_count"),
         F.sum("git_flag").alias("in_transit_count"),
@@ -28,7 +28,11 @@ def otif_summary(base: DataFrame) -> DataFrame:
         pct_of_flag("in_full_flag").alias("in_full_pct"),
         F.sum("late_flag").alias("late_shipment_count"),
         F.sum("partial_flag").alias("partial_shipment_count"),
-        mean("delay_days").alias("avg_delay_days"))
+        mean("delay_days").alias("avg_delay_days")]
+
+
+def otif_summary(base: DataFrame) -> DataFrame:
+    return base.agg(*_otif_columns())
 
 
 _OTIF_PARTS = {
@@ -50,15 +54,23 @@ def otif_by(base: DataFrame, keys: list[str], parts: tuple[str, ...] = ()) -> Da
         *[_OTIF_PARTS[p]() for p in parts])
 
 
+def _git_columns(of: str = "") -> list[Column]:
+    """Over rows in transit; or over all, with the others' values NULL in a struct ``of``."""
+    return [
+        F.count(f"{of}git_flag").alias("git_shipment_count"),
+        money_sum(f"{of}shipment_value_usd").alias("git_value_usd"),
+        money_sum(f"{of}shipment_weight_kg").alias("git_weight_kg"),
+        mean(f"{of}git_age_days", 1).alias("avg_git_age_days"),
+        F.sum(f"{of}overdue_git_flag").alias("overdue_git_count"),
+        money_sum_if(F.col(f"{of}overdue_git_flag") == 1, f"{of}shipment_value_usd")
+        .alias("overdue_git_value_usd")]
+
+
+_GIT_INPUTS = ["git_flag", "shipment_value_usd", "shipment_weight_kg", "git_age_days", "overdue_git_flag"]
+
+
 def git_summary(base: DataFrame) -> DataFrame:
-    return _moving(base).agg(
-        F.count(F.lit(1)).alias("git_shipment_count"),
-        money_sum("shipment_value_usd").alias("git_value_usd"),
-        money_sum("shipment_weight_kg").alias("git_weight_kg"),
-        mean("git_age_days", 1).alias("avg_git_age_days"),
-        F.sum("overdue_git_flag").alias("overdue_git_count"),
-        money_sum_if(F.col("overdue_git_flag") == 1, "shipment_value_usd")
-        .alias("overdue_git_value_usd"))
+    return _moving(base).agg(*_git_columns())
 
 
 def git_aging(base: DataFrame, bounds: list[int]) -> DataFrame:
@@ -91,11 +103,26 @@ def transit_by_lane(base: DataFrame) -> DataFrame:
         pct_of_flag("within_standard_flag", 1).alias("within_standard_pct"))
 
 
-def pod_compliance(base: DataFrame) -> DataFrame:
+def _pod_columns() -> list[Column]:
     delivered = F.col("is_delivered") == 1
     with_pod = count_if(delivered & (F.col("has_pod") == 1))
-    return base.agg(
+    return [
         F.sum("is_delivered").alias("delivered_count"),
         with_pod.alias("pod_count"),
         pct(with_pod, F.sum("is_delivered")).alias("pod_compliance_pct"),
-        count_if(delivered & (F.col("has_pod") == 0)).alias("missing_pod_count"))
+        count_if(delivered & (F.col("has_pod") == 0)).alias("missing_pod_count")]
+
+
+def pod_compliance(base: DataFrame) -> DataFrame:
+    return base.agg(*_pod_columns())
+
+
+def shipment_summaries(base: DataFrame) -> DataFrame:
+    """The one-row summaries of the base side by side, as structs, in one scan of it:
+    ``otif``, ``git``, ``pod`` and ``transit``."""
+    moving = F.col("git_flag") == 1
+    both = base.select("*", F.struct(*[F.when(moving, F.col(c)).alias(c) for c in _GIT_INPUTS]).alias("_git"))
+    transit = F.round(F.avg(F.when(F.col("is_delivered") == 1, F.col("actual_transit_days"))), 4)
+    return both.agg(
+        F.struct(*_otif_columns()).alias("otif"), F.struct(*_git_columns("_git.")).alias("git"),
+        F.struct(*_pod_columns()).alias("pod"), F.struct(transit.alias("avg_transit_days")).alias("transit"))

@@ -133,36 +133,62 @@ def reject_ledger(judged: DataFrame, as_of) -> DataFrame:
         payload.alias("raw_payload"), F.lit(as_of).alias("rejected_on"))
 
 
-def resolve_references(rows: DataFrame, column: str, labels: dict[str, str], kind: str,
-                       value: str, source: str, pattern: str = REFERENCE_PATTERN) -> DataFrame:
-    """Read a numeric column that may point at another row ("... (ID#:n)").
+@dataclass(frozen=True)
+class Reference:
+    """A numeric text column that may point at another row ("... (ID#:n)")."""
+
+    column: str
+    labels: dict[str, str]
+    kind: str
+    value: str
+    source: str
+    pattern: str = REFERENCE_PATTERN
+
+    def direct(self) -> Column:
+        return F.col(f"`{self.column}`").try_cast(self.kind)
 
-    One hop, against rows that hold a number themselves. ``source`` says where the
-    value came from. Rows without a pointer get a join key of their own, so they
-    spread over the shuffle instead of meeting at NULL.
+    def pointer(self) -> Column:
+        return F.nullif(F.regexp_extract(F.col(f"`{self.column}`"), self.pattern, 1), F.lit("")).try_cast("bigint")
+
+
+def resolve_references(rows: DataFrame, *references: Reference) -> DataFrame:
+    """Add each reference's ``value`` and ``source``, which says where the value came from.
+
+    One hop, against rows that hold a number themselves. Pointers and what they may point
+    at are looked up as narrow rows (id, column, number), all columns in one join; a row
+    whose pointers lead somewhere meets the numbers found by one join on its id.
     """
-    text = F.col(f"`{column}`")
-    direct = text.try_cast(kind)
-    pointer = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("bigint")
-    targets = rows.filter(direct.isNotNull()).select(
-        F.col("ID").try_cast("bigint").alias("_target"), direct.alias("_value"))
-    tagged = rows.withColumn("_key", F.coalesce(pointer, -1 - F.abs(F.xxhash64("ID"))))
-    joined = tagged.join(targets, F.col("_key") == F.col("_target"), "left")
-    origin = (F.when(pointer.isNotNull() & F.col("_value").isNotNull(), "resolved_reference")
-              .when(pointer.isNotNull(), "missing_unresolved_reference")
-              .when(direct.isNotNull(), "direct")
-              .otherwise(F.coalesce(lookup(labels, text), F.lit(""))))
-    return joined.withColumns({
-        value: F.coalesce(F.when(pointer.isNotNull(), F.col("_value")), direct),
-        source: origin}).drop("_key", "_target", "_value")
+    key, which = F.col("ID").try_cast("bigint"), range(len(references))
+
+    def narrow(cell, alias: str) -> DataFrame:
+        cells = F.array(*[F.struct(F.lit(i).alias("_column"), cell(references[i]).alias(alias)) for i in which])
+        return rows.select(key.alias("_id"), F.explode(cells).alias("_c")).select("_id", "_c.*").filter(F.col(alias).isNotNull())
+
+    pointers = narrow(lambda r: r.pointer(), "_target")
+    targets = narrow(lambda r: r.direct().cast("decimal(38,10)"), "_number").withColumnRenamed("_id", "_target")
+    found = pointers.join(targets, ["_target", "_column"]).groupBy("_id").agg(*[
+        F.max(F.when(F.col("_column") == i, F.col("_number"))).alias(f"_found{i}") for i in which])
+    joined = rows.join(found, key == F.col("_id"), "left")
+    added = {}
+    for i, r in enumerate(references):
+        text, pointer, direct, hit = F.col(f"`{r.column}`"), r.pointer(), r.direct(), F.col(f"_found{i}").cast(r.kind)
+        added[r.value] = F.coalesce(F.when(pointer.isNotNull(), hit), direct)
+        added[r.source] = (F.when(pointer.isNotNull() & hit.isNotNull(), "resolved_reference")
+                           .when(pointer.isNotNull(), "missing_unresolved_reference")
+                           .when(direct.isNotNull(), "direct")
+                           .otherwise(F.coalesce(lookup(r.labels, text), F.lit(""))))
+    return joined.withColumns(added).drop("_id", *[f"_found{i}" for i in which])
+
+
+REFERENCES = [
+    Reference("Weight (Kilograms)", WEIGHT_SENTINELS, "decimal(12,2)", "weight_kg", "weight_source"),
+    Reference("Freight Cost (USD)", FREIGHT_SENTINELS, "decimal(12,2)", "freight_cost_usd", "freight_cost_source"),
+]
 
 
 def stage(good: DataFrame, shift_years: int) -> DataFrame:
     """The 35 staged columns of accepted raw rows."""
-    rows = resolve_references(good, "Weight (Kilograms)", WEIGHT_SENTINELS, "decimal(12,2)",
-                              "weight_kg", "weight_source")
-    rows = resolve_references(rows, "Freight Cost (USD)", FREIGHT_SENTINELS, "decimal(12,2)",
-                              "freight_cost_usd", "freight_cost_source")
+    rows = resolve_references(good, *REFERENCES)
     mode, term = F.col("Shipment Mode"), F.col("Vendor INCO Term")
     months = 12 * shift_years
 

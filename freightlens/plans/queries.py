@@ -518,16 +518,15 @@ for _mart in ("rpt_dim_date", "rpt_dim_carrier", "rpt_dim_lane", "rpt_dim_produc
 @_tower("dashboard_reconciliation")
 def _ledger(t, r):
     """Dashboard figures against the same figures recomputed from the fact tables."""
-    s = r.summaries()
-    shown = dashboards.long_form(s["otif"], {
+    shipments = service_kpis.shipment_summaries(r.base).select("otif.*", "git.git_value_usd", "git.overdue_git_count")
+    shown = dashboards.long_form(shipments, {
         "Total shipments": "shipment_count", "Delivered shipments": "delivered_count",
         "Goods in transit": "in_transit_count", "OTIF": "otif_pct", "On-time": "on_time_pct",
-        "In-full": "in_full_pct"}).unionByName(dashboards.long_form(s["accrual"], {
+        "In-full": "in_full_pct", "GIT value at risk": "git_value_usd",
+        "Overdue GIT": "overdue_git_count"}).unionByName(dashboards.long_form(r.summaries()["accrual"], {
             "Open accrual": "open_accrual_balance", "Accrual variance": "total_accrual_variance",
             "Uninvoiced shipments": "uninvoiced_shipment_count",
-            "Released accruals": "released_count"})).unionByName(dashboards.long_form(
-                s["git"], {"GIT value at risk": "git_value_usd",
-                           "Overdue GIT": "overdue_git_count"}))
+            "Released accruals": "released_count"}))
     done = F.col("shipment_status") == "DELIVERED"
     moving = F.col("shipment_status") == "IN_TRANSIT"
     on_time = F.col("actual_delivery_date") <= F.col("planned_delivery_date")

@@ -99,32 +99,28 @@ class Results:
                                   self.dq_pattern())
 
     def summaries(self) -> dict[str, DataFrame]:
-        """The one-row summaries behind the executive metric table."""
-        t, base = self.t, self.base
+        """The one-row summaries behind the executive metric table, but for the shipments'."""
+        t = self.t
         total = F.round(F.col("overcharge_recoverable") + F.col("duplicate_invoice_exposure")
                         + F.col("accessorial_recoverable"), 2)
         matched = F.count(F.when(F.col("audit_status") == "MATCHED", 1))
         rated = self.audit.agg(
             F.round(F.sum("expected_total"), 2).cast("double").alias("rated_expected_total"),
             F.round(matched * 100.0 / F.count(F.lit(1)), 2).alias("invoice_accuracy_pct"))
-        transit = base.filter("is_delivered = 1").agg(
-            F.round(F.avg("actual_transit_days"), 4).alias("avg_transit_days"))
         return {
-            "otif": service_kpis.otif_summary(base), "git": service_kpis.git_summary(base),
             "freight": freight_kpis.freight_summary(t["fact_freight_invoice"],
                                                     t["fact_shipment"]),
-            "pod": service_kpis.pod_compliance(base),
-            "claims": freight_kpis.claims_summary(t["fact_claim"], base),
+            "claims": freight_kpis.claims_totals(t["fact_claim"]),
             "accrual": accruals.accrual_summary(t["fact_accrual"]),
             "recover": self.recoverable().withColumn("total", total),
-            "rated": rated, "transit": transit,
+            "rated": rated,
             "dq": detection.quality_score(t["dq_detected_exception"], t["fact_shipment"],
                                           SETTINGS),
             "gates": detection.recall_gates(t["dq_detection_performance"], SETTINGS),
         }
 
     def executive(self) -> DataFrame:
-        return measures.executive_metrics(self.summaries())
+        return measures.executive_metrics(service_kpis.shipment_summaries(self.base), self.summaries())
 
     MARTS = {
         "rpt_dim_date": lambda r: marts.date_dimension(r.base),

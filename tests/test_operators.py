@@ -45,9 +45,12 @@ def test_calendar_shift_clamps_leap_day(spark):
 def test_references_resolve_one_hop_only(spark):
     rows = [("1", "100.5"), ("2", "See DN-9 (ID#:1)"), ("3", "Weight Captured Separately"),
             ("4", "See ASN-7 (ID#:3)"), ("5", "See DN-2 (ID#:2)"), ("6", "See DN-2 (ID#:77)")]
-    df = spark.createDataFrame(rows, ["ID", "Weight (Kilograms)"])
+    df = spark.createDataFrame([(*r, "See DN-1 (ID#:1)" if r[0] == "2" else "7.5") for r in rows], ["ID", "Weight (Kilograms)", "x"])
     got = staging.resolve_references(
-        df, "Weight (Kilograms)", staging.WEIGHT_SENTINELS, "decimal(12,2)", "w", "src")
+        df, staging.Reference("Weight (Kilograms)", staging.WEIGHT_SENTINELS, "decimal(12,2)", "w", "src"),
+        staging.Reference("x", {}, "decimal(12,2)", "y", "y_src"))
+    assert {r["ID"]: (float(r["y"]), r["y_src"]) for r in got.collect()} == {
+        r[0]: (7.5, "resolved_reference" if r[0] == "2" else "direct") for r in rows}
     found = {r["ID"]: (None if r["w"] is None else float(r["w"]), r["src"])
              for r in got.collect()}
     assert found == {

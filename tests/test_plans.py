@@ -36,6 +36,12 @@ def test_only_needed_columns_are_read(spark):
     assert "EqualTo(is_delivered,1)" in text
 
 
+def test_executive_metrics_scan_the_base_once(spark):
+    text = plan(entry_points.queries()["executive_metrics"](spark, FOLDER))
+    scans = re.findall(r"\+- FileScan parquet \[[^\]]*otif_flag[^\]]*\]", text)
+    assert len(scans) == 1 and len(re.findall(r"is_delivered#\d+[^\n]*analytics_shipment", text)) <= 1
+
+
 def test_top_values_are_limited_before_the_shuffle(spark):
     raw = spark.range(10).selectExpr("cast(id as string) AS a", "'x' AS b")
     assert "WindowGroupLimit" in plan(profiling.profile(raw))
