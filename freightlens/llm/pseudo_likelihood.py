@@ -109,6 +109,14 @@ class Network:
         logits /= logits.sum(1, keepdims=True)
         return logits
 
+    @staticmethod
+    def _log_share(logits: np.ndarray, picks: np.ndarray) -> np.ndarray:
+        """Log of the softmax at one column a row."""
+        logits -= logits.max(1, keepdims=True)
+        picked = logits[np.arange(len(picks)), picks]
+        np.exp(logits, out=logits)
+        return picked - np.log(logits.sum(1))
+
     def _groups(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order of the targets by class, and borders of the classes in it."""
         kind = (targets // self.shape.per_class).astype(np.uint16)
@@ -120,13 +128,11 @@ class Network:
         out = np.empty(len(targets), np.float32)
         order, cuts = self._groups(targets)
         hidden, targets = self._hidden(windows)[order], targets[order]
-        rows = np.arange(len(targets))
-        top = self._softmax(hidden @ w["classes"].T + w["class_bias"])[rows, targets // per]
-        low = np.empty(len(targets), np.float32)
+        logs = self._log_share(hidden @ w["classes"].T + w["class_bias"], targets // per)
         for c, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
             if a < b:
-                low[a:b] = self._softmax(hidden[a:b] @ w["words"][c].T + w["word_bias"][c])[rows[:b - a], targets[a:b] % per]
-        out[order] = np.log(np.maximum(top, 1e-30)) + np.log(np.maximum(low, 1e-30))
+                logs[a:b] += self._log_share(hidden[a:b] @ w["words"][c].T + w["word_bias"][c], targets[a:b] % per)
+        out[order] = logs
         return out
 
     def learn(self, windows: np.ndarray, targets: np.ndarray) -> None:
@@ -431,8 +437,8 @@ def scores(model: Model, documents: DataFrame, id_column: str = "doc_id", text_c
             unnamed = [np.empty(0, np.uint64)]
             for x, y in slices(np.diff(borders)):
                 owner, around, targets, hashes = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
-                for a in range(0, len(targets), shape.batch):
-                    b = a + shape.batch
+                for a in range(0, len(targets), 4 * shape.batch):
+                    b = a + 4 * shape.batch
                     sums[x:y] += np.bincount(owner[a:b], network.log_probabilities(around[a:b], targets[a:b]), y - x)
                 counts[x:y] = np.bincount(owner, minlength=y - x)
                 sharing = targets >= first
