@@ -1,20 +1,25 @@
 """Near-duplicate groups: banded minimum hashes, sequential Bayesian verification, exact check.
 
 1. One pass over the texts makes each document's set of word shingles, and keeps its size,
-   a fingerprint of the set and a signature (one byte of each minimum hash).
+   a fingerprint of the set and a signature (a byte or more of each minimum hash).
 2. Documents with one set are one class; its smallest id stands for it.
-3. Signatures are cut into bands; classes that share a band's value share a bucket. Every
-   class of a bucket is a candidate of the bucket's smallest one.
+3. Signatures are cut into bands, as many as the threshold needs; classes that share a
+   band's value share a bucket. Every class of a bucket is a candidate of its smallest one.
 4. Candidates' signatures are compared a batch at a time. With k of n bytes equal, the
    similarity has a Beta posterior; a pair is given up once the similarity is at or above
    the threshold with no more than the chosen miss probability. Survivors' whole sets are
    compared.
 5. Links make components. Where a bucket's classes are not all in one component yet, the
-   classes outside its largest one are compared with all of it, by the same two steps, in
-   blocks of bounded size; a block returns only the links that join two components.
-
-So a bucket with very many classes costs a row a class, and all-against-all is never
-emitted: what is compared beyond the first candidates is only what is still apart.
+   classes outside its largest one are compared with all of it, by the same two steps; a
+   block of bounded size returns only the links that join two components.
+6. A bucket with more classes than a block is not compared as it stands. Two sets as alike
+   as the threshold share one of their rarest shingles (a fifth of a set and one, at 0.8),
+   so its classes meet again by those, and a class whose rare shingles are its own meets
+   nobody. No link is lost by this: it is a property of the sets, not of the signatures.
+
+So a bucket with very many classes costs a row a class and its rarest shingles, and
+all-against-all is never emitted: what is compared beyond the first candidates is only
+what is still apart and shares a rare shingle.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +39,9 @@ from freightlens.llm.ragged import slices, utf8
 from freightlens.llm.shingles import shingle_sets, signatures
 from freightlens.session import land
 
-#: 48 bands of 6: a pair at similarity 0.8 shares no band with probability 5e-7.
-BANDS, ROWS, BATCH = 48, 6, 32
+#: Minimum hashes of a set at most, how many are compared at a time, bytes of a band's value at
+#: least, and the probability that a pair at the threshold shares no band.
+HASHES, BATCH, BAND_BYTES, BAND_MISS = 288, 32, 6, 5e-7
 #: Classes in a block of stage 5, and of those outside the largest component.
 BLOCK, PIVOTS = 256, 128
 #: Ids (8 bytes each) of classes with a candidate that may be broadcast to find their texts.
@@ -43,12 +49,27 @@ BROADCAST_IDS = 4_000_000
 
 
 @lru_cache
-def least_equal(n_hashes: int, threshold: float, miss: float) -> tuple[tuple[int, int], ...]:
-    """(n, k) after each batch: with fewer than k of n bytes equal a pair is given up.
+def banding(threshold: float) -> tuple[int, int, int]:
+    """Bands, hashes a band and bytes a hash: the longest bands that miss a pair at the
+    threshold with ``BAND_MISS`` at most; 48 of 6 hashes of a byte at 0.8."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"no similarity to reach: {threshold}")
+    for rows in range(HASHES, 0, -1):
+        share = threshold**rows
+        bands = 1 if share == 1 else ceil(log(BAND_MISS) / log1p(-share)) if share > 1e-9 else HASHES + 1
+        if bands * rows <= HASHES:
+            return bands, rows, max(1, -(-BAND_BYTES // rows))
+    raise ValueError(f"{HASHES} minimum hashes do not find pairs at similarity {threshold}")
+
+
+@lru_cache
+def least_equal(n_hashes: int, threshold: float, miss: float, width: int = 1) -> tuple[tuple[int, int], ...]:
+    """(n, k) after each batch: with fewer than k of n hashes equal a pair is given up.
 
-    A uniform prior on the share of equal bytes; unequal hashes agree in one of 256 bytes.
+    A uniform prior on the share of equal hashes; of unequal ones, one in 256 to the power
+    of the bytes that are kept agrees.
     """
-    t = threshold + (1 - threshold) / 256
+    t = threshold + (1 - threshold) / 256**width
     steps = []
     for n in range(BATCH, n_hashes + 1, BATCH):
         tail = 0.0  # P(share >= t | k of n) = sum over i <= k of C(n+1, i) t^i (1-t)^(n+1-i)
@@ -64,9 +85,10 @@ def plausible(left: np.ndarray, right: np.ndarray, threshold: float, miss: float
     """Which pairs of signature rows the sequential test does not give up."""
     alive = np.arange(len(left))
     equal = np.zeros(len(left), np.int64)
-    begin = 0
-    for n, k in least_equal(left.shape[1], threshold, miss):
-        equal[alive] += (left[alive, begin:n] == right[alive, begin:n]).sum(1)
+    begin, width = 0, banding(threshold)[2]
+    for n, k in least_equal(left.shape[1] // width, threshold, miss, width):
+        same = left[alive, begin * width:n * width] == right[alive, begin * width:n * width]
+        equal[alive] += (same if width == 1 else same.reshape(len(alive), n - begin, width).all(2)).sum(1)
         alive = alive[equal[alive] >= k]
         begin = n
     return alive
@@ -83,15 +105,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _sketches(documents: DataFrame, size: int, n_hashes: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) of every row."""
+def _sketches(documents: DataFrame, size: int, n_hashes: int, width: int) -> DataFrame:
+    """(doc_id, n_shingles, set_key, signature) of every row; ``width`` bytes a hash."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, borders = utf8(batch.column("text"))
             for x, y in slices(np.diff(borders)):
                 hashes, at = shingle_sets(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x], size)
-                made = iter(signatures(hashes, at, n_hashes).astype(np.uint8))
+                made = iter(signatures(hashes, at, n_hashes).astype("<u8").view(np.uint8).reshape(-1, n_hashes, 8)[:, :, :width])
                 counts, raw = np.diff(at), memoryview(hashes.astype("<u8").tobytes())
                 keys = [hashlib.blake2b(raw[8 * p:8 * q], digest_size=16).digest() for p, q in zip(at.tolist(), at[1:].tolist())]
                 signs = [next(made).tobytes() if n else None for n in counts.tolist()]
@@ -147,11 +169,9 @@ def _verified(pairs: DataFrame, signs: DataFrame, sets: DataFrame, threshold: fl
     return both.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
 
 
-def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component, outside) of the buckets whose classes, but for the smallest, are not
-    all in one component; of buckets with the same classes one stays."""
-    rest = members.where("id != pivot").join(labels, members.id == labels.node, "left")
-    rest = rest.select("key", "id", F.coalesce("component", "id").alias("component"))
+def _apart(rest: DataFrame) -> DataFrame:
+    """(key, id, component, n, n_outside, outside) of the buckets whose classes are not all in
+    one component, of (key, id, component); of buckets with the same classes one stays."""
     open_ = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
                                     F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("content")).where("low < high")
     open_ = open_.groupBy("n", "content").agg(F.min("key").alias("key")).select("key", "n")
@@ -162,6 +182,36 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rest.join(largest, "key").select("key", "id", "component", "n", "n_outside", (F.col("component") != F.col("main")).alias("outside"))
 
 
+def _rare_buckets(crowded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, id, component) by the rarest shingles of the classes of ``crowded``.
+
+    In any order of shingles, two sets of which the larger has m and that have a share t of
+    their union in common share one of the first m - ceil(t m) + 1 of each. Shingles of one
+    set alone come first and join nothing, so they are only counted.
+    """
+    percent = round(100 * threshold)
+    own = sets.join(crowded, "id").select("id", "component", "shingles")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column("shingles").to_pylist()
+            sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+            for x, y in slices(sizes):
+                n = sizes[x:y] // 8
+                part = np.repeat(np.arange(x, y), n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(part)), batch.column("component").take(pa.array(part)), pa.array(np.repeat(n, n)),
+                     pa.array(np.repeat([int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw[x:y]], n), pa.int64()),
+                     pa.array(np.frombuffer(b"".join(raw[x:y]), "<i8"))], names=["id", "component", "size", "set", "key"])
+
+    shingles = own.mapInArrow(cut, "id long, component long, size long, set long, key long")
+    common = shingles.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    classes = shingles.join(common, "key").groupBy("id", "component", "size", "set").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("common"))
+    first = F.col("size") - F.ceil(F.col("size") * percent / F.lit(100)) + 1 - (F.col("size") - F.size("common"))
+    kept = classes.select("id", "component", "common", first.cast("int").alias("first")).where("first > 0")
+    return kept.select(F.explode(F.slice("common", F.lit(1), F.col("first")).getField("key")).alias("key"), "id", "component").distinct()
+
+
 def _block_links(apart: DataFrame, signs: DataFrame, sets: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Links between components inside buckets, found block against block."""
     percent = round(100 * threshold)
@@ -213,29 +263,38 @@ def near_duplicates(documents: DataFrame, size: int = 5, threshold: float = 0.8,
     A text of fewer words is one shingle; a null or blank one has none and is linked with
     nothing. Rows of one id are one document with the links of all of them; a row without
     an id is a document of its own, kept, with a null component. Other columns are not read.
+    A ``threshold`` that ``HASHES`` minimum hashes cannot serve raises an error.
     """
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    sketches = land(_sketches(rows, size, BANDS * ROWS), "sketches")
+    bands, length, width = banding(threshold)
+    sketches = land(_sketches(rows, size, bands * length, width), "sketches")
     named = sketches.where("doc_id is not null and n_shingles > 0")
     classes = land(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"),
                                                 F.min("signature").alias("signature")), "set-classes")
     copied = classes.where("last > id").select("set_key", "id")
     same_set = named.select("doc_id", "set_key").join(copied, "set_key").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
-    value = lambda j: F.xxhash64(F.lit(j), F.substring("signature", j * ROWS + 1, ROWS))
-    buckets = classes.select("id", F.explode(F.array(*(value(j) for j in range(BANDS)))).alias("key"))
+    value = lambda j: F.xxhash64(F.lit(j), F.substring("signature", j * length * width + 1, length * width))
+    buckets = classes.select("id", F.explode(F.array(*(value(j) for j in range(bands)))).alias("key"))
     shared = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("key", "pivot")
     members = land(buckets.join(shared, "key"), "bucket-members")
 
     ids = land(members.select("id").distinct(), "candidate-ids")
     near = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
-    sets = land(_sets(rows.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), size).distinct(), "shingle-sets")
+    sets = land(_sets(rows.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), size).where(F.octet_length("shingles") > 0).distinct(), "shingle-sets")
     signs = classes.select("id", "signature").join(near, "id", "left_semi")
     pairs = members.where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     first = land(_verified(pairs, signs, sets, threshold, miss), "first-links")
 
-    apart = _apart(members, components(first))
-    later = land(_block_links(apart, signs, sets, threshold, miss), "later-links")
+    labels = components(first)
+    rest = members.where("id != pivot").join(labels, members.id == labels.node, "left")
+    apart = _apart(rest.select("key", "id", F.coalesce("component", "id").alias("component")))
+    crowded = land(apart.where(F.col("n") > BLOCK).select("id", "component").distinct(), "crowded-classes")
+    later = _block_links(apart.where(F.col("n") <= BLOCK), signs, sets, threshold, miss)
+    if not crowded.isEmpty():
+        again = _apart(_rare_buckets(crowded, sets, threshold))
+        later = later.union(_block_links(again, signs, sets, threshold, miss))
+    later = land(later, "later-links")
     labels = components(first.union(later).union(same_set))
     return (sketches.select("doc_id", "n_shingles").join(labels, sketches.doc_id == labels.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -48,7 +48,7 @@ def shingles(text, size):
     return frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
 
 
-def near(docs, size):
+def near(docs, size, percent=80):
     """(doc_id, n_shingles, component_id, kept) a row, all pairs with a shingle in common compared."""
     sets, parent, holders = [(d, shingles(t, size)) for d, t in docs], {}, defaultdict(list)
 
@@ -62,7 +62,7 @@ def near(docs, size):
             continue
         common = Counter(k for s in own for k in holders[s])
         for k, n in common.items():
-            if 100 * n >= 80 * (len(own) + len(sets[k][1]) - n):
+            if 100 * n >= percent * (len(own) + len(sets[k][1]) - n):
                 a, b = root(doc), root(sets[k][0])
                 parent[max(a, b)] = min(a, b)
         for s in own:

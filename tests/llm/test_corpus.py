@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from freightlens.llm.components import components
 from freightlens.llm.decontamination import decontaminate
-from freightlens.llm.near_duplicates import least_equal, linked, near_duplicates
+from freightlens.llm import near_duplicates as near
+from freightlens.llm.near_duplicates import banding, least_equal, linked, near_duplicates
 from freightlens.llm.repeats import later_starts, remove_repeats
 from tests.llm import plain
 from tests.llm.cases import documents, frame, got, want
@@ -42,8 +43,7 @@ def test_decontamination_of_whole_table_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates(spark, size):
+def edited_rows():
     draw = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     base = [[draw.choice(words) for _ in range(draw.choice([1, 2, 30, 60]))] for _ in range(8)]
@@ -53,13 +53,62 @@ def test_near_duplicates(spark, size):
         for _ in range(draw.choice([0, 1, 2, 3, 5, 8])):
             text[draw.randrange(len(text))] = draw.choice(words)
         rows.append((i, " ".join(text)))
-    rows += [(None, rows[0][1]), (None, None), (900, None), (901, ""), (902, " "), (5, rows[7][1]), (903, "only"), (904, "ONLY"), (5, rows[5][1])]
+    return rows + [(None, rows[0][1]), (None, None), (900, None), (901, ""), (902, " "), (5, rows[7][1]), (903, "only"), (904, "ONLY"), (5, rows[5][1])]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(spark, size):
+    rows = edited_rows()
     expected = plain.near(rows, size)
     assert got(near_duplicates(frame(spark, rows), size)) == want(expected)
     assert len({c for _, _, c, _ in expected}) < 280
     assert near_duplicates(frame(spark, rows).limit(0), size).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 60, 90])
+def test_near_duplicates_at_other_thresholds(spark, percent):
+    rows = edited_rows()
+    assert got(near_duplicates(frame(spark, rows), 2, threshold=percent / 100)) == want(plain.near(rows, 2, percent))
+
+
+def test_bands_follow_the_threshold():
+    assert banding(0.8) == (48, 6, 1)
+    for t in (0.1, 0.3, 0.5, 0.6, 0.7, 0.85, 0.9, 0.99, 1.0):
+        bands, rows, width = banding(t)
+        assert bands * rows <= near.HASHES and rows * width >= near.BAND_BYTES and (1 - t**rows) ** bands <= near.BAND_MISS
+    for t in (0, 0.01, 1.5):
+        with pytest.raises(ValueError):
+            banding(t)
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_crowded_buckets_meet_by_rare_shingles(spark, size, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 8)
+    met = []
+    rare = near._rare_buckets
+    monkeypatch.setattr(near, "_rare_buckets", lambda *a: met.append(rare(*a)) or met[-1])
+    draw = random.Random(9)
+    rows = edited_rows() + [(2000 + i, f"{'a b c d e f g h i j k l m n ' * 3}{' '.join(draw.choice('pqrstuvw') + str(draw.randrange(9)) for _ in range(4))}") for i in range(120)]
+    assert got(near_duplicates(frame(spark, rows), size)) == want(plain.near(rows, size))
+    assert met
+
+
+def test_unlike_classes_of_one_bucket_cost_their_rare_shingles(spark):
+    """Pages of one template, half of them with a near copy: rows grow with the pages."""
+    def rows(n):
+        draw = np.random.default_rng(n)
+        template = draw.integers(0, 2**62, 60)
+        own = draw.integers(0, 2**62, (n, 40))
+        own[1:n // 2:2] = own[0:n // 2:2]
+        own[1:n // 2:2, 0] += 1
+        made = [(i, bytearray(np.sort(np.concatenate([template, x])).astype("<u8").tobytes())) for i, x in enumerate(own)]
+        sets = spark.createDataFrame(made, "id long, shingles binary")
+        return near._rare_buckets(sets.selectExpr("id", "id AS component"), sets, 0.8).groupBy("key").count().selectExpr("sum(count)", "max(count)").first()
+
+    small, large = rows(2_500), rows(5_000)
+    assert small == (1250 * 20, 2) and large == (2500 * 20, 2)
+
+
 def test_near_duplicates_without_broadcast(spark):
     rows = documents()
     assert got(near_duplicates(frame(spark, rows), 2, broadcast_ids=0)) == want(plain.near(rows, 2))
