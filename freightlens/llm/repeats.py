@@ -30,14 +30,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.llm.ragged import Hashes, mix, slices, utf8, within
+from freightlens.operators.distributed import number_rows
 from freightlens.session import land
 
-LENGTH = 100
+#: Bytes of a string, and the most that a phrase's 16-bit numbers hold.
+LENGTH, LONGEST = 100, 65_535
 #: Phrases a task parses before it hands on what it has found.
 PHRASES = 300_000
 #: Bytes of contexts sorted at a time; contexts of one gram beyond which its strings are named.
@@ -340,16 +342,20 @@ def _named_later(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _keyed(documents: DataFrame, doc_id: Column, text: Column, others: list[str]) -> DataFrame:
-    """The rows with what orders them: doc_id (nulls lowest) and a number for rows of one id."""
+    """The rows with what orders them: doc_id (nulls lowest) and a number for rows of one id.
+
+    The number is the place among all rows of repeated ids, by ranges of id, text and place in
+    the input, so that many rows without an id are no task's own.
+    """
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"), F.coalesce(doc_id.cast("long"), F.lit(-(2**63))).alias("doc_id"),
                             F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     again = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if again.isEmpty():
         return rows.withColumn("copy", F.lit(0))
     again = land(again, "repeated-ids")
-    by_text = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    many = rows.join(again, "doc_id", "left_semi").withColumn("copy", F.row_number().over(by_text))
-    return land(many.union(rows.join(again, "doc_id", "left_anti").withColumn("copy", F.lit(0))), "keyed-documents")
+    many = rows.withColumn("place", F.monotonically_increasing_id()).join(again, "doc_id", "left_semi")
+    many = number_rows(many, ["doc_id", F.xxhash64("text"), "place"], "copy").withColumn("copy", F.col("copy").cast("int")).drop("place")
+    return land(many.unionByName(rows.join(again, "doc_id", "left_anti").withColumn("copy", F.lit(0))), "keyed-documents")
 
 
 def _meet(rows: DataFrame, table: DataFrame, ids: DataFrame, broadcast_ids: int, keep_all: bool) -> DataFrame:
@@ -375,7 +381,10 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, id_column: str =
     bytes that starts earlier, too, are removed; strings are judged on the input and lie
     inside one document. A null text is empty, a text of fewer bytes is left as it is. A
     null id comes before all others; rows of one id are documents one after the other.
+    A ``length`` beyond ``LONGEST`` raises an error.
     """
+    if not 0 < length <= LONGEST:
+        raise ValueError(f"strings of {length} bytes, of 1 to {LONGEST}")
     spark = documents.sparkSession
     rows = _keyed(documents, F.col(id_column), F.col(text_column), [c for c in documents.columns if c != text_column])
     narrow = rows.select("doc_id", "copy", "text")
