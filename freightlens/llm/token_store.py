@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,16 +110,18 @@ class Encoder:
     def _forget(self) -> None:
         self.memory.forget()
         self.pool, self.used = np.empty(1 << 16, np.uint32), 0
+        self.starts = np.zeros(1, np.int64)  # of each known pre-token's ids in the pool, and the end
 
     def _remember(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
-        """Values (place in the pool, number of ids) of new pre-tokens."""
+        """Numbers of new pre-tokens, whose ids go to the pool."""
         found = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         n = int(sizes.sum())
         while self.used + n > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty(len(self.pool), np.uint32)])
         self.pool[self.used:self.used + n] = np.fromiter((i for ids in found for i in ids), np.uint32, n)
-        values = (self.used + np.cumsum(sizes) - sizes) << 24 | sizes
+        values = len(self.starts) - 1 + np.arange(len(sizes))
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes)])
         self.used += n
         self.memory.add(keys, values)
         return values
@@ -137,8 +140,9 @@ class Encoder:
         if len(new):
             values[new] = self._remember(keys[new], [split.text(k) for k in first[new].tolist()])
         values = values[which]
-        sizes = values & 0xFFFFFF
-        ids = self.pool[np.repeat(values >> 24, sizes) + within(sizes)]
+        begins = self.starts[values]
+        sizes = self.starts[values + 1] - begins
+        ids = self.pool[np.repeat(begins, sizes) + within(sizes)]
         return ids, np.bincount(split.rows, sizes, len(texts)).astype(np.int64)
 
 
@@ -179,8 +183,8 @@ class Shard:
                 self.offset += part.nbytes
         self.held, self.n_held = [ids], len(ids)
 
-    def close(self) -> tuple[str, int | None, int, int]:
-        """Path, smallest document id, number of documents and ids."""
+    def close(self) -> tuple[str, int, int]:
+        """Path, number of documents and of ids."""
         self._flush(True)
         columns = [np.concatenate(x) if x else np.empty(0) for x in (self.doc_ids, self.nulls, self.sizes)]
         for column in [*columns, np.array(self.segments, "<i8")]:
@@ -188,8 +192,7 @@ class Shard:
         n = len(columns[0])
         self.stream.write(struct.pack("<QQQ8s", self.offset, n, len(self.segments), MAGIC))
         self.stream.close()
-        first = None if not n or columns[1][0] else int(columns[0][0])
-        return self.path, first, n, self.n_ids
+        return self.path, n, self.n_ids
 
 
 def read_shard(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -224,8 +227,9 @@ def write_token_store(documents: DataFrame, tokenizer: str, folder: str | None =
     """Encode every text, write shards in ascending document order, return the folder.
 
     A null text is an empty one; ``end_id`` (if not None) follows each document. Null
-    ids come first, rows of one id stay together in any order. Only the two columns
-    are read. The folder's ``shards`` table lists the files that count.
+    ids come first; rows of one id follow each other by a hash of their texts, so they may
+    fill several shards. Only the two columns are read. The folder's ``shards`` table lists
+    the files that count, by the number of their range.
     """
     spark = documents.sparkSession
     folder = folder or new_folder(spark, "token-store")
@@ -234,7 +238,8 @@ def write_token_store(documents: DataFrame, tokenizer: str, folder: str | None =
     make_folder(folder)
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"),
                             F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text"), "place"]
+    ordered = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard = encoder(content.value), None
@@ -252,11 +257,10 @@ def write_token_store(documents: DataFrame, tokenizer: str, folder: str | None =
                     counts = counts + 1
                 shard.add(doc_ids[a:b], ids, counts)
         if shard:
-            path, first, n, n_ids = shard.close()
-            yield pa.RecordBatch.from_pydict(
-                {"path": [path], "first_id": pa.array([first], pa.int64()), "n_docs": [n], "n_ids": [n_ids]})
+            path, n, n_ids = shard.close()
+            yield pa.RecordBatch.from_pydict({"range": [TaskContext.get().partitionId()], "path": [path], "n_docs": [n], "n_ids": [n_ids]})
 
-    shards = ordered.mapInArrow(write, "path string, first_id long, n_docs long, n_ids long")
+    shards = ordered.select("doc_id", "text").mapInArrow(write, "range long, path string, n_docs long, n_ids long")
     shards.write.parquet(f"{folder}/shards")
     return folder
 
@@ -267,7 +271,7 @@ def read_token_store(spark, folder: str) -> DataFrame:
     ``start`` counts the ids of all documents before it. A task reads one shard.
     """
     shards = spark.read.parquet(f"{folder}/shards").collect()  # a row a file
-    shards.sort(key=lambda s: (s.first_id is not None, s.first_id))
+    shards.sort(key=lambda s: s.range)
     starts = np.cumsum([0, *(s.n_ids for s in shards)]).tolist()
     listed = [(s.path, start) for s, start in zip(shards, starts)]
     files = spark.createDataFrame(listed, "path string, start long").repartition(max(1, len(listed)))

@@ -5,6 +5,7 @@ import os
 import random
 import struct
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from freightlens.llm import quality_rules as quality
 from freightlens.llm.html_paths import blocks, extract_text, main_text, path_values
 from freightlens.llm.sentencepieces import Codec, Pieces, decode, encode, round_trip
 from freightlens.llm.token_counts import token_counts
-from freightlens.llm.token_store import pack, read_token_store, unpack, write_token_store
+from freightlens.llm.token_store import Encoder, pack, read_token_store, unpack, write_token_store
 from freightlens.llm.warc import parse, read_packages, record, write_packages
 from freightlens.llm.zip_archive import ZipArchive
 from pyspark.sql import functions as F
@@ -62,6 +63,30 @@ def test_token_store_round_trip(spark, library):
     assert read_token_store(spark, write_token_store(frame(spark, rows).limit(0), BPE)).count() == 0
 
 
+def test_token_store_of_repeated_and_missing_ids(spark, library):
+    rows = documents() + [(None, t) for _, t in documents()[:30]] + [(5, f"five {i}") for i in range(30)] + [(None, None)] * 5
+    expected = want((d, len(ids) + 1, plain.crc([*ids, 0])) for (d, _), ids in zip(rows, ids_of(library, rows)))
+    found = []
+    for docs in (frame(spark, rows), frame(spark, rows[::-1]).repartition(9)):
+        back = read_token_store(spark, write_token_store(docs, BPE))
+        assert got(back, "doc_id", "n_tokens", "ids_crc32") == expected
+        found.append(sorted(back.collect(), key=lambda r: r.start))
+    assert found[0] == found[1]  # the order of rows of one id is that of their texts
+    ends = np.cumsum([r.n_tokens for r in found[0]])
+    assert [r.start for r in found[0]] == [0, *ends[:-1].tolist()]
+    ids = [-1 if r.doc_id is None else r.doc_id for r in found[0]]
+    assert ids == sorted(ids)
+
+
+def test_long_pre_tokens_keep_all_their_ids(library):
+    encode = Encoder(Path(BPE).read_text(encoding="utf-8"))
+    texts = ["=-" * 40_000 + " a", "b a", "=-" * 40_000]
+    for _ in range(2):
+        ids, sizes = encode(texts)
+        expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for e in expected for i in e] and sizes.tolist() == [len(e) for e in expected]
+
+
 def test_packed_ids_come_back():
     draw = np.random.default_rng(1)
     for ids in (np.empty(0, np.uint32), np.zeros(5), np.arange(70_000), draw.zipf(1.3, 5001) % 2**31, np.array([2**32 - 1, 0, 7, 2**24])):
