@@ -6,6 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from freightlens.operators import distributed
 from freightlens.operators.distributed import (
     by_metric, dense_competition_rank, exact_quantile, measured, modal_value, number_rows, order_statistic, previous_value,
     prior_max,
@@ -173,3 +174,21 @@ def test_effective_join_plain_timeline(spark):
         ["k"], "d", "s", "e", "vid")
     assert {r["fid"]: r["has_version"] for r in known.collect()}[6] is False
     assert known.filter(F.col("fid") == 3).first()["has_version"] is True
+
+
+def test_rows_are_marked_by_their_numbers_where_they_are(spark):
+    numbers = [0, 1, 7, 8, 32766, 32767, 32768, 65535, 65536, (5 << 33) + 3, (5 << 33) + 32767]
+    chosen = {0, 8, 32767, 32768, (5 << 33) + 3}
+    rows = spark.createDataFrame([(n, f"text {n}") for n in numbers], "no bigint, what string")
+    marks = spark.createDataFrame([(n,) for n in [*chosen, 8]], "no bigint")
+    marked = distributed.mark_rows(rows, "no", marks, "hit")
+    assert marked.columns == ["no", "what", "hit"]
+    assert {r["no"]: r["hit"] for r in marked.collect()} == {n: n in chosen for n in numbers}
+    assert "hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert not any(r["hit"] for r in distributed.mark_rows(rows, "no", marks.limit(0), "hit").collect())
+
+
+def test_many_bitmaps_meet_the_rows_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(distributed, "BROADCAST_BITMAPS", 0)
+    marked = distributed.mark_rows(spark.range(100000), "id", spark.range(0, 100000, 3), "hit")
+    assert marked.filter("hit <> (id % 3 = 0)").count() == 0 and marked.count() == 100000

@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry_points
-from freightlens.operators import profiling
+from freightlens.operators import profiling, staging
+from freightlens.plans.raw_text import Staged
 from freightlens.plans.tower import Tower
 from freightlens.session import land, still_landed
 
@@ -80,3 +81,22 @@ def test_checks_and_rules_scan_each_table_a_few_times(spark):
     rules, checks = (scanned(entry_points.queries()[name](spark, FOLDER)) for name in ("dq_detected", "baseline_checks"))
     assert rules["fact_shipment"] <= 2 and rules["fact_freight_invoice"] <= 4, rules
     assert checks["fact_shipment"] <= 5 and sum(checks.values()) <= 45, checks
+
+
+def test_judged_rows_are_not_shuffled_and_read_by_column(spark):
+    staged = Staged(Tower(spark, FOLDER))
+    assert "hashpartitioning" not in plan(staged.judged)
+    text = plan(entry_points.queries()["category_map"](spark, FOLDER))
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert read and not any("Item Description" in columns or "Brand" in columns for columns in read)
+
+
+def test_only_rows_with_a_pointer_are_joined(spark):
+    rows = [("1", "5.0", None), ("2", "See DN-1 (ID#:1)", "2"), ("3", "See DN-9 (ID#:9)", "See ASN-2 (ID#:2)"), (None, "4", None)]
+    good = spark.createDataFrame(rows, "ID string, `Weight (Kilograms)` string, `Freight Cost (USD)` string")
+    resolved = staging.resolve_references(good, *staging.REFERENCES)
+    assert "Union" in plan(resolved)
+    found = {r["ID"]: (r["weight_kg"] and float(r["weight_kg"]), r["weight_source"], r["freight_cost_usd"] and float(r["freight_cost_usd"]))
+             for r in resolved.collect()}
+    assert found == {"1": (5.0, "direct", None), "2": (5.0, "resolved_reference", 2.0),
+                     "3": (None, "missing_unresolved_reference", 2.0), None: (4.0, "direct", None)}
