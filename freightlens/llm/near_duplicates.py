@@ -44,6 +44,8 @@ from freightlens.session import land
 HASHES, BATCH, BAND_BYTES, BAND_MISS = 288, 32, 6, 5e-7
 #: Classes in a block of stage 5, and of those outside the largest component.
 BLOCK, PIVOTS = 256, 128
+#: The commonest shingles (16 bytes each) that are told apart without a join, in stage 6.
+HEADS = 65_536
 #: Ids (8 bytes each) of classes with a candidate that may be broadcast to find their texts.
 BROADCAST_IDS = 4_000_000
 
@@ -191,25 +193,68 @@ def _rare_buckets(crowded: DataFrame, sets: DataFrame, threshold: float) -> Data
     """
     percent = round(100 * threshold)
     own = sets.join(crowded, "id").select("id", "component", "shingles")
+    common = own.mapInArrow(_every_key, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    common = land(common, "common-shingles")
+    # The commonest ones are what a template gives each of its classes. A class takes them last, and
+    # no more than its share of rarest ones, so that only these meet the others, with their counts.
+    heads = common.where(F.col("n") > BLOCK).orderBy(F.desc("n"), F.desc("key")).limit(HEADS).collect()
+    heads = np.array([(r.key, r.n) for r in reversed(heads)], np.int64).reshape(-1, 2)
+
+    shape = "id long, component long, size long, n_heads long, set long, key long, n long"
+    tails = own.mapInArrow(_cut(heads, percent, False), shape).drop("n").join(common, "key")
+    shared = tails.withColumn("tail", F.lit(1)).unionByName(own.mapInArrow(_cut(heads, percent, True), shape).withColumn("tail", F.lit(0)))
+    classes = shared.groupBy("id", "component", "size", "n_heads", "set").agg(
+        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("common"), F.sum("tail").alias("n_tails"))
+    first = F.ceil(F.col("size") * percent / F.lit(100)) * -1 + 1 + F.col("n_heads") + F.col("n_tails")
+    kept = classes.select("id", "component", "common", first.cast("int").alias("first")).where("first > 0")
+    return kept.select(F.explode(F.slice("common", F.lit(1), F.col("first")).getField("key")).alias("key"), "id", "component").distinct()
+
+
+def _every_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every shingle of every set, one below the other."""
+    for batch in batches:
+        raw = batch.column("shingles").to_pylist()
+        for x, y in slices(np.fromiter(map(len, raw), np.int64, len(raw))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(raw[x:y]), "<i8"))], names=["key"])
+
+
+def _cut(heads: np.ndarray, percent: int, of_heads: bool):
+    """Cuts sets into their shingles: those that are no heads, or the first of those that are.
+
+    ``heads``: (key, n) of the commonest shingles, ascending by n and key. Of a set's heads
+    come as many as it has rarest shingles at most, with their n.
+    """
+    by_key = np.argsort(heads[:, 0])
+    known = heads[by_key, 0]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("shingles").to_pylist()
             sizes = np.fromiter(map(len, raw), np.int64, len(raw))
             for x, y in slices(sizes):
-                n = sizes[x:y] // 8
-                part = np.repeat(np.arange(x, y), n)
+                size = sizes[x:y] // 8
+                part = np.repeat(np.arange(y - x), size)
+                keys = np.frombuffer(b"".join(raw[x:y]), "<i8")
+                at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+                head = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+                n_heads = np.bincount(part[head], minlength=y - x)
+                if of_heads:
+                    rank, part = by_key[at[head]], part[head]
+                    order = np.lexsort((rank, part))
+                    rank, part = rank[order], part[order]
+                    nth = np.arange(len(part)) - np.repeat(np.cumsum(n_heads) - n_heads, n_heads)
+                    first = nth < size[part] + (-size[part] * percent // 100) + 1
+                    part, (keys, n) = part[first], heads[rank[first]].T
+                else:
+                    part, keys, n = part[~head], keys[~head], np.zeros(int((~head).sum()), np.int64)
+                names = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw[x:y]]
+                rows = pa.array(part + x)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(part)), batch.column("component").take(pa.array(part)), pa.array(np.repeat(n, n)),
-                     pa.array(np.repeat([int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw[x:y]], n), pa.int64()),
-                     pa.array(np.frombuffer(b"".join(raw[x:y]), "<i8"))], names=["id", "component", "size", "set", "key"])
-
-    shingles = own.mapInArrow(cut, "id long, component long, size long, set long, key long")
-    common = shingles.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    classes = shingles.join(common, "key").groupBy("id", "component", "size", "set").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("common"))
-    first = F.col("size") - F.ceil(F.col("size") * percent / F.lit(100)) + 1 - (F.col("size") - F.size("common"))
-    kept = classes.select("id", "component", "common", first.cast("int").alias("first")).where("first > 0")
-    return kept.select(F.explode(F.slice("common", F.lit(1), F.col("first")).getField("key")).alias("key"), "id", "component").distinct()
+                    [batch.column("id").take(rows), batch.column("component").take(rows), pa.array(size[part]), pa.array(n_heads[part]),
+                     pa.array(np.array(names, np.int64)[part]), pa.array(np.ascontiguousarray(keys)), pa.array(np.ascontiguousarray(n))],
+                    names=["id", "component", "size", "n_heads", "set", "key", "n"])
+
+    return cut
 
 
 def _block_links(apart: DataFrame, signs: DataFrame, sets: DataFrame, threshold: float, miss: float) -> DataFrame:

@@ -109,6 +109,28 @@ def test_unlike_classes_of_one_bucket_cost_their_rare_shingles(spark):
     assert small == (1250 * 20, 2) and large == (2500 * 20, 2)
 
 
+def test_shingles_of_a_template_do_not_meet_their_counts(spark, monkeypatch):
+    """Copies of one template: their buckets are those without ``HEADS``, and a class joins its own shingles only."""
+    draw = np.random.default_rng(4)
+    template, own = draw.integers(-2**62, 2**62, 60), draw.integers(0, 40, (600, 12))
+    made = [(i, bytearray(np.unique(np.concatenate([template[i % 7:], x])).astype("<i8").tobytes())) for i, x in enumerate(own)]
+    sets = spark.createDataFrame(made, "id long, shingles binary")
+    crowded = sets.selectExpr("id", "id % 5 AS component")
+    joined = []
+    cut = near._cut
+    monkeypatch.setattr(near, "_cut", lambda heads, percent, of_heads: joined.append((heads, of_heads)) or cut(heads, percent, of_heads))
+    buckets = {}
+    for most in (near.HEADS, 10, 0):
+        monkeypatch.setattr(near, "HEADS", most)
+        buckets[most] = sorted(map(tuple, near._rare_buckets(crowded, sets, 0.8).collect()))
+    every, ten, none = buckets.values()
+    assert every == ten == none and len(none) > 600 * 5
+    heads = joined[0][0]
+    assert set(heads[:, 0]) >= set(template[7:].tolist()) and [len(h) for h, _ in joined[2:]] == [10, 10, 0, 0]
+    tails = sets.selectExpr("id", "id AS component", "shingles").mapInArrow(cut(heads, 80, False), "id long, component long, size long, n_heads long, set long, key long, n long")
+    assert tails.count() <= 600 * 12
+
+
 def test_near_duplicates_without_broadcast(spark):
     rows = documents()
     assert got(near_duplicates(frame(spark, rows), 2, broadcast_ids=0)) == want(plain.near(rows, 2))
