@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freightlens.config import Settings
-from freightlens.functions.expr import bucket, hash48, parse_short_date, uniform
+from freightlens.functions.expr import bucket, hash48, padded, parse_short_date, uniform
 from freightlens.operators import (
     accruals, dashboards, detection, freight_audit, marts, matching, measures, rules, sampling,
     scorecards, service_kpis, shipments, staging, validation,
@@ -36,6 +36,21 @@ def test_short_dates_and_sentinels(spark):
     assert got == [D(2006, 6, 2), D(2006, 6, 2), D(1999, 1, 5), None, None, None, None, None]
 
 
+def test_short_dates_read_whole_month_names_only(spark):
+    texts = ["1-anf-05", "1-n f-05", "1-Sept-05", "00-Jan-05", "0012-DEC-68", " 3-Mar-69 ", "1-Jan-05\n", "1--Jan-05"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["d"] for r in df.orderBy("i").select(parse_short_date(F.col("t")).alias("d")).collect()]
+    assert got == [None, None, None, None, D(2068, 12, 12), D(1969, 3, 3), None, None]
+
+
+@pytest.mark.parametrize("width", [2, 7])
+def test_padded_numbers_are_those_of_a_formatter(spark, width):
+    numbers = [None, 0, 7, -1, -12, 999_999, -999_999, 1_234_567, -1_234_567, 12_345_678, 2**63 - 1, -2**63]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    rows = df.select(padded(F.col("n"), width).alias("ours"), F.format_string(f"%0{width}d", "n").alias("theirs")).collect()
+    assert [r["ours"] for r in rows] == [r["theirs"] for r in rows]
+
+
 def test_calendar_shift_clamps_leap_day(spark):
     df = spark.createDataFrame([("29-Feb-16",)], "t string")
     got = df.select(F.add_months(parse_short_date(F.col("t")), 120).alias("d")).first()["d"]

@@ -91,6 +91,22 @@ def test_judged_rows_are_not_shuffled_and_read_by_column(spark):
     assert read and not any("Item Description" in columns or "Brand" in columns for columns in read)
 
 
+def test_rows_are_judged_once_where_they_land(spark):
+    assert "RLIKE" not in plan(Staged(Tower(spark, FOLDER)).judged)
+
+
+def test_pointers_meet_one_row_a_target(spark):
+    rows = [("1", "5.0", "7"), ("2", "See DN-1 (ID#:1)", "See ASN-1 (ID#:1)"), ("1", "6.0", None)]
+    good = spark.createDataFrame(rows, "ID string, `Weight (Kilograms)` string, `Freight Cost (USD)` string")
+    resolved = staging.resolve_references(good, *staging.REFERENCES)
+    assert plan(resolved).count("explode") == 1
+    assert [(float(r["weight_kg"]), float(r["freight_cost_usd"])) for r in resolved.filter("ID = '2'").collect()] == [(6.0, 7.0)]
+
+
+def test_milestone_ids_use_no_formatter(spark):
+    assert "format_string" not in plan(entry_points.queries()["milestone_schedule"](spark, FOLDER))
+
+
 def test_only_rows_with_a_pointer_are_joined(spark):
     rows = [("1", "5.0", None), ("2", "See DN-1 (ID#:1)", "2"), ("3", "See DN-9 (ID#:9)", "See ASN-2 (ID#:2)"), (None, "4", None)]
     good = spark.createDataFrame(rows, "ID string, `Weight (Kilograms)` string, `Freight Cost (USD)` string")
