@@ -11,7 +11,8 @@
    compared.
 5. Links make components. Where a bucket's classes are not all in one component yet, the
    classes outside its largest one are compared with all of it, by the same two steps; a
-   block of bounded size returns only the links that join two components.
+   block of bounded size returns only the links that join two components. Where very many
+   of a block's pairs come to the exact check, their intersections are counted together.
 6. A bucket with more classes than a block is not compared as it stands. Two sets as alike
    as the threshold share one of their rarest shingles (a fifth of a set and one, at 0.8),
    so its classes meet again by those, and a class whose rare shingles are its own meets
@@ -173,15 +174,13 @@ def _verified(pairs: DataFrame, signs: DataFrame, sets: DataFrame, threshold: fl
 
 def _apart(rest: DataFrame) -> DataFrame:
     """(key, id, component, n, n_outside, outside) of the buckets whose classes are not all in
-    one component, of (key, id, component); of buckets with the same classes one stays."""
-    open_ = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
-                                    F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("content")).where("low < high")
-    open_ = open_.groupBy("n", "content").agg(F.min("key").alias("key")).select("key", "n")
-    rest = land(rest.join(open_, "key"), "apart")
-    sizes = rest.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("n_all"))
-    largest = largest.select("key", F.col("most.component").alias("main"), (F.col("n_all") - F.col("most.size")).alias("n_outside"))
-    return rest.join(largest, "key").select("key", "id", "component", "n", "n_outside", (F.col("component") != F.col("main")).alias("outside"))
+    one component, of (key, id, component); of buckets with the same classes one stays. Landed."""
+    sizes = rest.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("content"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts"),
+                                       F.sum("size").alias("n"), F.sum("content").alias("content")).where("parts > 1")
+    shown = F.struct("key", F.col("most.component").alias("main"), (F.col("n") - F.col("most.size")).alias("n_outside"))
+    open_ = largest.groupBy("n", "content").agg(F.min(shown).alias("one")).select("n", "one.*")
+    return land(rest.join(open_, "key").select("key", "id", "component", "n", "n_outside", (F.col("component") != F.col("main")).alias("outside")), "apart")
 
 
 def _rare_buckets(crowded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -287,19 +286,54 @@ def _joining(members: list[dict], pivots: list[dict], threshold: float, miss: fl
             x = parent[x]
         return x
 
-    signs = np.frombuffer(b"".join(m["signature"] for m in members), np.uint8).reshape(len(members), -1)
+    signs, own = (np.frombuffer(b"".join(m["signature"] for m in side), np.uint8).reshape(len(side), -1) for side in (members, pivots))
+    label, of = (np.array([m["component"] for m in side], np.int64) for side in (members, pivots))
+    pivot, member = np.nonzero(of[:, None] != label)
+    alive = plausible(signs[member], own[pivot], threshold, miss)
+    pivot, member = pivot[alive], member[alive]
+    sets, cores = ([np.frombuffer(m["shingles"], "<u8") for m in side] for side in (members, pivots))
+    shared = _shared_shingles(sets, cores) if len(pivot) > BLOCK else None
+    one_by_one = shared is None or len(shared) > len(pivot)  # a shingle costs the product about what a pair costs by itself
+    if not one_by_one:
+        common = _intersections(shared, sets, cores)[member, pivot]
+        both = np.array(list(map(len, sets)))[member] + np.array(list(map(len, cores)))[pivot]
+        near = 100 * common >= percent * (both - common)
+        pivot, member = pivot[near], member[near]
     links = []
-    for pivot in pivots:
-        sign = np.broadcast_to(np.frombuffer(pivot["signature"], np.uint8), signs.shape)
-        own = np.frombuffer(pivot["shingles"], "<u8")
-        for i in plausible(signs, sign, threshold, miss).tolist():
-            x, y = root(members[i]["component"]), root(pivot["component"])
-            if x != y and linked(np.frombuffer(members[i]["shingles"], "<u8"), own, percent):
-                parent[max(x, y)] = min(x, y)
-                links.append((members[i]["id"], pivot["id"]))
+    for j, i in zip(pivot.tolist(), member.tolist()):
+        x, y = root(members[i]["component"]), root(pivots[j]["component"])
+        if x != y and (not one_by_one or linked(sets[i], cores[j], percent)):
+            parent[max(x, y)] = min(x, y)
+            links.append((members[i]["id"], pivots[j]["id"]))
     return links
 
 
+def _shared_shingles(sets: list[np.ndarray], cores: list[np.ndarray]) -> np.ndarray:
+    """The shingles that are in one of ``sets`` and in one of ``cores``, ascending."""
+    return np.intersect1d(np.unique(np.concatenate(sets)), np.unique(np.concatenate(cores)), assume_unique=True)
+
+
+def _intersections(shared: np.ndarray, sets: list[np.ndarray], cores: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many shingles each of ``sets`` (rows) has in common with each of ``cores``, as
+    products of incidence matrices of ``width`` shared shingles at a time."""
+    sides = []
+    for side in (sets, cores):
+        owner, keys = np.repeat(np.arange(len(side)), list(map(len, side))), np.concatenate(side)
+        at = np.searchsorted(shared, keys)
+        found = shared[np.minimum(at, len(shared) - 1)] == keys if len(shared) else np.zeros(len(keys), bool)
+        at, owner = at[found], owner[found]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], owner[order], len(side)))
+    common = np.zeros((len(sets), len(cores)), np.int64)
+    for x in range(0, len(shared), width):
+        one, other = (np.zeros((n, width), np.float32) for _, _, n in sides)
+        for (at, owner, _), marks in zip(sides, (one, other)):
+            p, q = np.searchsorted(at, [x, x + width])
+            marks[owner[p:q], at[p:q] - x] = 1
+        common += (one @ other.T).astype(np.int64)
+    return common
+
+
 def near_duplicates(documents: DataFrame, size: int = 5, threshold: float = 0.8, miss: float = 1e-9,
                     id_column: str = "doc_id", text_column: str = "text", broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id is it).
@@ -328,19 +362,19 @@ def near_duplicates(documents: DataFrame, size: int = 5, threshold: float = 0.8,
     near = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
     sets = land(_sets(rows.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), size).where(F.octet_length("shingles") > 0).distinct(), "shingle-sets")
     signs = classes.select("id", "signature").join(near, "id", "left_semi")
-    pairs = members.where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    # Dealt by a, of which there is a row a band at most: neither the distinct nor the first join moves them again.
+    pairs = members.where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).repartition("a").distinct()
     first = land(_verified(pairs, signs, sets, threshold, miss), "first-links")
 
     labels = components(first)
     rest = members.where("id != pivot").join(labels, members.id == labels.node, "left")
     apart = _apart(rest.select("key", "id", F.coalesce("component", "id").alias("component")))
     crowded = land(apart.where(F.col("n") > BLOCK).select("id", "component").distinct(), "crowded-classes")
-    later = _block_links(apart.where(F.col("n") <= BLOCK), signs, sets, threshold, miss)
     if not crowded.isEmpty():
-        again = _apart(_rare_buckets(crowded, sets, threshold))
-        later = later.union(_block_links(again, signs, sets, threshold, miss))
-    later = land(later, "later-links")
-    labels = components(first.union(later).union(same_set))
+        apart = apart.where(F.col("n") <= BLOCK).union(_apart(_rare_buckets(crowded, sets, threshold)))
+    later = land(_block_links(apart, signs, sets, threshold, miss), "later-links")
+    found = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))  # the components of the first links
+    labels = components(found.union(later).union(same_set))
     return (sketches.select("doc_id", "n_shingles").join(labels, sketches.doc_id == labels.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

@@ -131,6 +131,45 @@ def test_shingles_of_a_template_do_not_meet_their_counts(spark, monkeypatch):
     assert tails.count() <= 600 * 12
 
 
+def test_plausible_pairs_of_a_block_are_counted_together(monkeypatch):
+    """A template's copies just under the threshold: no exact comparison a pair, the same links as pair by pair."""
+    from freightlens.llm.shingles import signatures
+
+    draw = np.random.default_rng(3)
+    template = draw.integers(0, 2**62, 88).astype(np.uint64)
+    own = draw.integers(0, 2**62, (200, 12)).astype(np.uint64)
+    own[20:40] = own[:20]
+    own[20:40, 0] += np.uint64(1)
+    sets = [np.unique(np.concatenate([template, x])) for x in own]
+    sets[50] = np.unique(own[50])
+    signs = signatures(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]), 288).astype(np.uint8)
+    block = [dict(id=i, component=i, signature=z.tobytes(), shingles=x.tobytes()) for i, (x, z) in enumerate(zip(sets, signs))]
+    singly = near.linked
+    compared = []
+    monkeypatch.setattr(near, "linked", lambda *a: compared.append(1) or singly(*a))
+    found = {}
+    for percent in (80, 76):
+        found[percent] = near._joining(block, block[:100], percent / 100, 1e-9, percent)
+    assert not compared
+    monkeypatch.setattr(near, "_shared_shingles", lambda *a: range(10**9))
+    for percent, links in found.items():
+        assert links == near._joining(block, block[:100], percent / 100, 1e-9, percent)
+    assert len(compared) > 5000 and len(found[80]) == 20 and len(found[76]) == 198
+    common = near._intersections(np.unique(np.concatenate(sets)), sets, sets[:9], 16)
+    assert common.tolist() == [[len(np.intersect1d(a, b)) for b in sets[:9]] for a in sets]
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    from freightlens.llm import components as stars
+
+    landed = []
+    land = stars.land
+    monkeypatch.setattr(stars, "land", lambda df, name: landed.append(name) or land(df, name))
+    links = spark.createDataFrame([(7, 1), (9, 1), (1, 9), (8, 2), (4, None), (3, 3)], "a long, b long")
+    assert got(components(links)) == [(7, 1), (8, 2), (9, 1)] and landed == ["links"]
+    assert got(components(links.union(spark.createDataFrame([(9, 8)], "a long, b long")))) == [(2, 1), (7, 1), (8, 1), (9, 1)]
+
+
 def test_near_duplicates_without_broadcast(spark):
     rows = documents()
     assert got(near_duplicates(frame(spark, rows), 2, broadcast_ids=0)) == want(plain.near(rows, 2))
