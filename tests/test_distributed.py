@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import distributed
 from freightlens.operators.distributed import (
-    by_metric, dense_competition_rank, exact_quantile, measured, modal_value, number_rows, order_statistic, previous_value,
+    behind, by_metric, dense_competition_rank, exact_quantile, measured, modal_value, number_rows, order_statistic, previous_value,
     prior_max,
 )
 from freightlens.operators.effective import effective_join, timeline
@@ -91,6 +91,22 @@ def test_prior_max_is_the_same_in_blocks_of_any_size(spark):
         assert {(r["g"], r["s"]): r["p"] for r in got} == expected
 
 
+def test_rows_behind_meet_only_steps_that_have_some(spark, monkeypatch):
+    rows = _steps(1) + [("a", 5, None), (None, 3, 1), ("a", None, 1), ("g1", 3, 2), ("g1", 3, 60)]
+    df = spark.createDataFrame(rows, "g string, s int, v int")
+    best = {(g, s): max((v for h, t, v in rows if h == g and t is not None and s is not None and t < s and v is not None), default=None)
+            for g, s, _ in rows if g}
+    expected = sorted(r for r in rows if r[2] is not None and best.get(r[:2]) is not None and r[2] < best[r[:2]])
+    for block in (4096, 100, 1):
+        assert sorted(map(tuple, behind(df, "g", "s", "v", block).collect())) == expected
+    steps = spark.range(40).selectExpr("id AS g", "explode(sequence(0, 4)) AS s").selectExpr("g", "s", "IF(g = 7 AND s = 2, -1, s) AS v")
+    met = []
+    join = type(df).join
+    monkeypatch.setattr(type(df), "join", lambda self, other, *a: met.append(other.count()) or join(self, other, *a))
+    assert [tuple(r) for r in behind(steps, "g", "s", "v").collect()] == [(7, 2, -1)]
+    assert met == [0, 1]
+
+
 def test_previous_value_is_the_same_in_blocks_of_any_size(spark):
     rows = _steps(2)
     df = spark.createDataFrame(rows, "g string, s int, v int")
