@@ -2,8 +2,10 @@
 
 A package holds, uncompressed, ``archive/data.warc.gz`` (one gzip member a record) and
 ``indexes/index.cdxj`` (one line a record, with offset and length), so that a record is
-a range of the package. Each task writes a package of its own and the packages' table
-lists those that count; reading deals packages to tasks.
+a range of the package. Each task writes a package of its own and the packages' table,
+one file, lists those that count; reading deals packages to tasks by their bytes. So no
+more files are made through Spark's writers than the data asks for: where Hadoop has no
+native library, each costs the executor processes, made from the whole of its JVM.
 
 Repeated payloads become revisit records. Only (page, digest) pairs are shuffled to find
 them; a digest held by a third of all pages is aggregated before the shuffle, and the
@@ -20,11 +22,14 @@ import re
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.files import make_file, make_folder, new_folder, open_file
+from freightlens.llm.ragged import slices
 from freightlens.llm.zip_archive import ZipArchive
 
 # Fixed values of the WARC 1.1 and package formats.
@@ -34,7 +39,7 @@ DATE = "1970-01-01T00:00:00Z"
 
 RESULT = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
           "target_uri string")
-#: Bytes of a package read at a time.
+#: Bytes of a package read at a time; packages that together have no more are read by one task.
 WINDOW = 4 << 20
 
 
@@ -116,9 +121,10 @@ def write_packages(pages: DataFrame, folder: str | None = None, least_revisit: i
                     out = Package(folder)
                 out.add(row)
         if out is not None:
-            yield pa.RecordBatch.from_pydict({"path": [out.close()], "n_records": [len(out.index)]})
+            yield pa.RecordBatch.from_pydict({"path": [out.close()], "n_records": [len(out.index)], "n_bytes": [out.size]})
 
-    ready.mapInArrow(write, "path string, n_records long").write.parquet(f"{folder}/packages")
+    listed = ready.mapInArrow(write, "path string, n_records long, n_bytes long").repartition(1)  # a row a package
+    listed.write.parquet(f"{folder}/packages")
     return folder
 
 
@@ -151,6 +157,7 @@ class Package:
                      {"name": "index.cdxj", "path": INDEX, "bytes": sum(map(len, self.index))}]
         self.archive.writestr(PACKAGE, json.dumps({"profile": "data-package", "wacz_version": "1.1.1", "resources": resources}))
         self.archive.close()
+        self.size = self.stream.tell()
         self.stream.close()
         return self.path
 
@@ -176,13 +183,14 @@ def read_packages(spark, folder: str) -> DataFrame:
     """A row a record of all packages of ``folder``; digests and sizes of responses are
     taken from the payload and held against the record's own fields, those of revisits
     are what the record says of the payload it stands for."""
-    paths = [(row.path,) for row in spark.read.parquet(f"{folder}/packages").select("path").collect()]  # a row a file
-    listed = spark.createDataFrame(paths, "path string").repartition(max(1, len(paths)))
+    found = sorted(spark.read.parquet(f"{folder}/packages").select("n_bytes", "path").collect())  # a row a file
+    shares = [([found[i].path for i in range(a, b)],) for a, b in slices(np.array([row.n_bytes for row in found]), WINDOW)]
+    listed = spark.createDataFrame(shares, "paths array<string>").repartition(max(1, len(shares)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RESULT.split(", ")]
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path in pc.list_flatten(batch.column("paths")).to_pylist():
                 rows = []
                 for fields, reply, payload in package_records(path):
                     said = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()

@@ -383,6 +383,24 @@ def test_warc_packages(spark):
     assert read_packages(spark, write_packages(pages.limit(0))).count() == 0
 
 
+def test_small_warc_packages_share_files_and_tasks(spark, tmp_path):
+    held = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in held]
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}" + "c" * 1500 * (i % 3)) for i in range(90)], "page_id long, url string, html string")
+    try:
+        for k, v in zip(held, ("false", "23")):
+            spark.conf.set(k, v)
+        folder = write_packages(pages.union(pages), str(tmp_path))
+        out = read_packages(spark, folder)
+        listed = spark.read.parquet(f"{folder}/packages")
+        assert listed.count() > 15 and len(listed.inputFiles()) == 1 and listed.agg({"n_records": "sum"}).first()[0] == 180
+        assert listed.agg({"n_bytes": "sum"}).first()[0] == sum(f.stat().st_size for f in tmp_path.glob("pages-wacz-*"))
+        assert out.rdd.getNumPartitions() == 1 and sorted(r.page_id for r in out.collect()) == sorted([*range(90)] * 2)
+    finally:
+        for k, v in zip(held, before):
+            spark.conf.set(k, v)
+
+
 def test_warc_record_parses():
     raw = record(5, "http://x/ y", b"body\r\n\r\nmore", "ab" * 20, None, False)
     fields, reply, payload = parse(raw)
