@@ -97,72 +97,86 @@ class Network:
         return self
 
     def _hidden(self, windows: np.ndarray) -> np.ndarray:
-        total = self.weights["bias"] + self.weights["context"][0][windows[:, 0]]
-        for k in range(1, windows.shape[1]):
-            total += self.weights["context"][k][windows[:, k]]
-        return np.tanh(total)
+        """A row a window, and a last column of ones, which the output biases are multiplied with."""
+        context, names = self.weights["context"], np.ascontiguousarray(windows.T)
+        total = context[0].take(names[0], 0)
+        for k in range(1, len(names)):
+            total += context[k].take(names[k], 0)
+        total += self.weights["bias"]
+        out = np.ones((total.shape[0], total.shape[1] + 1), total.dtype)
+        np.tanh(total, out=out[:, :-1])
+        return out
+
+    def _outputs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Output weights of classes and of the words in each, with the biases as a last column."""
+        w = self.weights
+        return np.column_stack([w["classes"], w["class_bias"]]), np.concatenate([w["words"], w["word_bias"][:, :, None]], 2)
+
+    def _groups(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Order of the targets by class, the class of each, and (class, a, b) of the runs in that order."""
+        kind = (targets // self.shape.per_class).astype(np.uint16)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(kind, minlength=len(self.weights["classes"])))]).tolist()
+        return np.argsort(kind, kind="stable"), kind, [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
     @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        return logits
+    def _logits(hidden: np.ndarray, words: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+        """Of the words in the class of each column's target; what is reduced stands first, so
+        that numpy goes along the columns."""
+        out = np.empty((words.shape[1], len(hidden)), np.result_type(hidden, words))
+        for c, a, b in runs:
+            np.matmul(words[c], hidden[a:b].T, out=out[:, a:b])
+        return out
 
     @staticmethod
-    def _log_share(logits: np.ndarray, picks: np.ndarray) -> np.ndarray:
-        """Log of the softmax at one column a row."""
-        logits -= logits.max(1, keepdims=True)
-        picked = logits[np.arange(len(picks)), picks]
+    def _softmax(logits: np.ndarray, n: int) -> np.ndarray:
+        """In place, the softmax of each column, over n."""
+        logits -= logits.max(0)
         np.exp(logits, out=logits)
-        return picked - np.log(logits.sum(1))
-
-    def _groups(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order of the targets by class, and borders of the classes in it."""
-        kind = (targets // self.shape.per_class).astype(np.uint16)
-        order = np.argsort(kind, kind="stable")
-        return order, np.searchsorted(kind[order], np.arange(len(self.weights["classes"]) + 1))
+        logits *= 1 / (logits.sum(0) * n)
+        return logits
 
     def log_probabilities(self, windows: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        w, per = self.weights, self.shape.per_class
         out = np.empty(len(targets), np.float32)
-        order, cuts = self._groups(targets)
-        hidden, targets = self._hidden(windows)[order], targets[order]
-        logs = self._log_share(hidden @ w["classes"].T + w["class_bias"], targets // per)
-        for c, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
-            if a < b:
-                logs[a:b] += self._log_share(hidden[a:b] @ w["words"][c].T + w["word_bias"][c], targets[a:b] % per)
+        order, kind, runs = self._groups(targets)
+        hidden, kind, place = self._hidden(windows[order]), kind[order], targets[order] % self.shape.per_class
+        classes, words = self._outputs()
+        columns, logs = np.arange(len(targets)), 0
+        for logits, picks in ((classes @ hidden.T, kind), (self._logits(hidden, words, runs), place)):
+            logits -= logits.max(0)
+            logs = logs + logits[picks, columns]
+            logs -= np.log(np.exp(logits, out=logits).sum(0))
         out[order] = logs
         return out
 
     def learn(self, windows: np.ndarray, targets: np.ndarray) -> None:
         """One mini-batch step."""
-        w, per, n = self.weights, self.shape.per_class, len(targets)
-        order, cuts = self._groups(targets)
-        windows, targets = windows[order], targets[order]
+        n = len(targets)
+        order, _, runs = self._groups(targets)
+        windows, place = windows[order], targets[order] % self.shape.per_class
         hidden = self._hidden(windows)
-        rows = np.arange(n)
-        top = self._softmax(hidden @ w["classes"].T + w["class_bias"])
-        top[rows, targets // per] -= 1
-        back = top @ w["classes"]
-        self._step("classes", top.T @ hidden / n)
-        self._step("class_bias", top.mean(0))
-        words, bias = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
-        for c, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
-            if a < b:
-                low = self._softmax(hidden[a:b] @ w["words"][c].T + w["word_bias"][c])
-                low[rows[:b - a], targets[a:b] % per] -= 1
-                back[a:b] += low @ w["words"][c]
-                words[c], bias[c] = low.T @ hidden[a:b] / n, low.sum(0) / n
-        self._step("words", words)
-        self._step("word_bias", bias)
-        back *= (1 - hidden * hidden) / n
+        classes, words = self._outputs()
+        top = self._softmax(classes @ hidden.T, n)
+        low = self._softmax(self._logits(hidden, words, runs), n)
+        low[place, np.arange(n)] -= 1 / n
+        for c, a, b in runs:
+            top[c, a:b] -= 1 / n
+        back, steps = top.T @ classes, np.zeros_like(words)
+        for c, a, b in runs:
+            back[a:b] += low[:, a:b].T @ words[c]
+            steps[c] = low[:, a:b] @ hidden[a:b]
+        step = top @ hidden
+        self._step("classes", step[:, :-1])
+        self._step("class_bias", step[:, -1])
+        self._step("words", steps[:, :, :-1])
+        self._step("word_bias", steps[:, :, -1])
+        hidden = hidden[:, :-1]
+        back = back[:, :-1] * (1 - hidden * hidden)
         self._step("bias", back.sum(0))
         for k in range(windows.shape[1]):
-            by = np.argsort(windows[:, k].astype(np.uint16 if len(w["context"][k]) <= 1 << 16 else np.int64), kind="stable")
+            by = np.argsort(windows[:, k].astype(np.uint16 if len(self.weights["context"][k]) <= 1 << 16 else np.int64), kind="stable")
             names = windows[by, k]
             heads = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-            self._step("context", np.add.reduceat(back[by], heads), (k, names[heads]))
+            self._step("context", np.add.reduceat(back.take(by, 0), heads), (k, names[heads]))
 
     def _step(self, name: str, gradient: np.ndarray, at=...) -> None:
         squares = self.squares[name][at] + gradient * gradient
@@ -437,8 +451,8 @@ def scores(model: Model, documents: DataFrame, id_column: str = "doc_id", text_c
             unnamed = [np.empty(0, np.uint64)]
             for x, y in slices(np.diff(borders)):
                 owner, around, targets, hashes = names.windows(data[borders[x]:borders[y]], borders[x:y + 1] - borders[x])
-                for a in range(0, len(targets), 4 * shape.batch):
-                    b = a + 4 * shape.batch
+                for a in range(0, len(targets), shape.batch):
+                    b = a + shape.batch
                     sums[x:y] += np.bincount(owner[a:b], network.log_probabilities(around[a:b], targets[a:b]), y - x)
                 counts[x:y] = np.bincount(owner, minlength=y - x)
                 sharing = targets >= first

@@ -4,6 +4,7 @@ import io
 import os
 import random
 import struct
+import time
 import zipfile
 from pathlib import Path
 
@@ -515,6 +516,79 @@ def test_gradients_are_finite_differences():
             assert abs(-(sides[0] - sides[1]) / 0.02 - gradient[name].flat[at]) < 2e-4
 
 
+class RowByRow(lm.Network):
+    """The network's formulas with a row a word and a softmax a class."""
+
+    def split(self, windows, targets):
+        w, per = self.weights, self.shape.per_class
+        order = np.argsort((targets // per).astype(np.uint16), kind="stable")
+        windows, targets = windows[order], targets[order]
+        total = w["bias"] + w["context"][0][windows[:, 0]]
+        for k in range(1, windows.shape[1]):
+            total += w["context"][k][windows[:, k]]
+        cuts = np.searchsorted(targets // per, np.arange(len(w["classes"]) + 1)).tolist()
+        return order, windows, targets, np.tanh(total), [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+    @staticmethod
+    def softmax(logits):
+        logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True)
+        return logits
+
+    def log_probabilities(self, windows, targets):
+        w, per, out = self.weights, self.shape.per_class, np.empty(len(targets), np.float32)
+        order, _, targets, hidden, runs = self.split(windows, targets)
+        logs = np.log(self.softmax(hidden @ w["classes"].T + w["class_bias"])[np.arange(len(targets)), targets // per])
+        for c, a, b in runs:
+            logs[a:b] += np.log(self.softmax(hidden[a:b] @ w["words"][c].T + w["word_bias"][c])[np.arange(b - a), targets[a:b] % per])
+        out[order] = logs
+        return out
+
+    def learn(self, windows, targets):
+        w, per, n = self.weights, self.shape.per_class, len(targets)
+        _, windows, targets, hidden, runs = self.split(windows, targets)
+        top = self.softmax(hidden @ w["classes"].T + w["class_bias"])
+        top[np.arange(n), targets // per] -= 1
+        back = top @ w["classes"]
+        self._step("classes", top.T @ hidden / n)
+        self._step("class_bias", top.mean(0))
+        words, bias = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
+        for c, a, b in runs:
+            low = self.softmax(hidden[a:b] @ w["words"][c].T + w["word_bias"][c])
+            low[np.arange(b - a), targets[a:b] % per] -= 1
+            back[a:b] += low @ w["words"][c]
+            words[c], bias[c] = low.T @ hidden[a:b] / n, low.sum(0) / n
+        self._step("words", words)
+        self._step("word_bias", bias)
+        back *= (1 - hidden * hidden) / n
+        self._step("bias", back.sum(0))
+        for k in range(windows.shape[1]):
+            by = np.argsort(windows[:, k].astype(np.uint16), kind="stable")
+            names = windows[by, k]
+            heads = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            self._step("context", np.add.reduceat(back[by], heads), (k, names[heads]))
+
+
+def test_network_costs_less_than_row_by_row_and_is_the_same():
+    shape = lm.Shape().grown(400_000)
+    draw = np.random.default_rng(5)
+    names = np.minimum(draw.zipf(1.2, (12, shape.batch, 5)), shape.vocabulary - 1)
+    took = {}
+    networks = [kind(shape).begin_as_unigram(np.bincount(names.ravel())) for kind in (lm.Network, RowByRow)]
+    for network in networks:
+        spent = took[type(network)] = ([], [])
+        for batch in names:
+            for times, work in zip(spent, (network.learn, network.log_probabilities)):
+                began = time.thread_time()
+                work(batch[:, 1:], batch[:, 0])
+                times.append(time.thread_time() - began)
+    ours, plain = networks
+    logs = [n.log_probabilities(names[0][:, 1:], names[0][:, 0]) for n in networks]
+    assert abs(float(logs[0].mean()) - float(logs[1].mean())) < 1e-3 and np.abs(logs[0] - logs[1]).mean() < 1e-2
+    assert all(min(a) < 0.85 * min(b) for a, b in zip(took[lm.Network], took[RowByRow]))
+
+
 def test_untrained_network_is_the_unigram():
     times = np.arange(1 + SMALL.common + SMALL.endings, dtype=float)
     network = lm.Network(SMALL).begin_as_unigram(times)
