@@ -271,12 +271,20 @@ class Names:
         self.shape = shape
         order = np.argsort(words)
         self.words, self.ids = words[order], order + 1
+        # Where words of the same leading bits begin, and how many there are at most: few, of hashes.
+        bits = len(words).bit_length() + 3
+        self.shift = np.uint64(64 - bits)
+        heads = (self.words >> self.shift).astype(np.int64)
+        self.first, self.most = np.searchsorted(heads, np.arange(1 << bits)), int(np.bincount(heads, minlength=1).max())
 
     def of(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
         shared = 1 + self.shape.common + _shared(endings, self.shape)
         if not len(self.words):
             return shared
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        at, ended = self.first[(hashes >> self.shift).astype(np.int64)], np.append(self.words, np.uint64(2**64 - 1))
+        for _ in range(self.most):
+            at += ended[at] < hashes
+        at = np.minimum(at, len(self.words) - 1)
         return np.where(self.words[at] == hashes, self.ids[at], shared)
 
     def windows(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

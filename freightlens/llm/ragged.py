@@ -94,7 +94,10 @@ class Hashes:
 
     def __init__(self, symbols: np.ndarray, seed: int = 0):
         up, self._down = powers(len(symbols), seed)
-        terms = mix(symbols.astype(np.uint64) + np.uint64((seed + 1) * _MULTIPLIER % (1 << 64)))
+        kinds = np.arange(256, dtype=np.uint64) if symbols.dtype == np.uint8 else symbols.astype(np.uint64)
+        terms = mix(kinds + np.uint64((seed + 1) * _MULTIPLIER % (1 << 64)))
+        if symbols.dtype == np.uint8:  # each byte's term is one of 256
+            terms = terms[symbols]
         self._sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(terms * up[:len(symbols)], out=self._sums[1:])
 

@@ -7,20 +7,23 @@ import numpy as np
 from freightlens.llm.ragged import Hashes, mix
 
 BLANKS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+WORDS = ~BLANKS
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
 def words_of(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, start and end of every word: what stands between ASCII white space."""
-    row_of = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
-    word = ~BLANKS[data]
-    border = row_of[1:] != row_of[:-1]
+    borders = borders - borders[0]
+    word = WORDS[data]
     head, tail = word.copy(), word.copy()
-    head[1:] &= ~word[:-1] | border
-    tail[:-1] &= ~word[1:] | border
+    head[1:] &= ~word[:-1]
+    tail[:-1] &= ~word[1:]
+    cuts = borders[(borders > 0) & (borders < len(data))]
+    head[cuts] = word[cuts]
+    tail[cuts - 1] = word[cuts - 1]
     starts = np.flatnonzero(head)
-    return row_of[starts], starts, np.flatnonzero(tail) + 1
+    return np.repeat(np.arange(len(borders) - 1), np.diff(np.searchsorted(starts, borders))), starts, np.flatnonzero(tail) + 1
 
 
 def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

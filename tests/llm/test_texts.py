@@ -589,6 +589,24 @@ def test_network_costs_less_than_row_by_row_and_is_the_same():
     assert all(min(a) < 0.85 * min(b) for a, b in zip(took[lm.Network], took[RowByRow]))
 
 
+def test_names_and_words_of_bytes():
+    draw = np.random.default_rng(6)
+    known = np.unique(draw.integers(0, 2**64, 900, np.uint64))
+    known = np.concatenate([known, known[:40] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])  # neighbours share their leading bits
+    draw.shuffle(known)
+    asked = np.concatenate([known, known + np.uint64(2), draw.integers(0, 2**64, 500, np.uint64)])
+    for words in (known, known[:1], known[:0], np.arange(1000, dtype=np.uint64)):
+        names, ids = lm.Names(words, SMALL), {int(w): i + 1 for i, w in enumerate(words)}
+        shared = 1 + SMALL.common + lm._shared(asked, SMALL)
+        assert names.of(asked, asked).tolist() == [ids.get(int(h), int(e)) for h, e in zip(asked, shared)]
+    texts = [b"", b"ab c", b"", b" ", b"d", b"e  f\n", b"", "é\x0b g".encode(), b""]
+    data, borders = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    rows, starts, ends = lm.words_of(data, borders)
+    assert [(r, data[a:b].tobytes()) for r, a, b in zip(rows.tolist(), starts, ends)] == [(i, w) for i, t in enumerate(texts) for w in t.split()]
+    assert lm.words_of(data[:0], np.array([0, 0]))[0].tolist() == []
+    assert (lm.Hashes(data, 1).spans(starts, ends) == lm.Hashes(data.astype(np.int64), 1).spans(starts, ends)).all()
+
+
 def test_untrained_network_is_the_unigram():
     times = np.arange(1 + SMALL.common + SMALL.endings, dtype=float)
     network = lm.Network(SMALL).begin_as_unigram(times)
