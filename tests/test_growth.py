@@ -1,9 +1,16 @@
 """What a large input must not do to the driver's memory and the disk."""
 
 import datetime as dt
+import os
+import time
 
+from pyspark.sql import functions as F
+
+from freightlens import session
 from freightlens.operators import scorecards, shipments
 from freightlens.session import land
+from freightlens.sources import files
+from freightlens.sources.records import MALFORMED, read_records
 
 
 def plan(df) -> str:
@@ -51,3 +58,30 @@ def test_detections_and_claims_are_not_gathered_for_lanes(spark):
         assert "Broadcast" not in plan(df)
     assert {r["lane_id"]: r["dq_exception_count"] for r in lanes.collect()} == {7: 4, 8: 3}
     assert {r["lane_id"]: r["claim_count"] for r in claims.collect()} == {7: 1}
+
+
+def test_lines_are_compressed_in_files_of_a_task_each(spark, tmp_path):
+    texts = ["1,a,b", '2,"x', 'y",b', "3,a", '4,"""q""",b', "5,ä,b", "6,a,b"]
+    lines = spark.createDataFrame([(t == "3,a", t) for t in texts], "opened boolean, line string").coalesce(1)
+    files.write_lines(lines, str(tmp_path / "out"), "opened", most=3)
+    names = [n for _, _, found in os.walk(tmp_path / "out") for n in found if n.startswith("part-")]
+    assert len(names) == 3 and all(n.endswith(".lz4") for n in names)
+    rows = {r["id"]: (r["a"], r["b"], r[MALFORMED]) for r in read_records(spark, str(tmp_path / "out"), ["id", "a", "b"], header=False).collect()}
+    assert rows == {"1": ("a", "b", None), "2": ("x\ny", "b", None), "3": ("a", None, "3,a"), "4": ('"q"', "b", None),
+                    "5": ("ä", "b", None), "6": ("a", "b", None)}
+
+
+def test_shuffle_files_of_a_long_step_do_not_stay(spark, monkeypatch):
+    folders = [f.toString() for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled() -> set:
+        return {n for top in folders for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    monkeypatch.setattr(session, "RELEASE_AFTER_S", 0)
+    landed = land(spark.range(2000).groupBy((F.col("id") % 500).alias("k")).count(), "counts")
+    left, until = shuffled() - before, time.monotonic() + 20
+    while left and time.monotonic() < until:
+        time.sleep(0.2)
+        left = shuffled() - before
+    assert not left and landed.count() == 500
