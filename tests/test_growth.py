@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from freightlens import session
-from freightlens.operators import scorecards, shipments
+from freightlens.operators import scorecards, shipments, staging
 from freightlens.session import land
 from freightlens.sources import files
 from freightlens.sources.records import MALFORMED, read_records
@@ -85,3 +85,17 @@ def test_shuffle_files_of_a_long_step_do_not_stay(spark, monkeypatch):
         time.sleep(0.2)
         left = shuffled() - before
     assert not left and landed.count() == 500
+
+
+def test_rows_with_a_pointer_move_as_staged_columns(spark):
+    cells = {"ID": "2", "Scheduled Delivery Date": "2-Jun-06", "Delivered to Client Date": "31-Feb-98", "Line Item Quantity": "7",
+             "Weight (Kilograms)": "See DN-1 (ID#:1)", "Freight Cost (USD)": "3.5"}
+    rows = [tuple(cells.get(c) for c in staging.RAW_COLUMNS), tuple({"ID": "1", "Weight (Kilograms)": "4"}.get(c) for c in staging.RAW_COLUMNS)]
+    staged = staging.stage(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in staging.RAW_COLUMNS)), 20)
+    text = plan(staged)
+    assert "AS reporting_scheduled_delivery_date" in text[text.index("LeftOuter"):]
+    assert staged.columns == [t.name for t in staging.TARGETS]
+    found = staged.filter("source_record_id = 2").first()
+    assert found["reporting_scheduled_delivery_date"] == dt.date(2026, 6, 2) and found["reporting_actual_delivery_date"] is None
+    assert (float(found["weight_kg"]), found["weight_source"], float(found["freight_cost_usd"])) == (4.0, "resolved_reference", 3.5)
+    assert found["line_item_quantity"] == 7 and found["missing_mode_flag"] == 1
