@@ -93,7 +93,7 @@ def test_rows_with_a_pointer_move_as_staged_columns(spark):
     rows = [tuple(cells.get(c) for c in staging.RAW_COLUMNS), tuple({"ID": "1", "Weight (Kilograms)": "4"}.get(c) for c in staging.RAW_COLUMNS)]
     staged = staging.stage(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in staging.RAW_COLUMNS)), 20)
     text = plan(staged)
-    assert "AS reporting_scheduled_delivery_date" in text[text.index("LeftOuter"):]
+    assert "AS missing_mode_flag" in text[text.index("LeftOuter"):]
     assert staged.columns == [t.name for t in staging.TARGETS]
     found = staged.filter("source_record_id = 2").first()
     assert found["reporting_scheduled_delivery_date"] == dt.date(2026, 6, 2) and found["reporting_actual_delivery_date"] is None
